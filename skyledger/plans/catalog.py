@@ -186,3 +186,144 @@ def quantile_cuts(spark, sf_dir):
 def class_counts(spark, sf_dir):
     views(spark, sf_dir)
     return groups.count_by(spark.table("labels"), "quality")
+
+
+# ---------------------------------------------------------------- step 3: splits, folds, metrics
+
+from ..operators import metrics, ordering, sampling  # noqa: E402
+from . import models  # noqa: E402
+
+
+@query
+def time_split(spark, sf_dir):
+    train, test = sampling.time_split(flights(spark, sf_dir), "YEAR", fx.TRAIN_YEARS, fx.TEST_YEARS)
+    return sampling.union_all([train.select("FLIGHT_ID", "YEAR", F.lit("train").alias("split")),
+                               test.select("FLIGHT_ID", "YEAR", F.lit("test").alias("split"))])
+
+
+@query
+def random_split_md5(spark, sf_dir):
+    df = sampling.with_random_split(flights(spark, sf_dir), [0.8, 0.2], 512, ["FLIGHT_ID"], names=["train", "test"])
+    return df.select("FLIGHT_ID", "split")
+
+
+@query
+def upsample(spark, sf_dir):
+    return sampling.upsample(flights(spark, sf_dir).select("FLIGHT_ID", "DEP_DEL15"), "DEP_DEL15")
+
+
+@query
+def downsample_md5(spark, sf_dir):
+    return sampling.downsample(flights(spark, sf_dir).select("FLIGHT_ID", "DEP_DEL15"), "DEP_DEL15",
+                               seed=541, key=["FLIGHT_ID"])
+
+
+@query
+def rebalance_by_year(spark, sf_dir):
+    df = flights(spark, sf_dir).select("FLIGHT_ID", "YEAR", "DEP_DEL15")
+    return sampling.rebalance_by(df, ["YEAR"], "DEP_DEL15", "upsample")
+
+
+@query
+def global_row_id(spark, sf_dir):
+    df = flights(spark, sf_dir).select("FLIGHT_ID", "FL_DATE")
+    return ordering.with_global_row_id(df, ["FL_DATE", "FLIGHT_ID"])
+
+
+@query
+def time_series_folds(spark, sf_dir):
+    df = flights(spark, sf_dir).select("FLIGHT_ID", "FL_DATE")
+    return ordering.time_series_folds(df, ["FL_DATE", "FLIGHT_ID"], k=3).select("FLIGHT_ID", "row_id", "fold", "role")
+
+
+@query
+def baseline_predict(spark, sf_dir):
+    df = flights(spark, sf_dir)
+    test = df.filter(F.col("YEAR").isin(fx.TEST_YEARS)).select("FLIGHT_ID", "DEP_DEL15")
+    return models.baseline_predict(test, models.majority_share(df, "DEP_DEL15"), seed=451, key=["FLIGHT_ID"])
+
+
+def scored(spark, sf_dir):
+    views(spark, sf_dir)
+    return spark.table("metrics_fx")
+
+
+@query
+def confusion(spark, sf_dir):
+    return metrics.confusion(scored(spark, sf_dir), "prediction", "label")
+
+
+@query
+def classification_metrics(spark, sf_dir):
+    out = metrics.classification_metrics(scored(spark, sf_dir), "prediction", "label")
+    return rounded(out, out.columns)
+
+
+@query
+def balanced_accuracy(spark, sf_dir):
+    out = metrics.balanced_accuracy(scored(spark, sf_dir), "prediction", "label")
+    return rounded(out, out.columns)
+
+
+@query
+def auc_rank(spark, sf_dir):
+    return rounded(metrics.auc_rank(scored(spark, sf_dir), "score", "label"), ["auc"])
+
+
+# ---------------------------------------------------------------- step 4: graph
+
+from ..operators import graph  # noqa: E402
+
+# The route filter of the graph fixture (FIXTURES.md, routes_fx).
+ROUTE_FILTER = ("(origin_iata_code * 7 + dest_iata_code * 3) % 11 < 2 "
+                "AND origin_iata_code <> dest_iata_code")
+
+
+def route_graph(spark, sf_dir):
+    facts = flights(spark, sf_dir).filter(F.expr(ROUTE_FILTER))
+    return graph.build_graph(facts, "origin_iata_code", "dest_iata_code")
+
+
+@query
+def graph_vertices(spark, sf_dir):
+    return route_graph(spark, sf_dir)[0]
+
+
+@query
+def graph_edges(spark, sf_dir):
+    return route_graph(spark, sf_dir)[1]
+
+
+@query
+def degree_centrality(spark, sf_dir):
+    v, e = route_graph(spark, sf_dir)
+    return rounded(graph.degree_centrality(v, e), ["degree_centrality"])
+
+
+@query
+def closeness_centrality(spark, sf_dir):
+    v, e = route_graph(spark, sf_dir)
+    return rounded(graph.closeness_centrality(v, e), ["closeness_centrality"])
+
+
+@query
+def betweenness_centrality(spark, sf_dir):
+    v, e = route_graph(spark, sf_dir)
+    return rounded(graph.betweenness_centrality(v, e), ["betweenness_centrality"])
+
+
+@query
+def airport_rank(spark, sf_dir):
+    v, e = route_graph(spark, sf_dir)
+    scores = graph.centralities(v, e)
+    facts = flights(spark, sf_dir).select("FLIGHT_ID", "origin_iata_code")
+    out = clean.with_rank(graph.with_vertex_scores(facts, scores, "origin_iata_code"),
+                          ["degree_centrality", "betweenness_centrality", "closeness_centrality"])
+    return rounded(out, ["degree_centrality", "betweenness_centrality", "closeness_centrality", "airport_rank"])
+
+
+@query
+def subgraph(spark, sf_dir):
+    v, e = route_graph(spark, sf_dir)
+    first_ten = v.orderBy("id").limit(10)
+    return graph.subgraph(e, first_ten)

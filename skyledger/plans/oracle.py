@@ -200,3 +200,133 @@ SELECT CAST(quantile_disc(count, 0.0) AS DOUBLE) AS q0, CAST(quantile_disc(count
        CAST(quantile_disc(count, 1.0) AS DOUBLE) AS q100 FROM v""")
 
 sql("class_counts", "SELECT quality, count(*) AS count FROM labels GROUP BY quality")
+
+# ---------------------------------------------------------------- splits, folds, metrics
+
+sql("time_split", F + """SELECT FLIGHT_ID, YEAR, CASE WHEN YEAR = 2001 THEN 'test' ELSE 'train' END AS split
+FROM flights_fx WHERE YEAR BETWEEN 1995 AND 2001""")
+
+
+def md5_uniform(seed, key: str) -> str:
+    return f"(CAST('0x' || substr(md5(concat('{seed}', '-', {key})), 1, 8) AS BIGINT) / 4294967296.0)"
+
+
+sql("random_split_md5", F + f"""SELECT FLIGHT_ID, CASE WHEN {md5_uniform(512, 'FLIGHT_ID')} < 0.8 THEN 'train' ELSE 'test' END
+  AS split FROM flights_fx""")
+
+CLASS_COUNTS = """, cc AS (SELECT DEP_DEL15, count(*) AS n FROM flights_fx GROUP BY 1),
+ext AS (SELECT max(n) AS mx, min(n) AS mn FROM cc)
+"""
+
+sql("upsample", F + CLASS_COUNTS + """, rep AS (
+  SELECT DEP_DEL15, CASE WHEN n = mx THEN 1 ELSE CAST(floor(mx / mn) AS INTEGER) END AS r FROM cc, ext)
+SELECT f.FLIGHT_ID, f.DEP_DEL15 FROM flights_fx f JOIN rep USING (DEP_DEL15), range(rep.r) t(i)""")
+
+sql("downsample_md5", F + CLASS_COUNTS + f"""SELECT f.FLIGHT_ID, f.DEP_DEL15 FROM flights_fx f JOIN cc USING (DEP_DEL15), ext
+WHERE cc.n = ext.mn OR {md5_uniform(541, 'f.FLIGHT_ID')} < ext.mn / cc.n""")
+
+sql("rebalance_by_year", F + """, cc AS (SELECT YEAR, DEP_DEL15, count(*) AS n FROM flights_fx GROUP BY 1, 2),
+ext AS (SELECT YEAR, max(n) AS mx, min(n) AS mn FROM cc GROUP BY 1),
+rep AS (SELECT cc.YEAR, DEP_DEL15, CASE WHEN n = mx THEN 1 ELSE CAST(floor(mx / mn) AS INTEGER) END AS r
+        FROM cc JOIN ext USING (YEAR))
+SELECT f.FLIGHT_ID, f.YEAR, f.DEP_DEL15 FROM flights_fx f JOIN rep USING (YEAR, DEP_DEL15), range(rep.r) t(i)""")
+
+sql("global_row_id", F + """SELECT FLIGHT_ID, FL_DATE, row_number() OVER (ORDER BY FL_DATE, FLIGHT_ID) AS row_id
+FROM flights_fx""")
+
+sql("time_series_folds", F + """, num AS (
+  SELECT FLIGHT_ID, row_number() OVER (ORDER BY FL_DATE, FLIGHT_ID) AS row_id,
+         (SELECT count(*) FROM flights_fx) // 4 AS chunk FROM flights_fx),
+folds AS (SELECT unnest(range(3)) AS fold)
+SELECT FLIGHT_ID, row_id, CAST(fold AS INTEGER) AS fold, 'train' AS role FROM num, folds
+  WHERE row_id > chunk * fold AND row_id <= chunk * (fold + 1)
+UNION ALL
+SELECT FLIGHT_ID, row_id, CAST(fold AS INTEGER) AS fold, 'test' AS role FROM num, folds
+  WHERE row_id > chunk * (fold + 1) AND row_id <= chunk * (fold + 2)""")
+
+sql("baseline_predict", F + f""", p AS (SELECT 1.0 - count(*) FILTER (WHERE DEP_DEL15 = 1) / count(*) AS p0 FROM flights_fx)
+SELECT FLIGHT_ID, DEP_DEL15, CASE WHEN {md5_uniform(451, 'FLIGHT_ID')} < p0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prediction
+FROM flights_fx, p WHERE YEAR = 2001""")
+
+M = fx("metrics_fx")
+
+sql("confusion", M + "SELECT label, prediction, count(*) AS count FROM metrics_fx GROUP BY ALL")
+
+sql("classification_metrics", M + """, c AS (SELECT label, prediction, count(*) AS n FROM metrics_fx GROUP BY ALL),
+lab AS (SELECT label AS k, sum(n) AS n_label, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM c GROUP BY 1),
+prd AS (SELECT prediction AS k, sum(n) AS n_pred FROM c GROUP BY 1),
+s AS (SELECT n_label, tp, CASE WHEN coalesce(n_pred, 0) > 0 THEN tp / n_pred ELSE 0.0 END AS p, tp / n_label AS r
+      FROM lab LEFT JOIN prd USING (k))
+SELECT round(sum(tp) / sum(n_label), 6) AS accuracy,
+       round(sum(p * n_label) / sum(n_label), 6) AS weighted_precision,
+       round(sum(r * n_label) / sum(n_label), 6) AS weighted_recall,
+       round(sum(CASE WHEN p + r > 0 THEN 2 * p * r / (p + r) ELSE 0.0 END * n_label) / sum(n_label), 6) AS weighted_f1
+FROM s""")
+
+sql("balanced_accuracy", M + """SELECT round(0.5 * (
+  count(*) FILTER (WHERE label = 1 AND prediction = label) / count(*) FILTER (WHERE label = 1)
++ count(*) FILTER (WHERE label <> 1 AND prediction = label) / count(*) FILTER (WHERE label <> 1)), 6) AS balanced_accuracy
+FROM metrics_fx""")
+
+sql("auc_rank", M + """, pos AS (SELECT score FROM metrics_fx WHERE label = 1 AND score IS NOT NULL),
+neg AS (SELECT score FROM metrics_fx WHERE label <> 1 AND score IS NOT NULL),
+negs AS (SELECT score, count(*) AS c FROM neg GROUP BY 1),
+cum AS (SELECT score, c, sum(c) OVER (ORDER BY score) - c AS below FROM negs),
+per_pos AS (SELECT p.score, coalesce((SELECT max(below + c) FROM cum WHERE cum.score < p.score), 0)
+                 + 0.5 * coalesce((SELECT c FROM cum WHERE cum.score = p.score), 0) AS wins FROM pos p)
+SELECT round(sum(wins) / ((SELECT count(*) FROM pos) * (SELECT count(*) FROM neg)), 6) AS auc FROM per_pos""")
+
+# ---------------------------------------------------------------- graph
+
+G = fx("routes_fx", recursive=True)
+
+GRAPH = """, v AS (SELECT src AS id FROM routes_fx UNION SELECT dst FROM routes_fx),
+nv AS (SELECT count(*)::DOUBLE AS n FROM v),
+walks(s, t, k, cnt) AS (
+  SELECT id, id, 0, 1::DOUBLE FROM v
+  UNION ALL
+  SELECT w.s, e.dst, w.k + 1, sum(w.cnt) FROM walks w JOIN routes_fx e ON w.t = e.src
+  WHERE w.k < 40 GROUP BY w.s, e.dst, w.k + 1),
+sp AS (SELECT s, t, min(k) AS d FROM walks GROUP BY s, t),
+sig AS (SELECT w.s, w.t, sp.d, w.cnt AS sigma FROM walks w JOIN sp ON w.s = sp.s AND w.t = sp.t AND w.k = sp.d)
+"""
+
+sql("graph_vertices", G + ", v AS (SELECT src AS id FROM routes_fx UNION SELECT dst FROM routes_fx) SELECT id FROM v")
+sql("graph_edges", G + "SELECT src, dst FROM routes_fx")
+
+sql("degree_centrality", G + GRAPH + """, o AS (SELECT src AS id, count(*) AS c FROM routes_fx GROUP BY 1),
+i AS (SELECT dst AS id, count(*) AS c FROM routes_fx GROUP BY 1)
+SELECT v.id, round((coalesce(o.c, 0) + coalesce(i.c, 0)) / (n - 1), 6) AS degree_centrality
+FROM v LEFT JOIN o ON v.id = o.id LEFT JOIN i ON v.id = i.id, nv""")
+
+CLOSENESS = """, cl AS (SELECT t AS id, count(*)::DOUBLE AS r, sum(d)::DOUBLE AS tot FROM sp GROUP BY t),
+clo AS (SELECT v.id, CASE WHEN tot > 0 AND n > 1 THEN (r - 1) / tot * ((r - 1) / (n - 1)) ELSE 0.0 END AS closeness_centrality
+        FROM v LEFT JOIN cl ON v.id = cl.id, nv)
+"""
+
+BETWEENNESS = """, bc AS (
+  SELECT a.t AS id, sum(a.sigma * b.sigma / c.sigma) AS b
+  FROM sig a JOIN sig b ON a.t = b.s JOIN sig c ON c.s = a.s AND c.t = b.t
+  WHERE a.s <> a.t AND b.s <> b.t AND a.s <> b.t AND a.d + b.d = c.d GROUP BY a.t),
+btw AS (SELECT v.id, coalesce(bc.b, 0.0) / ((n - 1) * (n - 2)) AS betweenness_centrality
+        FROM v LEFT JOIN bc ON v.id = bc.id, nv)
+"""
+
+sql("closeness_centrality", G + GRAPH + CLOSENESS + "SELECT id, round(closeness_centrality, 6) AS closeness_centrality FROM clo")
+sql("betweenness_centrality", G + GRAPH + BETWEENNESS +
+    "SELECT id, round(betweenness_centrality, 6) AS betweenness_centrality FROM btw")
+
+sql("airport_rank", G + GRAPH + CLOSENESS + BETWEENNESS + """, o AS (SELECT src AS id, count(*) AS c FROM routes_fx GROUP BY 1),
+i AS (SELECT dst AS id, count(*) AS c FROM routes_fx GROUP BY 1),
+deg AS (SELECT v.id, (coalesce(o.c, 0) + coalesce(i.c, 0)) / (n - 1) AS degree_centrality
+        FROM v LEFT JOIN o ON v.id = o.id LEFT JOIN i ON v.id = i.id, nv),
+sc AS (SELECT deg.id, degree_centrality, betweenness_centrality, closeness_centrality
+       FROM deg JOIN btw USING (id) JOIN clo USING (id))
+SELECT f.origin_iata_code, f.FLIGHT_ID, round(degree_centrality, 6) AS degree_centrality,
+  round(betweenness_centrality, 6) AS betweenness_centrality, round(closeness_centrality, 6) AS closeness_centrality,
+  round(degree_centrality + betweenness_centrality + closeness_centrality, 6) AS airport_rank
+FROM flights_fx f LEFT JOIN sc ON f.origin_iata_code = sc.id""")
+
+sql("subgraph", G + """, v AS (SELECT src AS id FROM routes_fx UNION SELECT dst FROM routes_fx),
+pick AS (SELECT id FROM v ORDER BY id LIMIT 10)
+SELECT src, dst FROM routes_fx WHERE src IN (SELECT id FROM pick) AND dst IN (SELECT id FROM pick)""")
