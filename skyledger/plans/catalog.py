@@ -327,3 +327,144 @@ def subgraph(spark, sf_dir):
     v, e = route_graph(spark, sf_dir)
     first_ten = v.orderBy("id").limit(10)
     return graph.subgraph(e, first_ten)
+
+
+# ---------------------------------------------------------------- step 5: feature transformers
+
+from pyspark.ml.functions import vector_to_array  # noqa: E402
+
+from ..operators import features  # noqa: E402
+from . import pipeline, tuning  # noqa: E402
+
+INDEXED = ["TIME_SLOT", "SEASON", "DAY_OF_MONTH"]
+SCALED = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure", "HourlyWindSpeed"]
+CORRELATED = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
+              "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "ELEVATION", "DEP_DELAY", "DEP_DEL15"]
+
+
+def categorical(spark, sf_dir):
+    df = timefeat.with_time_slot(flights(spark, sf_dir), "DEP_TIME_BLK")
+    return timefeat.with_season(df, "MONTH")
+
+
+@query
+def string_index(spark, sf_dir):
+    df = categorical(spark, sf_dir)
+    model = features.index_categories(INDEXED).fit(df)
+    return model.transform(df).select("FLIGHT_ID", *[c + "_indexed" for c in INDEXED])
+
+
+@query
+def one_hot(spark, sf_dir):
+    df = categorical(spark, sf_dir)
+    cols = ["TIME_SLOT", "SEASON"]
+    encoded = features.one_hot(cols).fit(df).transform(df)
+    out = []
+    for c in cols:
+        arr = vector_to_array(c + "_onehot")
+        out += [F.array_position(arr, 1.0).alias(c + "_hot"), F.size(arr).alias(c + "_size")]
+    return encoded.select("FLIGHT_ID", *out)
+
+
+@query
+def scaled_features(spark, sf_dir):
+    df = flights_numeric(spark, sf_dir).na.drop(subset=SCALED)
+    pipe = features.Pipeline(stages=[features.assemble(SCALED, "v"), features.scale("v", "vs")])
+    out = features.vector_elements(pipe.fit(df).transform(df), "vs", "scaled_", len(SCALED))
+    names = [f"scaled_{i}" for i in range(len(SCALED))]
+    return rounded(out.select("FLIGHT_ID", *names), names)
+
+
+@query
+def correlation_matrix(spark, sf_dir):
+    return rounded(features.correlation_matrix(flights_numeric(spark, sf_dir), CORRELATED), ["corr"])
+
+
+# ---------------------------------------------------------------- rows-only: PCA, pipelines, models, tuning
+
+def model_data(spark, sf_dir, pca_k=10):
+    train, test, _enc, _prep = pipeline.model_frames(flights(spark, sf_dir), fx.TRAIN_YEARS, fx.TEST_YEARS,
+                                                     pca_k=pca_k)
+    return train, test
+
+
+@query
+def pca_features(spark, sf_dir):
+    df = flights_numeric(spark, sf_dir).na.drop(subset=SCALED)
+    pipe = features.Pipeline(stages=[features.assemble(SCALED, "v"), features.scale("v", "vs"),
+                                     features.pca("vs", "pc", 2)])
+    out = features.vector_elements(pipe.fit(df).transform(df), "pc", "pc_", 2)
+    return out.select("FLIGHT_ID", "pc_0", "pc_1")
+
+
+@query
+def explained_variance(spark, sf_dir):
+    feats = pipeline.flight_features(flights(spark, sf_dir))
+    return features.explained_variance(feats, pipeline.CORRELATION_FEATURES)
+
+
+@query
+def prepare_features(spark, sf_dir):
+    train, _test = model_data(spark, sf_dir)
+    return train.select("FLIGHT_ID", "YEAR", "DEP_DEL15", vector_to_array("input_features").alias("features"))
+
+
+def _model_query(kind, **params):
+    def run(spark, sf_dir):
+        train, test = model_data(spark, sf_dir)
+        model = models.fit_classifier(kind, train, "input_features", "DEP_DEL15", **params)
+        return models.predict(model, test, keep=["FLIGHT_ID", "DEP_DEL15"])
+    run.__name__ = kind
+    return run
+
+
+for _kind in ("lr", "lr_tuned", "dt", "rf", "gbt", "mlp", "mlp_deep"):
+    QUERIES[_kind] = _model_query(_kind)
+
+
+@query
+def predict(spark, sf_dir):
+    """M9 + S6: fit feature stages and the classifier on train, store, reload, score new data."""
+    from pyspark.ml import PipelineModel
+
+    from ..session import work_dir
+    feats = pipeline.flight_features(flights(spark, sf_dir))
+    train, test = pipeline.split_years(feats, fx.TRAIN_YEARS, fx.TEST_YEARS)
+    stages = [features.one_hot(pipeline.CATEGORICAL_FEATURES, handle_invalid="keep"),
+              features.feature_pipeline(pipeline.NUMERIC_FEATURES, pipeline.ONEHOT_FEATURES),
+              models.classifier("lr_tuned", "input_features", "DEP_DEL15")]
+    fitted = features.Pipeline(stages=stages).fit(train)
+    path = work_dir(spark, "model")
+    models.save_model(fitted, path)
+    return models.predict(PipelineModel.load(path), test, keep=["FLIGHT_ID", "DEP_DEL15"])
+
+
+@query
+def grid_search(spark, sf_dir):
+    train, _test = model_data(spark, sf_dir)
+    est = models.classifier("dt", "input_features", "DEP_DEL15")
+    _model, table = tuning.grid_search_cv(est, tuning.DT_GRID, train, "DEP_DEL15", folds=3, parallelism=4)
+    return table
+
+
+@query
+def time_series_cv(spark, sf_dir):
+    train, _test = model_data(spark, sf_dir)
+    est = models.classifier("lr", "input_features", "DEP_DEL15")
+    _best, _score, table = tuning.time_series_cv(est, tuning.LR_TIME_SERIES_GRID, train, "DEP_DEL15",
+                                                 ["FL_DATE", "FLIGHT_ID"], k=3, parallelism=4)
+    return table
+
+
+@query
+def random_search(spark, sf_dir):
+    train, test = model_data(spark, sf_dir)
+    est = models.classifier("lr", "input_features", "DEP_DEL15", maxIter=100)
+    _best, _score, table = tuning.random_search(est, tuning.LR_RANDOM_SPACE, train, test, "DEP_DEL15",
+                                                n=40, patience=20, seed=42)
+    return table
+
+
+@query
+def shuffle_rows(spark, sf_dir):
+    return sampling.shuffle_rows(flights(spark, sf_dir).select("FLIGHT_ID", "DEP_DEL15"), seed=42)

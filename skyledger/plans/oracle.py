@@ -330,3 +330,51 @@ FROM flights_fx f LEFT JOIN sc ON f.origin_iata_code = sc.id""")
 sql("subgraph", G + """, v AS (SELECT src AS id FROM routes_fx UNION SELECT dst FROM routes_fx),
 pick AS (SELECT id FROM v ORDER BY id LIMIT 10)
 SELECT src, dst FROM routes_fx WHERE src IN (SELECT id FROM pick) AND dst IN (SELECT id FROM pick)""")
+
+# ---------------------------------------------------------------- feature transformers
+
+CATS = """, cats AS (SELECT FLIGHT_ID, DAY_OF_MONTH, CASE
+  WHEN DEP_TIME_BLK IN ('0600-0659', '0700-0759', '0800-0859', '0900-0959') THEN 'morning'
+  WHEN DEP_TIME_BLK IN ('1000-1059', '1100-1159') THEN 'mid-morning'
+  WHEN DEP_TIME_BLK IN ('1200-1259', '1300-1359', '1400-1459') THEN 'afternoon'
+  WHEN DEP_TIME_BLK IN ('1500-1559', '1600-1659', '1700-1759', '1800-1859') THEN 'evening'
+  WHEN DEP_TIME_BLK IN ('1900-1959', '2000-2059', '2100-2159', '2200-2259', '2300-2359', '0001-0559') THEN 'night'
+  ELSE 'unknown' END AS TIME_SLOT, CASE
+  WHEN MONTH IN (12, 1, 2) THEN 'winter' WHEN MONTH IN (3, 4, 5) THEN 'spring'
+  WHEN MONTH IN (6, 7, 8) THEN 'summer' WHEN MONTH IN (9, 10, 11) THEN 'fall' ELSE 'unknown' END AS SEASON
+  FROM flights_fx)
+"""
+
+
+def _index(col: str) -> str:
+    return (f", idx_{col} AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS i, count(*) OVER () AS k FROM "
+            f"(SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM cats GROUP BY 1))\n")
+
+
+sql("string_index", F + CATS + _index("TIME_SLOT") + _index("SEASON") + _index("DAY_OF_MONTH") + """
+SELECT c.FLIGHT_ID, CAST(a.i AS DOUBLE) AS TIME_SLOT_indexed, CAST(b.i AS DOUBLE) AS SEASON_indexed,
+       CAST(d.i AS DOUBLE) AS DAY_OF_MONTH_indexed
+FROM cats c JOIN idx_TIME_SLOT a ON c.TIME_SLOT = a.v JOIN idx_SEASON b ON c.SEASON = b.v
+JOIN idx_DAY_OF_MONTH d ON CAST(c.DAY_OF_MONTH AS VARCHAR) = d.v""")
+
+sql("one_hot", F + CATS + _index("TIME_SLOT") + _index("SEASON") + """
+SELECT c.FLIGHT_ID,
+  CAST(CASE WHEN a.i < a.k - 1 THEN a.i + 1 ELSE 0 END AS INTEGER) AS TIME_SLOT_hot, CAST(a.k - 1 AS INTEGER) AS TIME_SLOT_size,
+  CAST(CASE WHEN b.i < b.k - 1 THEN b.i + 1 ELSE 0 END AS INTEGER) AS SEASON_hot, CAST(b.k - 1 AS INTEGER) AS SEASON_size
+FROM cats c JOIN idx_TIME_SLOT a ON c.TIME_SLOT = a.v JOIN idx_SEASON b ON c.SEASON = b.v""")
+
+sql("scaled_features", F + WEATHER_CAST + """, ok AS (SELECT * FROM num WHERE HourlyDryBulbTemperature IS NOT NULL
+  AND HourlyRelativeHumidity IS NOT NULL AND HourlySeaLevelPressure IS NOT NULL AND HourlyWindSpeed IS NOT NULL)
+SELECT FLIGHT_ID,
+  round(HourlyDryBulbTemperature / stddev_samp(HourlyDryBulbTemperature) OVER (), 6) AS scaled_0,
+  round(HourlyRelativeHumidity / stddev_samp(HourlyRelativeHumidity) OVER (), 6) AS scaled_1,
+  round(HourlySeaLevelPressure / stddev_samp(HourlySeaLevelPressure) OVER (), 6) AS scaled_2,
+  round(HourlyWindSpeed / stddev_samp(HourlyWindSpeed) OVER (), 6) AS scaled_3
+FROM ok""")
+
+_CORR_COLS = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
+              "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "ELEVATION", "DEP_DELAY", "DEP_DEL15"]
+
+sql("correlation_matrix", F + WEATHER_CAST + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM num"
+    for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]))
