@@ -468,3 +468,120 @@ def random_search(spark, sf_dir):
 @query
 def shuffle_rows(spark, sf_dir):
     return sampling.shuffle_rows(flights(spark, sf_dir).select("FLIGHT_ID", "DEP_DEL15"), seed=42)
+
+
+# ---------------------------------------------------------------- step 6: neighbours and SMOTE
+
+from ..operators import neighbours  # noqa: E402
+
+# SMOTE settings of the reference (k, batches, seed, LSH bucket length)
+# and the minority class of the vector fixture.
+SMOTE_K, SMOTE_BATCHES, SMOTE_SEED, SMOTE_BUCKET = 3, 3, 234, 3.0
+MINORITY_LABEL = 5
+
+
+def vectors(spark, sf_dir):
+    views(spark, sf_dir)
+    emb = spark.table("embeddings")
+    return emb.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("features"),
+                      F.when(F.col("label") == MINORITY_LABEL, 1).otherwise(0).alias("label"))
+
+
+def minority(spark, sf_dir):
+    return vectors(spark, sf_dir).filter(F.col("label") == 1)
+
+
+@query
+def top_k_neighbours(spark, sf_dir):
+    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K, seed=SMOTE_SEED)
+    return rounded(near, ["distance"])
+
+
+@query
+def pick_one_neighbour(spark, sf_dir):
+    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K, seed=SMOTE_SEED)
+    batches = near.select("id", "nbr_id", F.explode(F.sequence(F.lit(0), F.lit(SMOTE_BATCHES - 1))).alias("batch"))
+    return neighbours.pick_one_per_group(batches, ["id", "batch"], SMOTE_SEED, ["id", "batch", "nbr_id"]) \
+        .select("id", "batch", "nbr_id")
+
+
+def _long(df):
+    return df.select("id", "batch", "label", F.posexplode("features").alias("dim", "value"))
+
+
+@query
+def smote_exact(spark, sf_dir):
+    out = neighbours.smote(vectors(spark, sf_dir), "id", "features", "label", 1, SMOTE_K, SMOTE_BATCHES, SMOTE_SEED)
+    return rounded(_long(out), ["value"])
+
+
+@query
+def smote_lsh(spark, sf_dir):
+    out = neighbours.smote(vectors(spark, sf_dir), "id", "features", "label", 1, SMOTE_K, SMOTE_BATCHES, SMOTE_SEED,
+                           exact=False, bucket_length=SMOTE_BUCKET)
+    return out.select("id", "batch", "label", F.size("features").alias("dims"))
+
+
+# ---------------------------------------------------------------- step 8: experiment records and I/O
+
+from ..sources import experiment_log, tables  # noqa: E402
+from . import experiments  # noqa: E402
+
+# Baseline runs recorded per dataset (name, seed).
+EXPERIMENT_RUNS = [("majority_class_baseline", 451), ("majority_class_baseline", 452),
+                   ("majority_class_baseline", 453), ("random_baseline", 451), ("random_baseline", 452),
+                   ("random_baseline", 453)]
+RUN_PARAMS = ["dataset_name", "family"]
+RUN_METRICS = ["test_AUC", "test_accuracy", "test_precision", "test_recall", "test_f1", "n_rows"]
+
+
+def experiment_runs(spark, sf_dir):
+    """One row per (baseline run, dataset = year) with its test metrics, all computed on Spark."""
+    df = flights(spark, sf_dir).withColumn("dataset_name", F.concat(F.lit("Y"), F.col("YEAR").cast("string")))
+    p_zero = {"majority_class_baseline": models.majority_share(df, "DEP_DEL15"), "random_baseline": F.lit(0.5)}
+    runs = experiments.baseline_runs(df, "DEP_DEL15", ["FLIGHT_ID"], "dataset_name", EXPERIMENT_RUNS, p_zero)
+    return runs.select(F.concat_ws("-", "Name", F.col("seed").cast("string"), "dataset_name").alias("run_id"),
+                       "Name", "dataset_name", F.lit("majority class").alias("family"),
+                       F.col("balanced_accuracy").alias("test_AUC"), F.col("accuracy").alias("test_accuracy"),
+                       F.col("weighted_precision").alias("test_precision"),
+                       F.col("weighted_recall").alias("test_recall"), F.col("weighted_f1").alias("test_f1"),
+                       F.col("n_rows").cast("double").alias("n_rows"))
+
+
+def experiment_wide(spark, sf_dir):
+    recs = experiment_log.run_records(experiment_runs(spark, sf_dir), "run_id", "Name", RUN_PARAMS, RUN_METRICS)
+    return experiment_log.experiment_table(recs, RUN_PARAMS, RUN_METRICS)
+
+
+@query
+def experiment_pivot(spark, sf_dir):
+    return rounded(experiment_wide(spark, sf_dir), RUN_METRICS)
+
+
+@query
+def experiment_csv(spark, sf_dir):
+    from ..session import work_dir
+    path = tables.write_csv(experiment_wide(spark, sf_dir), work_dir(spark, "experiments-csv"))
+    schema = "run_id string, run_name string, dataset_name string, family string, " + \
+        ", ".join(f"{m} double" for m in RUN_METRICS)
+    back = tables.read_experiments(spark, path, schema=schema,
+                                   columns=["run_id", "run_name", *RUN_PARAMS, *RUN_METRICS])
+    return rounded(back, RUN_METRICS)
+
+
+@query
+def experiment_summary(spark, sf_dir):
+    wide = experiment_wide(spark, sf_dir).withColumnRenamed("run_name", "Name").drop("run_id")
+    out = experiments.experiment_summary(wide, "Y2001", score="test_AUC", cost="n_rows",
+                                         ratio="test_AUC_to_cost_ratio")
+    return rounded(out, [c for c in out.columns if c != "Name"])
+
+
+@query
+def feature_roundtrip(spark, sf_dir):
+    from ..session import work_dir
+    base = work_dir(spark, "features")
+    df = flights_recency(spark, sf_dir).select("FLIGHT_ID", "YEAR", "DEP_DEL15", "RecencyDays")
+    tables.write_features(df, base, "flights", "test", partition_by=["YEAR"])
+    back = tables.read_features(spark, base, "flights", "test")
+    return back.filter(F.col("YEAR") == fx.TEST_YEARS[0]).select("FLIGHT_ID", "YEAR", "DEP_DEL15", "RecencyDays")

@@ -378,3 +378,78 @@ _CORR_COLS = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLe
 sql("correlation_matrix", F + WEATHER_CAST + "\n" + "\nUNION ALL\n".join(
     f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM num"
     for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]))
+
+# ---------------------------------------------------------------- neighbours and SMOTE (brute force on the fixture)
+
+KNN = """WITH m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label = 5),
+pairs AS (SELECT a.id, b.id AS nbr_id, list_distance(a.v, b.v) AS distance FROM m a, m b WHERE a.id <> b.id),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY distance, nbr_id) AS rank
+                       FROM pairs WHERE distance > 0) WHERE rank <= 3)
+"""
+
+sql("top_k_neighbours", KNN + "SELECT id, nbr_id, CAST(rank AS INTEGER) AS rank, round(distance, 6) AS distance FROM knn")
+
+PICK = f""", b AS (SELECT id, nbr_id, CAST(unnest(range(3)) AS INTEGER) AS batch FROM knn),
+pick AS (SELECT id, batch, nbr_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY id, batch
+    ORDER BY {md5_uniform(234, "concat(id, '-', batch, '-', nbr_id)")} DESC, id, batch, nbr_id) AS rn FROM b) WHERE rn = 1)
+"""
+
+sql("pick_one_neighbour", KNN + PICK + "SELECT id, batch, nbr_id FROM pick")
+
+sql("smote_exact", KNN + PICK + f""", allv AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v,
+  CASE WHEN label = 5 THEN 1 ELSE 0 END AS label FROM embeddings),
+syn AS (SELECT p.id, p.batch, 1 AS label, a.v AS va, b.v AS vb,
+          {md5_uniform("234-u", "concat(p.id, '-', p.batch)")} AS u
+        FROM pick p JOIN allv a ON a.id = p.id JOIN allv b ON b.id = p.nbr_id),
+dims AS (SELECT unnest(range(64)) AS d)
+SELECT id, batch, label, CAST(d AS INTEGER) AS dim, round(va[d + 1] + u * (vb[d + 1] - va[d + 1]), 6) AS value
+FROM syn, dims
+UNION ALL
+SELECT id, -1 AS batch, label, CAST(d AS INTEGER) AS dim, round(v[d + 1], 6) AS value FROM allv, dims""")
+
+# ---------------------------------------------------------------- experiment records
+
+EXPERIMENTS = f""", p AS (SELECT 1.0 - count(*) FILTER (WHERE DEP_DEL15 = 1) / count(*) AS p0 FROM flights_fx),
+runs(Name, seed) AS (VALUES ('majority_class_baseline', 451), ('majority_class_baseline', 452),
+  ('majority_class_baseline', 453), ('random_baseline', 451), ('random_baseline', 452), ('random_baseline', 453)),
+scored AS (
+  SELECT 'Y' || YEAR AS dataset_name, Name, seed, DEP_DEL15 AS label,
+    CASE WHEN {md5_uniform("' || seed || '", "FLIGHT_ID")} < CASE WHEN Name = 'majority_class_baseline' THEN p0 ELSE 0.5 END
+         THEN 0.0 ELSE 1.0 END AS prediction
+  FROM flights_fx, runs, p),
+conf AS (SELECT dataset_name, Name, seed, label, prediction, count(*) AS n FROM scored GROUP BY ALL),
+lab AS (SELECT dataset_name, Name, seed, label AS k, sum(n) AS n_label,
+               sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM conf GROUP BY ALL),
+prd AS (SELECT dataset_name, Name, seed, prediction AS k, sum(n) AS n_pred FROM conf GROUP BY ALL),
+st AS (SELECT dataset_name, Name, seed, n_label, tp,
+              CASE WHEN coalesce(n_pred, 0) > 0 THEN tp / n_pred ELSE 0.0 END AS pr, tp / n_label AS rc
+       FROM lab LEFT JOIN prd USING (dataset_name, Name, seed, k)),
+m AS (SELECT dataset_name, Name, seed, sum(tp) / sum(n_label) AS test_accuracy,
+             sum(pr * n_label) / sum(n_label) AS test_precision, sum(rc * n_label) / sum(n_label) AS test_recall,
+             sum(CASE WHEN pr + rc > 0 THEN 2 * pr * rc / (pr + rc) ELSE 0.0 END * n_label) / sum(n_label) AS test_f1
+      FROM st GROUP BY ALL),
+b AS (SELECT dataset_name, Name, seed,
+             0.5 * (count(*) FILTER (WHERE label = 1 AND prediction = label) / count(*) FILTER (WHERE label = 1)
+                  + count(*) FILTER (WHERE label <> 1 AND prediction = label) / count(*) FILTER (WHERE label <> 1))
+             AS test_AUC, CAST(count(*) AS DOUBLE) AS n_rows
+      FROM scored GROUP BY ALL),
+wide AS (SELECT Name || '-' || seed || '-' || dataset_name AS run_id, Name AS run_name, dataset_name,
+                'majority class' AS family, test_AUC, test_accuracy, test_precision, test_recall, test_f1, n_rows
+         FROM m JOIN b USING (dataset_name, Name, seed))
+"""
+
+_WIDE_OUT = """SELECT run_id, run_name, dataset_name, family, round(test_AUC, 6) AS test_AUC,
+  round(test_accuracy, 6) AS test_accuracy, round(test_precision, 6) AS test_precision,
+  round(test_recall, 6) AS test_recall, round(test_f1, 6) AS test_f1, round(n_rows, 6) AS n_rows FROM wide"""
+
+sql("experiment_pivot", F + EXPERIMENTS + _WIDE_OUT)
+sql("experiment_csv", F + EXPERIMENTS + _WIDE_OUT)
+
+sql("experiment_summary", F + EXPERIMENTS + """SELECT run_name AS Name, round(avg(test_AUC), 6) AS test_AUC,
+  round(avg(test_accuracy), 6) AS test_accuracy, round(avg(test_precision), 6) AS test_precision,
+  round(avg(test_recall), 6) AS test_recall, round(avg(test_f1), 6) AS test_f1, round(avg(n_rows), 6) AS n_rows,
+  round(avg(test_AUC / n_rows), 6) AS test_AUC_to_cost_ratio
+FROM wide WHERE dataset_name = 'Y2001' GROUP BY run_name""")
+
+sql("feature_roundtrip", F + RECENCY + "SELECT FLIGHT_ID, YEAR, DEP_DEL15, RecencyDays FROM rec WHERE YEAR = 2001")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, timefeat
 from ..operators import clean, features, graph, groups, rfm, sampling
+from ..session import checkpoint_dir
 
 # The model inputs of the reference pipeline.
 NUMERIC_FEATURES = ["HourlyPrecipitation", "HourlyDryBulbTemperature", "HourlyRelativeHumidity",
@@ -38,7 +39,20 @@ SPARSE = ["HourlyPressureChange", "HourlyWindGustSpeed"]
 REQUIRED = ["FL_DATE", "OP_UNIQUE_CARRIER", "TAIL_NUM", "OP_CARRIER_FL_NUM", "sched_depart_date_time_UTC", LABEL]
 
 
-def flight_features(flights: DataFrame, large_only: bool = True) -> DataFrame:
+def _cut(df: DataFrame, materialise: bool) -> DataFrame:
+    """Cut the lineage at a stage boundary (shared checkpoint folder).
+
+    Learned summaries are scalar subqueries and joins over upstream plans;
+    without a cut the analysed plan repeats the upstream plan inside every
+    subquery and every MLlib fit recomputes the joins from the raw tables.
+    """
+    if not materialise:
+        return df
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def flight_features(flights: DataFrame, large_only: bool = True, materialise: bool = True) -> DataFrame:
     """Feature table of the reference notebook, one row per kept flight.
 
     Steps: calendar flags, time slot, season, nearest weather measurement,
@@ -55,22 +69,24 @@ def flight_features(flights: DataFrame, large_only: bool = True) -> DataFrame:
     df = timefeat.with_season(df, "MONTH")
     df = timefeat.with_nearest_reference(df, "DATE")
     df = timefeat.with_recency_days(df, "FL_DATE")
+    df = clean.cast_numeric(df, WEATHER).drop(*SPARSE)
+    df = _cut(df, materialise)
 
-    scores = rfm.rfm_quartiles(rfm.rfm_table(df, CARRIER_KEYS))
+    scores = _cut(rfm.rfm_quartiles(rfm.rfm_table(df, CARRIER_KEYS)), materialise)
 
     vertices, edges = graph.build_graph(df, "origin_iata_code", "dest_iata_code")
-    central = graph.centralities(vertices, edges)
+    central = _cut(graph.centralities(vertices, edges), materialise)
     df = graph.with_vertex_scores(df, central, "origin_iata_code")
     df = clean.with_rank(df, ["degree_centrality", "betweenness_centrality", "closeness_centrality"])
 
-    df = clean.cast_numeric(df, WEATHER).drop(*SPARSE)
     df = df.na.drop(how="any", subset=REQUIRED + [c for c in WEATHER if c not in SPARSE])
     df = rfm.attach_rfm(df, scores, CARRIER_KEYS, how="inner")
     if large_only:
         df = clean.filter_equals(df, "origin_type", "large_airport")
+    df = _cut(df, materialise)
     df = groups.attach_groups(df, groups.airport_groups(df), "origin_iata_code")
     df = groups.attach_groups(df, groups.carrier_groups(df), "OP_UNIQUE_CARRIER")
-    return df
+    return _cut(df, materialise)
 
 
 def split_years(df: DataFrame, train_years: list[int], test_years: list[int]) -> tuple[DataFrame, DataFrame]:

@@ -29,7 +29,8 @@ def build_session(master: str | None = None, app_name: str = "skyledger",
     if master:
         builder = builder.master(master)
         if master.startswith("local"):
-            builder = builder.config("spark.ui.enabled", "false")
+            # Local mode: the driver JVM is the only executor; plans and tasks share its heap.
+            builder = builder.config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
     conf = dict(SESSION_DEFAULTS)
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
