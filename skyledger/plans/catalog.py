@@ -585,3 +585,25 @@ def feature_roundtrip(spark, sf_dir):
     tables.write_features(df, base, "flights", "test", partition_by=["YEAR"])
     back = tables.read_features(spark, base, "flights", "test")
     return back.filter(F.col("YEAR") == fx.TEST_YEARS[0]).select("FLIGHT_ID", "YEAR", "DEP_DEL15", "RecencyDays")
+
+
+@query
+def predict_stream(spark, sf_dir):
+    """M9 on a stream: test-year flights arrive as files; features, summaries and model are applied
+    per micro-batch; the result is read back from the streaming sink."""
+    from ..session import work_dir
+    from ..streaming import scoring
+
+    feats = pipeline.flight_features(flights(spark, sf_dir))
+    train, test = pipeline.split_years(feats, fx.TRAIN_YEARS, fx.TEST_YEARS)
+    stages = [features.one_hot(pipeline.CATEGORICAL_FEATURES, handle_invalid="keep"),
+              features.feature_pipeline(pipeline.NUMERIC_FEATURES, pipeline.ONEHOT_FEATURES),
+              models.classifier("lr_tuned", "input_features", "DEP_DEL15")]
+    fitted = features.Pipeline(stages=stages).fit(train)
+    landing = work_dir(spark, "landing")
+    test.repartition(4).write.mode("overwrite").parquet(landing)
+    stream = scoring.read_stream(spark, landing, test.schema, max_files_per_trigger=1)
+    sink = work_dir(spark, "scored")
+    q = scoring.score_stream(stream, lambda df: df, fitted, ["FLIGHT_ID", "DEP_DEL15"], sink)
+    q.awaitTermination()
+    return spark.read.parquet(sink)
