@@ -100,13 +100,24 @@ def vector_elements(df: DataFrame, vec: str, prefix: str, size: int) -> DataFram
 
 
 def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Pearson correlation of every pair (and the diagonal) in one aggregation, long form.
-
-    ``corr`` is a mergeable aggregate, so the fact rows are read once with
-    partial aggregation; the k*(k+1)/2 results come back as one row and are
-    turned into a long table with ``stack``.
+    """Pearson correlation of every pair (and the diagonal), long form.
+
+    Rows with a null in any listed column are left out (as assembling them
+    into one vector would). Two passes with map-side partial sums only: the
+    column means (one merged scalar subquery), then the sums of centred
+    products; corr(a, b) = S_ab / sqrt(S_aa * S_bb). Centring first keeps the
+    sums free of the cancellation of the one-pass formula, and plain sums stay
+    in generated code, so this is much faster than one ``corr`` aggregate per pair.
     """
+    data = df.select(*cols).na.drop(how="any")
+    means = data.agg(*[F.avg(c).alias(c) for c in cols])
+    centred = data.select(*[(F.col(c) - means.select(c).scalar()).alias(c) for c in cols])
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    wide = df.agg(*[F.corr(cols[i], cols[j]).alias(f"c{i}_{j}") for i, j in pairs])
-    args = ", ".join(f"'{cols[i]}', '{cols[j]}', c{i}_{j}" for i, j in pairs)
+    sums = centred.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"s{i}_{j}") for i, j in pairs])
+
+    def corr(i: int, j: int):
+        return F.col(f"s{i}_{j}") / F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
+
+    args = ", ".join(f"'{cols[i]}', '{cols[j]}', __c{i}_{j}" for i, j in pairs)
+    wide = sums.select(*[corr(i, j).alias(f"__c{i}_{j}") for i, j in pairs])
     return wide.selectExpr(f"stack({len(pairs)}, {args}) AS (feature_a, feature_b, corr)")

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialise
 
 
 def build_graph(df: DataFrame, src: str, dst: str, attrs: dict[str, str] | None = None
@@ -64,24 +64,26 @@ def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialise(df)
 
 
 def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None = None) -> DataFrame:
     """All-sources BFS: ``(source, id, dist, sigma)`` for every reachable pair (``dist`` 0 for itself).
 
     ``sigma`` is the number of shortest paths (a double: it can exceed 2^63).
+    Each level is written once; the reached set is the union of the written
+    levels, so no level is rewritten.
     """
-    e = edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst"))
-    e = _checkpoint(e)
-    reached = vertices.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"),
-                              F.lit(1.0).alias("sigma"))
-    reached = _checkpoint(reached)
-    frontier = reached
+    e = _checkpoint(edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst")))
+    frontier = _checkpoint(vertices.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"),
+                                           F.lit(1.0).alias("sigma")))
+    levels = [frontier]
     level = 0
     while max_levels is None or level < max_levels:
         level += 1
+        reached = levels[0]
+        for lv in levels[1:]:
+            reached = reached.unionByName(lv)
         step = frontier.join(e, F.col("id") == F.col("src")) \
             .groupBy("source", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
         new = step.join(reached.select("source", "id"), ["source", "id"], "left_anti") \
@@ -89,9 +91,12 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None
         new = _checkpoint(new)
         if new.isEmpty():
             break
-        reached = _checkpoint(reached.unionByName(new))
+        levels.append(new)
         frontier = new
-    return reached
+    out = levels[0]
+    for lv in levels[1:]:
+        out = out.unionByName(lv)
+    return out
 
 
 def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame | None = None,
@@ -102,8 +107,10 @@ def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFra
     sigma(s, v) / sigma(s, w) * (1 + delta(s, w)), computed level by level
     from the farthest distance down; betweenness(v) = sum over s != v.
     """
+    if paths is None:
+        vertices, edges = prepare(vertices, edges)
     sp = paths if paths is not None else shortest_paths(vertices, edges)
-    e = edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst"))
+    e = materialise(edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst")))
     max_d = sp.agg(F.max("dist")).head()[0] or 0
     parts = []
     deeper = None  # (source, id, sigma, delta) at level d + 1
@@ -142,6 +149,8 @@ def closeness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame
     For v reached from r - 1 other vertices at total distance D:
     ((r - 1) / D) * ((r - 1) / (n - 1)); 0 when nothing reaches v.
     """
+    if paths is None:
+        vertices, edges = prepare(vertices, edges)
     sp = paths if paths is not None else shortest_paths(vertices, edges)
     n = _vertex_count(vertices)
     per = sp.groupBy("id").agg(F.count(F.lit(1)).cast("double").alias("__r"), F.sum("dist").cast("double").alias("__d"))
@@ -150,8 +159,18 @@ def closeness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame
     return vertices.join(per, "id", "left").select("id", value.alias("closeness_centrality"))
 
 
+def prepare(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Write the vertex and distinct edge tables once.
+
+    Both are bounded by the graph (not the fact rows); every BFS and Brandes
+    level then reads them from files instead of re-deriving them from the facts.
+    """
+    return materialise(vertices.select("id")), materialise(edges.select("src", "dst").distinct())
+
+
 def centralities(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Degree, betweenness and closeness per vertex (one BFS shared by the last two)."""
+    vertices, edges = prepare(vertices, edges)
     sp = shortest_paths(vertices, edges)
     out = degree_centrality(vertices, edges)
     out = out.join(betweenness_centrality(vertices, edges, sp), "id")

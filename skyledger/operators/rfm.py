@@ -34,8 +34,15 @@ def rfm_table(df: DataFrame, keys: list[str], label: str = "DEP_DEL15", delay: s
     return agg.filter(F.col("__positives") > 0).drop("__positives")
 
 
-def rfm_quartiles(rfm: DataFrame) -> DataFrame:
-    """R/F/M letters from exact quartiles of the RFM table itself."""
+def rfm_quartiles(rfm: DataFrame, materialise: bool = False) -> DataFrame:
+    """R/F/M letters from exact quartiles of the RFM table itself.
+
+    ``materialise`` writes the RFM table (one row per group) once, so the
+    cut-point subqueries read it instead of re-aggregating the facts.
+    """
+    if materialise:
+        from ..session import materialise as _write
+        rfm = _write(rfm)
     out = quantile_bin(rfm, "Recency", "R_Quartile", *R_QUARTILE)
     out = quantile_bin(out, "Frequency", "F_Quartile", *F_QUARTILE, cut_source=rfm)
     return quantile_bin(out, "Monetary", "M_Quartile", *M_QUARTILE, cut_source=rfm)

@@ -118,7 +118,7 @@ def rfm_table(spark, sf_dir):
 
 @query
 def rfm_quartiles(spark, sf_dir):
-    return rounded(rfm.rfm_quartiles(rfm_of(spark, sf_dir)), ["Monetary", "Frequency"])
+    return rounded(rfm.rfm_quartiles(rfm_of(spark, sf_dir), materialise=True), ["Monetary", "Frequency"])
 
 
 @query
@@ -160,19 +160,19 @@ def attach_rfm(spark, sf_dir):
 
 @query
 def airport_groups(spark, sf_dir):
-    return groups.airport_groups(large_flights(spark, sf_dir))
+    return groups.airport_groups(large_flights(spark, sf_dir), materialise=True)
 
 
 @query
 def carrier_groups(spark, sf_dir):
-    return groups.carrier_groups(large_flights(spark, sf_dir))
+    return groups.carrier_groups(large_flights(spark, sf_dir), materialise=True)
 
 
 @query
 def attach_groups(spark, sf_dir):
     facts = large_flights(spark, sf_dir)
-    out = groups.attach_groups(facts, groups.airport_groups(facts), "origin_iata_code")
-    out = groups.attach_groups(out, groups.carrier_groups(facts), "OP_UNIQUE_CARRIER")
+    out = groups.attach_groups(facts, groups.airport_groups(facts, materialise=True), "origin_iata_code")
+    out = groups.attach_groups(out, groups.carrier_groups(facts, materialise=True), "OP_UNIQUE_CARRIER")
     return out.select("FLIGHT_ID", "origin_iata_code", "OP_UNIQUE_CARRIER", "airport_groups", "carrier_groups")
 
 

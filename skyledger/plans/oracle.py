@@ -375,8 +375,9 @@ FROM ok""")
 _CORR_COLS = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
               "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "ELEVATION", "DEP_DELAY", "DEP_DEL15"]
 
-sql("correlation_matrix", F + WEATHER_CAST + "\n" + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM num"
+sql("correlation_matrix", F + WEATHER_CAST + ", full_rows AS (SELECT * FROM num WHERE " +
+    " AND ".join(f"{c} IS NOT NULL" for c in _CORR_COLS) + ")\n" + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM full_rows"
     for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]))
 
 # ---------------------------------------------------------------- neighbours and SMOTE (brute force on the fixture)

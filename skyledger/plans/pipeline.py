@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, timefeat
 from ..operators import clean, features, graph, groups, rfm, sampling
-from ..session import checkpoint_dir
+from ..session import materialise as materialise_df
 
 # The model inputs of the reference pipeline.
 NUMERIC_FEATURES = ["HourlyPrecipitation", "HourlyDryBulbTemperature", "HourlyRelativeHumidity",
@@ -46,10 +46,7 @@ def _cut(df: DataFrame, materialise: bool) -> DataFrame:
     without a cut the analysed plan repeats the upstream plan inside every
     subquery and every MLlib fit recomputes the joins from the raw tables.
     """
-    if not materialise:
-        return df
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return materialise_df(df) if materialise else df
 
 
 def flight_features(flights: DataFrame, large_only: bool = True, materialise: bool = True) -> DataFrame:
@@ -72,7 +69,7 @@ def flight_features(flights: DataFrame, large_only: bool = True, materialise: bo
     df = clean.cast_numeric(df, WEATHER).drop(*SPARSE)
     df = _cut(df, materialise)
 
-    scores = _cut(rfm.rfm_quartiles(rfm.rfm_table(df, CARRIER_KEYS)), materialise)
+    scores = _cut(rfm.rfm_quartiles(rfm.rfm_table(df, CARRIER_KEYS), materialise=materialise), materialise)
 
     vertices, edges = graph.build_graph(df, "origin_iata_code", "dest_iata_code")
     central = _cut(graph.centralities(vertices, edges), materialise)
@@ -84,8 +81,8 @@ def flight_features(flights: DataFrame, large_only: bool = True, materialise: bo
     if large_only:
         df = clean.filter_equals(df, "origin_type", "large_airport")
     df = _cut(df, materialise)
-    df = groups.attach_groups(df, groups.airport_groups(df), "origin_iata_code")
-    df = groups.attach_groups(df, groups.carrier_groups(df), "OP_UNIQUE_CARRIER")
+    df = groups.attach_groups(df, groups.airport_groups(df, materialise=materialise), "origin_iata_code")
+    df = groups.attach_groups(df, groups.carrier_groups(df, materialise=materialise), "OP_UNIQUE_CARRIER")
     return _cut(df, materialise)
 
 

@@ -70,6 +70,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
+def materialise(df):
+    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+
+    Used at stage boundaries and for small learned tables (one row per group)
+    that several scalar subqueries read: they are computed once, and the plan
+    downstream starts from files instead of repeating the upstream plan.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
