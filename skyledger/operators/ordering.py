@@ -20,10 +20,9 @@ from ..session import checkpoint_dir
 _POS_BITS = 33
 
 
-def _partitions(df: DataFrame, n: int | None) -> int:
-    if n:
-        return n
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def _range(df: DataFrame, order: list[Column], n: int | None) -> DataFrame:
+    """Range-partition on ``order``; without ``n`` AQE picks (and coalesces) the partition count."""
+    return df.repartitionByRange(n, *order) if n else df.repartitionByRange(*order)
 
 
 def _order(cols: list[str | Column]) -> list[Column]:
@@ -38,7 +37,7 @@ def _tagged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
     execution and AQE may coalesce its partitions differently per consumer,
     so the tagged rows are checkpointed once to the shared checkpoint folder.
     """
-    ranged = (df.repartitionByRange(_partitions(df, num_partitions), *order)
+    ranged = (_range(df, order, num_partitions)
               .sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id()))
     checkpoint_dir(df.sparkSession)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_md5
+from ..session import materialise
 
 
 def union_all(dfs: list[DataFrame]) -> DataFrame:
@@ -57,12 +58,23 @@ def time_split(df: DataFrame, col: str, train_values: list, test_values: list) -
 
 
 def _class_plan(df: DataFrame, label: str, group: list[str]) -> DataFrame:
+    """Rows per (group, class) with the group's largest and smallest class count, written once.
+
+    The table has one row per (group, class). Writing it gives the planner its
+    true size: it is broadcast when small (the usual case: a few classes), so
+    the fact rows are never shuffled on the label, which has only a handful
+    of values and would put whole classes into single tasks; beyond the
+    broadcast threshold a sort-merge join with AQE skew splitting is used.
+    """
     counts = df.groupBy(*group, label).agg(F.count(F.lit(1)).alias("__n"))
     if group:
         stats = counts.groupBy(*group).agg(F.max("__n").alias("__max"), F.min("__n").alias("__min"))
-        return counts.join(stats, on=group)
-    stats = counts.agg(F.max("__n").alias("__max"), F.min("__n").alias("__min"))
-    return counts.select("*", stats.select("__max").scalar().alias("__max"), stats.select("__min").scalar().alias("__min"))
+        plan = counts.join(stats, on=group)
+    else:
+        stats = counts.agg(F.max("__n").alias("__max"), F.min("__n").alias("__min"))
+        plan = counts.select("*", stats.select("__max").scalar().alias("__max"),
+                             stats.select("__min").scalar().alias("__min"))
+    return materialise(plan)
 
 
 def upsample(df: DataFrame, label: str, group: list[str] = ()) -> DataFrame:

@@ -443,7 +443,7 @@ def predict(spark, sf_dir):
 def grid_search(spark, sf_dir):
     train, _test = model_data(spark, sf_dir)
     est = models.classifier("dt", "input_features", "DEP_DEL15")
-    _model, table = tuning.grid_search_cv(est, tuning.DT_GRID, train, "DEP_DEL15", folds=3, parallelism=4)
+    _model, table = tuning.grid_search_cv(est, tuning.DT_GRID, train, "DEP_DEL15", folds=3, parallelism=8)
     return table
 
 
@@ -452,7 +452,7 @@ def time_series_cv(spark, sf_dir):
     train, _test = model_data(spark, sf_dir)
     est = models.classifier("lr", "input_features", "DEP_DEL15")
     _best, _score, table = tuning.time_series_cv(est, tuning.LR_TIME_SERIES_GRID, train, "DEP_DEL15",
-                                                 ["FL_DATE", "FLIGHT_ID"], k=3, parallelism=4)
+                                                 ["FL_DATE", "FLIGHT_ID"], k=3, parallelism=8)
     return table
 
 

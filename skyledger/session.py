@@ -81,6 +81,22 @@ def materialise(df):
     return df.checkpoint(eager=True)
 
 
+ROWS_PER_PARTITION = 1_000_000
+
+
+def right_size(df, rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
+    """Coalesce ``df`` (``rows`` rows) to about ``rows_per_partition`` rows per partition.
+
+    Iterative MLlib fits run one job per iteration; on a small frame spread
+    over many partitions the task overhead dominates. The count scales with the
+    data, so a fold of a billion rows still gets a thousand partitions.
+    """
+    import math
+
+    target = max(1, math.ceil(rows / rows_per_partition))
+    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
