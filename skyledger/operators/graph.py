@@ -8,9 +8,10 @@ Shortest paths: a breadth-first search from every vertex at once. State is one
 row per reachable (source, vertex) pair with its distance and number of
 shortest paths; each level joins the frontier to the edges, sums path counts
 per (source, vertex) and drops pairs already reached. The loop ends when a
-level adds no rows (one count per level, a bounded scalar), and every level is
-checkpointed to the shared checkpoint folder so lineage stays short and a lost
-executor only recomputes one level.
+level adds no rows (one emptiness check per level). Levels are cached, and
+every few levels (and the final tables) are checkpointed to the shared
+checkpoint folder, so lineage stays short and a lost executor recomputes at
+most a few levels.
 
 Betweenness then accumulates Brandes dependencies from the farthest level
 back to the sources, again one join per level. Work is O(V * E) rows in
@@ -63,21 +64,42 @@ def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         .select("id", value.alias("degree_centrality"))
 
 
+# Lineage is cut (written to the shared checkpoint folder) every this many
+# levels; levels in between are cached in memory. A lost executor then
+# recomputes at most this many levels from the last written one.
+CHECKPOINT_EVERY = 4
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
-    return materialise(df)
+    # Graph tables are bounded by the graph (at most one row per vertex pair).
+    return materialise(df, small=True)
+
 
+def _level(df: DataFrame, level: int, cached: list) -> DataFrame:
+    """Keep one BFS / Brandes level: written every ``CHECKPOINT_EVERY`` levels, else cached."""
+    if level % CHECKPOINT_EVERY == 0:
+        return _checkpoint(df)
+    kept = df.persist()
+    kept.count()
+    cached.append(kept)
+    return kept
 
-def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None = None) -> DataFrame:
+
+def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None = None,
+                   prepared: bool = False) -> DataFrame:
     """All-sources BFS: ``(source, id, dist, sigma)`` for every reachable pair (``dist`` 0 for itself).
 
     ``sigma`` is the number of shortest paths (a double: it can exceed 2^63).
     Each level is written once; the reached set is the union of the written
     levels, so no level is rewritten.
     """
-    e = _checkpoint(edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst")))
-    frontier = _checkpoint(vertices.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"),
-                                           F.lit(1.0).alias("sigma")))
+    if not prepared:
+        vertices, edges = prepare(vertices, edges)
+    e = edges.filter(F.col("src") != F.col("dst"))
+    frontier = vertices.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"),
+                               F.lit(1.0).alias("sigma"))
     levels = [frontier]
+    cached: list = []
     level = 0
     while max_levels is None or level < max_levels:
         level += 1
@@ -88,7 +110,7 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None
             .groupBy("source", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
         new = step.join(reached.select("source", "id"), ["source", "id"], "left_anti") \
             .select("source", "id", F.lit(level).alias("dist"), "sigma")
-        new = _checkpoint(new)
+        new = _level(new, level, cached)
         if new.isEmpty():
             break
         levels.append(new)
@@ -96,6 +118,9 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
+    out = _checkpoint(out)
+    for kept in cached:
+        kept.unpersist()
     return out
 
 
@@ -109,10 +134,11 @@ def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFra
     """
     if paths is None:
         vertices, edges = prepare(vertices, edges)
-    sp = paths if paths is not None else shortest_paths(vertices, edges)
-    e = materialise(edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst")))
+    sp = paths if paths is not None else shortest_paths(vertices, edges, prepared=True)
+    e = edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst"))
     max_d = sp.agg(F.max("dist")).head()[0] or 0
     parts = []
+    cached: list = []
     deeper = None  # (source, id, sigma, delta) at level d + 1
     for d in range(max_d, 0, -1):
         here = sp.filter(F.col("dist") == d).select("source", "id", "sigma")
@@ -127,7 +153,7 @@ def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFra
             sums = contrib.groupBy("source", "id").agg(F.sum("c").alias("delta"))
             cur = here.join(sums, ["source", "id"], "left") \
                 .select("source", "id", "sigma", F.coalesce(F.col("delta"), F.lit(0.0)).alias("delta"))
-        cur = _checkpoint(cur)
+        cur = _level(cur, d, cached)
         parts.append(cur.select("id", "delta"))
         deeper = cur
     n = _vertex_count(vertices)
@@ -135,7 +161,9 @@ def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFra
         total = parts[0]
         for p in parts[1:]:
             total = total.unionByName(p)
-        sums = total.groupBy("id").agg(F.sum("delta").alias("__b"))
+        sums = _checkpoint(total.groupBy("id").agg(F.sum("delta").alias("__b")))
+        for kept in cached:
+            kept.unpersist()
     else:
         sums = vertices.select("id", F.lit(0.0).alias("__b")).limit(0)
     raw = F.coalesce(F.col("__b"), F.lit(0.0))
@@ -151,7 +179,7 @@ def closeness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame
     """
     if paths is None:
         vertices, edges = prepare(vertices, edges)
-    sp = paths if paths is not None else shortest_paths(vertices, edges)
+    sp = paths if paths is not None else shortest_paths(vertices, edges, prepared=True)
     n = _vertex_count(vertices)
     per = sp.groupBy("id").agg(F.count(F.lit(1)).cast("double").alias("__r"), F.sum("dist").cast("double").alias("__d"))
     value = F.when((F.col("__d") > 0) & (n > 1),
@@ -165,13 +193,13 @@ def prepare(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
     Both are bounded by the graph (not the fact rows); every BFS and Brandes
     level then reads them from files instead of re-deriving them from the facts.
     """
-    return materialise(vertices.select("id")), materialise(edges.select("src", "dst").distinct())
+    return _checkpoint(vertices.select("id")), _checkpoint(edges.select("src", "dst").distinct())
 
 
 def centralities(vertices: DataFrame, edges: DataFrame) -> DataFrame:
     """Degree, betweenness and closeness per vertex (one BFS shared by the last two)."""
     vertices, edges = prepare(vertices, edges)
-    sp = shortest_paths(vertices, edges)
+    sp = shortest_paths(vertices, edges, prepared=True)
     out = degree_centrality(vertices, edges)
     out = out.join(betweenness_centrality(vertices, edges, sp), "id")
     return out.join(closeness_centrality(vertices, edges, sp), "id")

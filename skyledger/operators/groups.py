@@ -22,7 +22,7 @@ def volume_groups(df: DataFrame, key: str, out: str, scheme=AIRPORT_GROUPS, mate
     counts = count_by(df, key)
     if materialise:
         from ..session import materialise as _write
-        counts = _write(counts)
+        counts = _write(counts, small=True)
     return quantile_bin(counts, "count", out, *scheme)
 
 

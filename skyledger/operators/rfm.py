@@ -42,7 +42,7 @@ def rfm_quartiles(rfm: DataFrame, materialise: bool = False) -> DataFrame:
     """
     if materialise:
         from ..session import materialise as _write
-        rfm = _write(rfm)
+        rfm = _write(rfm, small=True)
     out = quantile_bin(rfm, "Recency", "R_Quartile", *R_QUARTILE)
     out = quantile_bin(out, "Frequency", "F_Quartile", *F_QUARTILE, cut_source=rfm)
     return quantile_bin(out, "Monetary", "M_Quartile", *M_QUARTILE, cut_source=rfm)

@@ -74,7 +74,7 @@ def _class_plan(df: DataFrame, label: str, group: list[str]) -> DataFrame:
         stats = counts.agg(F.max("__n").alias("__max"), F.min("__n").alias("__min"))
         plan = counts.select("*", stats.select("__max").scalar().alias("__max"),
                              stats.select("__min").scalar().alias("__min"))
-    return materialise(plan)
+    return materialise(plan, small=True)
 
 
 def upsample(df: DataFrame, label: str, group: list[str] = ()) -> DataFrame:

@@ -72,18 +72,34 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def materialise(df):
+def materialise(df, small: bool = False):
     """Write ``df`` to the shared checkpoint folder and continue from the written copy.
 
     Used at stage boundaries and for small learned tables (one row per group)
     that several scalar subqueries read: they are computed once, and the plan
     downstream starts from files instead of repeating the upstream plan.
     """
+    from pyspark import StorageLevel
+
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # A reliable checkpoint writes its files in a second job over the same
+    # rows; caching first makes that job read the cached rows instead of
+    # recomputing the plan. The cache is released once the files exist.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = cached.checkpoint(eager=True)
+    finally:
+        cached.unpersist()
+    if small:
+        # Learned tables (one row per group, class, vertex or BFS level) are tiny
+        # next to the shuffle's partition count; fewer partitions keep every
+        # later join over them from scheduling mostly empty tasks.
+        out = right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
+    return out
 
 
 ROWS_PER_PARTITION = 1_000_000
+SMALL_ROWS_PER_PARTITION = 200_000
 
 
 def right_size(df, rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
