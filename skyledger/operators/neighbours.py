@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_md5
-from ..session import checkpoint_dir
+from ..session import materialise
 
 INF = float("inf")
 
@@ -43,9 +43,8 @@ def euclidean(a: Column, b: Column) -> Column:
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v))
 
 
-def _materialise(df: DataFrame) -> DataFrame:
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _materialise(df: DataFrame, small: bool = False) -> DataFrame:
+    return materialise(df, small=small)
 
 
 def top_k_per_group(df: DataFrame, part: list[str], order: list[Column | str], k: int,
@@ -97,7 +96,7 @@ def knn(df: DataFrame, id_col: str, vec_col: str, k: int, num_pivots: int | None
         F.when(F.col("L").isNull(), F.lit(INF)).otherwise(F.col("U") + F.col("L")).alias("theta"),
         F.when(F.col("L").isNull(), F.lit(INF)).otherwise(2 * F.col("U") + F.col("L")).alias("reach"),
         F.greatest(F.lit(1), F.ceil(F.col("members") / F.lit(chunk))).cast("int").alias("salts"))
-    bounds = _materialise(bounds)
+    bounds = _materialise(bounds, small=True)
     reach = bounds.agg(F.map_from_entries(F.collect_list(F.struct("cell", "reach")))).scalar()
     salts = bounds.agg(F.map_from_entries(F.collect_list(F.struct("cell", "salts")))).scalar()
 

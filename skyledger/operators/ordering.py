@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_dir
+from ..session import materialise
 
 _POS_BITS = 33
 
@@ -35,13 +35,12 @@ def _tagged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
     The tags must be identical for every consumer (the per-partition totals
     and the rows themselves). A range shuffle samples its boundaries per
     execution and AQE may coalesce its partitions differently per consumer,
-    so the tagged rows are checkpointed once to the shared checkpoint folder.
+    so the tagged rows are written once to the shared checkpoint folder.
     """
     ranged = (_range(df, order, num_partitions)
               .sortWithinPartitions(*order)
               .withColumn("__mid", F.monotonically_increasing_id()))
-    checkpoint_dir(df.sparkSession)
-    ranged = ranged.checkpoint(eager=True)
+    ranged = materialise(ranged)
     return ranged.withColumn("__pid", F.shiftright("__mid", _POS_BITS)) \
                  .withColumn("__pos", F.col("__mid").bitwiseAND((1 << _POS_BITS) - 1)).drop("__mid")
 

@@ -59,13 +59,15 @@ def flight_features(flights: DataFrame, large_only: bool = True, materialise: bo
     unique keys is the same rows, SURVEY Q10); only groups with a delay kept;
     large origins only; volume groups for airports and carriers.
     """
+    # Scalars learned from the input (latest date, year span) are taken from
+    # the input itself, so their subqueries scan one column and nothing else.
     cal = calendar.calendar_for(flights, "FL_DATE")
-    df = calendar.with_holiday_flag(flights, "FL_DATE", cal)
+    df = timefeat.with_recency_days(flights, "FL_DATE")
+    df = calendar.with_holiday_flag(df, "FL_DATE", cal)
     df = calendar.with_holiday_rush(df, "FL_DATE", cal)
     df = timefeat.with_time_slot(df, "DEP_TIME_BLK")
     df = timefeat.with_season(df, "MONTH")
     df = timefeat.with_nearest_reference(df, "DATE")
-    df = timefeat.with_recency_days(df, "FL_DATE")
     df = clean.cast_numeric(df, WEATHER).drop(*SPARSE)
     df = _cut(df, materialise)
 

@@ -78,10 +78,21 @@ def materialise(df, small: bool = False):
     Used at stage boundaries and for small learned tables (one row per group)
     that several scalar subqueries read: they are computed once, and the plan
     downstream starts from files instead of repeating the upstream plan.
+
+    Row-level tables are written as Parquet (one job, compressed, and later
+    reads prune columns and use the vectorised reader). Small tables use a
+    reliable checkpoint (no file-commit round trip) and are coalesced to a
+    few partitions.
     """
+    spark = df.sparkSession
+    if not small:
+        path = work_dir(spark, "table")
+        df.write.mode("overwrite").parquet(path)
+        return spark.read.parquet(path)
+
     from pyspark import StorageLevel
 
-    checkpoint_dir(df.sparkSession)
+    checkpoint_dir(spark)
     # A reliable checkpoint writes its files in a second job over the same
     # rows; caching first makes that job read the cached rows instead of
     # recomputing the plan. The cache is released once the files exist.
@@ -90,12 +101,10 @@ def materialise(df, small: bool = False):
         out = cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
-    if small:
-        # Learned tables (one row per group, class, vertex or BFS level) are tiny
-        # next to the shuffle's partition count; fewer partitions keep every
-        # later join over them from scheduling mostly empty tasks.
-        out = right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
-    return out
+    # Learned tables (one row per group, class, vertex or BFS level) are tiny
+    # next to the shuffle's partition count; fewer partitions keep every later
+    # join over them from scheduling mostly empty tasks.
+    return right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
 
 
 ROWS_PER_PARTITION = 1_000_000
