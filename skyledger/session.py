@@ -72,20 +72,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def materialise(df, small: bool = False):
+def materialise(df, small: bool = False, parquet: bool = False):
     """Write ``df`` to the shared checkpoint folder and continue from the written copy.
 
     Used at stage boundaries and for small learned tables (one row per group)
     that several scalar subqueries read: they are computed once, and the plan
     downstream starts from files instead of repeating the upstream plan.
 
-    Row-level tables are written as Parquet (one job, compressed, and later
-    reads prune columns and use the vectorised reader). Small tables use a
-    reliable checkpoint (no file-commit round trip) and are coalesced to a
-    few partitions.
+    Default: a reliable checkpoint, with the rows cached first so the file
+    write does not recompute the plan. ``small`` tables are then coalesced to
+    a few partitions. ``parquet`` writes a Parquet table instead (one job,
+    compressed, later reads prune columns): the better choice for very wide
+    row-level intermediates that later stages read only partly.
     """
     spark = df.sparkSession
-    if not small:
+    if parquet:
         path = work_dir(spark, "table")
         df.write.mode("overwrite").parquet(path)
         return spark.read.parquet(path)
@@ -93,18 +94,17 @@ def materialise(df, small: bool = False):
     from pyspark import StorageLevel
 
     checkpoint_dir(spark)
-    # A reliable checkpoint writes its files in a second job over the same
-    # rows; caching first makes that job read the cached rows instead of
-    # recomputing the plan. The cache is released once the files exist.
     cached = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         out = cached.checkpoint(eager=True)
     finally:
         cached.unpersist()
-    # Learned tables (one row per group, class, vertex or BFS level) are tiny
-    # next to the shuffle's partition count; fewer partitions keep every later
-    # join over them from scheduling mostly empty tasks.
-    return right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
+    if small:
+        # Learned tables (one row per group, class, vertex or BFS level) are
+        # tiny next to the shuffle's partition count; fewer partitions keep
+        # every later join over them from scheduling mostly empty tasks.
+        out = right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
+    return out
 
 
 ROWS_PER_PARTITION = 1_000_000
@@ -124,6 +124,17 @@ def right_size(df, rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
     return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
 
 
+def spread(df, min_partitions: int | None = None):
+    """At least ``min_partitions`` (default: the cluster's parallelism) partitions.
+
+    Model fitting is compute-bound per row; a small table read back from a few
+    files would otherwise train on a few cores. Larger inputs already have
+    more partitions and are left as they are.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediates."""
     base = checkpoint_dir(spark).rstrip("/")
