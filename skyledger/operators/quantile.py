@@ -22,14 +22,40 @@ def _disc(col: str, p: float) -> Column:
     return F.expr(f"percentile_disc({float(p)!r}) WITHIN GROUP (ORDER BY `{col}`)")
 
 
-def quantile_cuts(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
-    """A5: one row, one column per probability (``q25`` for 0.25), exact discrete quantiles."""
+def quantile_cuts(df: DataFrame, col: str, probs: list[float], method: str = "disc") -> DataFrame:
+    """A5: one row, one column per probability (``q25`` for 0.25), exact discrete quantiles.
+
+    ``method="disc"`` (default) is ``percentile_disc``: one aggregation, but its
+    final merge holds one entry per distinct value in a single task. Use
+    ``method="rank"`` for row-level columns with very many distinct values: it
+    numbers the sorted non-null values with the distributed global row number
+    and picks the rows at positions ceil(p * n) (at least 1), the same
+    definition (smallest value whose cumulative share reaches p).
+    """
+    if method == "rank":
+        return _ranked_cuts(df, col, probs)
     return df.agg(*[_disc(col, p).alias(_p_name(p)) for p in probs])
 
 
-def cut_scalars(df: DataFrame, col: str, probs: list[float]) -> list[Column]:
+def _ranked_cuts(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
+    from fractions import Fraction
+    from math import ceil
+
+    from .ordering import with_global_row_id
+
+    values = df.select(F.col(col).alias("__x")).filter(F.col("__x").isNotNull())
+    n = values.count()
+    # Exact rational arithmetic: 0.7 * 10 must give position 7, not 8.
+    positions = {p: max(1, ceil(Fraction(str(p)) * n)) for p in probs}
+    ranked = with_global_row_id(values, ["__x"], out="__rank")
+    picked = ranked.filter(F.col("__rank").isin(sorted(set(positions.values()))))
+    return picked.agg(*[F.max(F.when(F.col("__rank") == pos, F.col("__x")).cast("double")).alias(_p_name(p))
+                        for p, pos in positions.items()])
+
+
+def cut_scalars(df: DataFrame, col: str, probs: list[float], method: str = "disc") -> list[Column]:
     """The cut points of ``quantile_cuts`` as scalar-subquery columns, in ``probs`` order."""
-    cuts = quantile_cuts(df, col, probs)
+    cuts = quantile_cuts(df, col, probs, method)
     return [cuts.select(_p_name(p)).scalar() for p in probs]
 
 

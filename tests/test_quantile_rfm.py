@@ -57,3 +57,16 @@ def test_enrich_self_fans_out_on_duplicate_keys(spark):
     full = spark.createDataFrame([(1, "p"), (1, "q"), (3, "r")], "k int, extra string")
     out = clean.enrich_self(sub, full, ["k"])
     assert sorted((r["k"], r["extra"]) for r in out.collect()) == [(1, "p"), (1, "q"), (2, None)]
+
+
+def test_ranked_cuts_equal_percentile_disc(spark):
+    import random
+    rnd = random.Random(5)
+    probs = [0.0, 0.1, 0.25, 0.5, 0.7, 0.75, 0.9, 1.0]
+    for n in [1, 2, 5, 6, 10, 11, 97]:
+        vals = [float(rnd.randint(0, 30)) for _ in range(n)] + [None]
+        df = spark.createDataFrame([(v,) for v in vals], "x double")
+        disc = quantile.quantile_cuts(df, "x", probs).head().asDict()
+        ranked = quantile.quantile_cuts(df, "x", probs, method="rank").head().asDict()
+        want = {quantile._p_name(p): _disc([v for v in vals if v is not None], p) for p in probs}
+        assert ranked == disc == want, (n, ranked, disc, want)
