@@ -25,10 +25,8 @@ The reference's approximate variant (random-projection LSH) is kept as
 
 from __future__ import annotations
 
-import math
-
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -180,4 +178,4 @@ def smote_vectors(df: DataFrame, features: str = "features") -> DataFrame:
 
 
 __all__ = ["euclidean", "top_k_per_group", "pick_one_per_group", "knn", "lsh_candidates", "smote",
-           "smote_vectors", "vector_to_array", "math"]
+           "smote_vectors"]
