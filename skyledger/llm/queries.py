@@ -2,19 +2,47 @@
 
 from __future__ import annotations
 
-from skyledger.llm import decontam, dedup, jaccard, mixing, toxicity
+from skyledger.llm import chat, decontam, dedup, jaccard, licenses, mixing, quality, tokens, toxicity, urls
 
 
 def _read(spark, sf_dir: str, table: str):
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_licenses(spark, sf_dir):
+    """License signatures in every document."""
+    return licenses.scan_licenses(_read(spark, sf_dir, "documents"))
+
+
+def op2_url_filter(spark, sf_dir):
+    """Judge every page's URL; the classifier learns from a bounded sample of URLs that rules judge."""
+    pages = _read(spark, sf_dir, "pages")
+    return urls.judge(pages, urls.fit(urls.rule_labels(pages)))
+
+
 def op3_toxicity(spark, sf_dir):
     """Score every document with a network trained on the labelled rows that aren't held out."""
     docs = _read(spark, sf_dir, "documents")
     return toxicity.toxicity(docs, toxicity.fit(docs, _read(spark, sf_dir, "labels")))
 
 
+def op4_quality(spark, sf_dir):
+    """Score every document with a rule ensemble fitted on the labelled rows that aren't held out."""
+    docs = _read(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.fit(docs, _read(spark, sf_dir, "labels")))
+
+
+def op5_chat_format(spark, sf_dir):
+    """Every conversation's prompts as tool calls linked to the replies."""
+    return chat.link_tool_calls(*chat.turns_as_calls(_read(spark, sf_dir, "conversations")), chat.CHAT_TOOLS)
+
+
+def op6_token_counts(spark, sf_dir):
+    """Tokens of every document."""
+    import public_tokenizers
+    return tokens.token_counts(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op7_mixing(spark, sf_dir):
     """Mix all documents to the sources' target weights."""
     return mixing.mix(_read(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
@@ -35,7 +63,9 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
-QUERIES = {f.__name__: f for f in (op3_toxicity, op7_mixing, op8_ngram_jaccard, op9_exact_dedup, op10_decontamination)}
+QUERIES = {f.__name__: f for f in (
+    op1_licenses, op2_url_filter, op3_toxicity, op4_quality, op5_chat_format, op6_token_counts, op7_mixing,
+    op8_ngram_jaccard, op9_exact_dedup, op10_decontamination)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -47,7 +77,7 @@ ORACLE = {
     "op8_ngram_jaccard": r"""
         with recursive w as (
             select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), x -> x <> '') as ws from documents),
+                   'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as ws from documents),
         s as (
             select distinct doc_id, case when len(ws) < 5 then array_to_string(ws, ' ')
                    else array_to_string(ws[i:i + 4], ' ') end as sh
