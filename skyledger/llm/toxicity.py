@@ -32,10 +32,17 @@ WORDS_AT_ONCE = 300_000
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
 
-def gram_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed 3- to 5-grams of ``^word$`` (long words whole): bucket and word number of each."""
+def gram_buckets(words: list[bytes], block: int = 20_000) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed 3- to 5-grams of ``^word$`` (long words whole): buckets, word after word, and each word's number of them."""
+    parts = [_gram_block(words[k:k + block]) for k in range(0, len(words), block)]
+    if not parts:
+        return np.zeros(0, np.int32), np.zeros(0, np.int64)
+    return np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
+
+
+def _gram_block(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     raw = np.frombuffer(b"".join(b"^" + w + b"$\n" for w in words), np.uint8)
-    owner = np.repeat(np.arange(len(words)), np.fromiter((len(w) + 3 for w in words), np.int64, len(words)))
+    owner = np.repeat(np.arange(len(words), dtype=np.int32), np.fromiter((len(w) + 3 for w in words), np.int64, len(words)))
     end = raw == 10
     b = raw.astype(np.uint64) + np.uint64(1)
     out, who = [], []
@@ -47,13 +54,10 @@ def gram_buckets(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         h, crossed = h[:m] + b[n - 1:n - 1 + m] * _P[n - 1], crossed[:m] | end[n - 1:n - 1 + m]
         if n >= 3:
             ok = ~crossed
-            out.append((tx.finish(h[ok] * np.uint64(2 * n + 1)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64))
+            out.append((tx.finish(h[ok] * np.uint64(2 * n + 1)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int32))
             who.append(owner[:m][ok])
-    if not out:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    bucket, word = np.concatenate(out), np.concatenate(who)
-    order = np.argsort(word, kind="stable")
-    return bucket[order], word[order]
+    bucket, word = np.concatenate(out), np.concatenate(who)  # every word has a gram: ^w$ is three bytes at least
+    return bucket[np.argsort(word, kind="stable")], np.bincount(word, minlength=len(words))
 
 
 def _sigmoid(x):
@@ -70,17 +74,15 @@ class Model:
     scale: float = 1.0
     shift: float = 0.0
 
-    def features(self, words: list[bytes]) -> np.ndarray:
-        bucket, owner = gram_buckets(words)
-        x = np.zeros((len(words), FEATURES), np.float32)
-        x[:, 0] = self.word_odds[word_buckets(words)]
-        if len(bucket):
-            odds = self.gram_odds[bucket]
-            first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
-            at = owner[first]
-            x[at, 1] = np.maximum.reduceat(odds, first)
-            x[at, 2] = np.add.reduceat(odds, first) / np.diff(np.r_[first, len(owner)])
-        x[:, 3] = 1.0
+    def features(self, words: list[bytes], block: int = 20_000) -> np.ndarray:
+        x = np.ones((len(words), FEATURES), np.float32)
+        for k in range(0, len(words), block):
+            part = x[k:k + block]
+            bucket, n = gram_buckets(words[k:k + block])
+            odds, first = self.gram_odds[bucket], np.cumsum(n) - n
+            part[:, 0] = self.word_odds[word_buckets(words[k:k + block])]
+            part[:, 1] = np.maximum.reduceat(odds, first)
+            part[:, 2] = np.add.reduceat(odds, first) / n
         return x
 
 
@@ -222,26 +224,30 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     if not len(y) or y.min() == y.max():
         return Model(empty, empty, {}, 0.0, 0.0 if not len(y) else (4.0 if y[0] else -4.0))
     rng = np.random.default_rng(seed)
-    docs = [tx.label_words(t) for t in texts]
+    number: dict[bytes, int] = {}  # documents as word numbers: far smaller than lists of words
+    docs = [np.fromiter((number.setdefault(w, len(number)) for w in tx.label_words(t)), np.int32) for t in texts]
+    vocabulary = list(number)
+    del number
     counting = np.arange(len(docs)) % 3 != 2  # the others train the network
+    wb = word_buckets(vocabulary).astype(np.int32)
+    gb, n = gram_buckets(vocabulary)
+    first = np.cumsum(n) - n
     word_sets, gram_sets = [], []
-    vocabulary = sorted({w for d in docs for w in d})
-    number = {w: i for i, w in enumerate(vocabulary)}
-    wb = word_buckets(vocabulary) if vocabulary else np.zeros(0, np.int64)
-    gb, owner = gram_buckets(vocabulary)
-    first = np.searchsorted(owner, np.arange(len(vocabulary) + 1))
     for d in docs:
-        own = np.unique(np.fromiter((number[w] for w in d), np.int64, len(d)))
+        own = np.unique(d)
         word_sets.append(np.unique(wb[own]))
-        gram_sets.append(np.unique(np.concatenate([gb[first[i]:first[i + 1]] for i in own] or [gb[:0]])))
+        gram_sets.append(np.unique(np.concatenate([gb[first[i]:first[i] + n[i]] for i in own] or [gb[:0]])))
+    del gb
     pick = lambda sets, at: [sets[i] for i in np.flatnonzero(at)]
     model = Model(log_odds(pick(word_sets, counting), y[counting]), log_odds(pick(gram_sets, counting), y[counting]))
-    reader = Reader(model, 1 << 60)
+    del word_sets, gram_sets
     own = np.flatnonzero(~counting)
-    ids, owner = windows(reader.number([docs[i] for i in own]))
+    ids, owner = windows([docs[i] + 1 for i in own])  # 0 pads
     if not len(ids):
         return Model(empty, empty, {}, 0.0, float(np.log(y.mean() / (1 - y.mean()))))
-    x = reader.x.astype(float)
+    used, dense = np.unique(np.append(ids, 0), return_inverse=True)
+    ids = dense[:-1].reshape(ids.shape).astype(np.int32)
+    x = np.concatenate([np.zeros((1, FEATURES)), model.features([vocabulary[i - 1] for i in used[1:]])])
     target = y[own][owner]
     strength = x[ids, :2].sum(2)
     strength[ids == 0] = -9
@@ -268,7 +274,7 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
                 m += 0.1 * (g - m)
                 v += 0.01 * (g * g - v)
                 net[k] -= RATE * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.99 ** step)) + 1e-8)
-    # Final log odds come from all training rows; the logit of the strongest window is then calibrated.
+    # The logit of a text's strongest window, calibrated.
     logit = np.full(len(own), -np.inf)
     np.maximum.at(logit, owner, forward(net, gate_inputs(net, x), ids))
     seen = np.isfinite(logit)
