@@ -233,13 +233,21 @@ def links(sets: DataFrame, percent: int) -> DataFrame:
     cb = comp.select(F.col("node").alias("b"), F.col("component").alias("cb"))
     open_ = save(open_.join(ca, "a", "left").join(cb, "b", "left")
                  .filter(~F.coalesce(F.col("ca") == F.col("cb"), F.lit(False))).select("a", "b", "d"), "open")
-    la, lb = (q.select("h", F.col("hub").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "rest", "far"))) for s in "ab")
-    single = (open_.join(la, "a").join(lb, ["h", "b"]).filter(
-        (F.col("d") - F.col("far_a") - F.col("far_b") <= apart + EPS)
-        & (F.col("far_a") + F.col("far_b") > 0)
-        & _sizes_fit(F.col("n_a"), F.col("n_b"), percent)
-        & _may_reach(F.col("rest_a"), F.col("rest_b"), F.col("n_a"), F.col("n_b"), percent))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct())
+    # The hub with fewer postings unfolds first, so a large group is only met where a list is shared.
+    weight = q.groupBy("hub").agg(F.count(F.lit(1)).alias("w"))
+    wa, wb = (weight.select(F.col("hub").alias(s), F.col("w").alias(f"w{s}")) for s in "ab")
+    fewer = F.col("wa") <= F.col("wb")
+    open_ = open_.join(wa, "a").join(wb, "b").select(
+        F.when(fewer, F.col("a")).otherwise(F.col("b")).alias("few"),
+        F.when(fewer, F.col("b")).otherwise(F.col("a")).alias("many"), "d")
+    lf, lm = (q.select("h", F.col("hub").alias(s), *(F.col(c).alias(f"{c}_{s}") for c in ("node", "n", "rest", "far")))
+              for s in ("few", "many"))
+    single = (open_.join(lf, "few").join(lm, ["h", "many"]).filter(
+        (F.col("d") - F.col("far_few") - F.col("far_many") <= apart + EPS)
+        & (F.col("far_few") + F.col("far_many") > 0)
+        & _sizes_fit(F.col("n_few"), F.col("n_many"), percent)
+        & _may_reach(F.col("rest_few"), F.col("rest_many"), F.col("n_few"), F.col("n_many"), percent))
+        .select(F.col("node_few").alias("a"), F.col("node_many").alias("b")).distinct())
     third = _verified(single, sets).filter(f"100 * inter >= {percent} * uni").select("a", "b")
     return save(joined.unionByName(third).distinct(), "links")
 
