@@ -23,38 +23,38 @@ BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved"
 
 #: Families: label, names as regular expressions over words, versions, a keyword each detection needs, weight.
 FAMILIES = [
-    ("gpl", r"(?:gnu )?(?:general public license|gpl)", "1 2 3", ("g",), 0.9),
-    ("lgpl", r"(?:gnu )?(?:lesser general public license|library general public license|lgpl)", "2 2 1 3", ("l",), 0.9),
-    ("agpl", r"(?:gnu )?(?:affero general public license|agpl)", "1 3", ("a",), 0.9),
-    ("gfdl", r"(?:gnu )?(?:free documentation license|gfdl)", "1 1 1 2 1 3", ("f",), 0.9),
-    ("apache", r"apache(?: software)?(?: public)? license", "1 0 1 1 2 0", ("apache",), 0.9),
+    ("gpl", r"(?:gnu )?(?:general public license|gpl)", "1,2,3", ("g",), 0.9),
+    ("lgpl", r"(?:gnu )?(?:lesser general public license|library general public license|lgpl)", "2 1,2,3", ("l",), 0.9),
+    ("agpl", r"(?:gnu )?(?:affero general public license|agpl)", "1,3", ("a",), 0.9),
+    ("gfdl", r"(?:gnu )?(?:free documentation license|gfdl)", "1 1,1 2,1 3", ("f",), 0.9),
+    ("apache", r"apache(?: software)?(?: public)? license", "1 0,1 1,2 0", ("apache",), 0.9),
     ("mit", r"mit license", "", ("mit",), 0.9),
     ("x11", r"x11 license", "", ("x11",), 0.8),
-    ("bsd", r"(?:bsd|(?:2|3|4|two|three|four) clause bsd|berkeley software distribution) license", "2 3 4", ("license",), 0.9),
+    ("bsd", r"(?:bsd|(?:2|3|4|two|three|four) clause bsd|berkeley software distribution) license", "2,3,4", ("license",), 0.9),
     ("isc", r"isc license", "", ("isc",), 0.9),
-    ("mpl", r"mozilla public license", "1 0 1 1 2 0", ("mozilla",), 0.9),
-    ("epl", r"eclipse public license", "1 0 2 0", ("eclipse",), 0.9),
-    ("cddl", r"common development and distribution license", "1 0 1 1", ("development",), 0.9),
+    ("mpl", r"mozilla public license", "1 0,1 1,2 0", ("mozilla",), 0.9),
+    ("epl", r"eclipse public license", "1 0,2 0", ("eclipse",), 0.9),
+    ("cddl", r"common development and distribution license", "1 0,1 1", ("development",), 0.9),
     ("cpl", r"common public license", "1 0", ("common",), 0.8),
-    ("eupl", r"european union public licen[cs]e", "1 1 1 2", ("european",), 0.9),
-    ("artistic", r"artistic license", "1 0 2 0", ("artistic",), 0.9),
+    ("eupl", r"european union public licen[cs]e", "1 1,1 2", ("european",), 0.9),
+    ("artistic", r"artistic license", "1 0,2 0", ("artistic",), 0.9),
     ("zlib", r"zlib(?: libpng)? license", "", ("zlib",), 0.9),
     ("boost", r"boost software license", "1 0", ("boost",), 0.9),
     ("wtfpl", r"do what the \w+ you want to public license", "2", ("what",), 0.9),
     ("unlicense", r"unlicense", "", ("unlicense",), 0.8),
     ("postgresql", r"postgresql license", "", ("postgresql",), 0.9),
-    ("python", r"python(?: software foundation)? license", "2 3", ("python",), 0.8),
+    ("python", r"python(?: software foundation)? license", "2,3", ("python",), 0.8),
     ("openssl", r"openssl license", "", ("openssl",), 0.9),
     ("ms-pl", r"microsoft public license", "", ("microsoft",), 0.9),
-    ("ofl", r"sil open font license", "1 0 1 1", ("font",), 0.9),
+    ("ofl", r"sil open font license", "1 0,1 1", ("font",), 0.9),
     ("odbl", r"open database license", "1 0", ("database",), 0.9),
     ("cc0", r"(?:cc0|creative commons zero)", "1 0", ("cc0",), 0.9),
-    ("cc-by-nc-nd", r"cc by nc nd", "2 0 2 5 3 0 4 0", ("cc", "nd"), 0.9),
-    ("cc-by-nc-sa", r"cc by nc sa", "2 0 2 5 3 0 4 0", ("cc", "sa"), 0.9),
-    ("cc-by-nc", r"cc by nc", "2 0 2 5 3 0 4 0", ("cc", "nc"), 0.9),
-    ("cc-by-nd", r"cc by nd", "2 0 2 5 3 0 4 0", ("cc", "nd"), 0.9),
-    ("cc-by-sa", r"cc by sa", "2 0 2 5 3 0 4 0", ("cc", "sa"), 0.9),
-    ("creative-commons", r"creative commons(?: attribution)?(?: (?:non ?commercial|share ?alike|no ?deriv(?:ative)?s))*", "2 0 3 0 4 0", ("creative",), 0.7),
+    ("cc-by-nc-nd", r"cc by nc nd", "2 0,2 5,3 0,4 0", ("cc", "nd"), 0.9),
+    ("cc-by-nc-sa", r"cc by nc sa", "2 0,2 5,3 0,4 0", ("cc", "sa"), 0.9),
+    ("cc-by-nc", r"cc by nc", "2 0,2 5,3 0,4 0", ("cc", "nc"), 0.9),
+    ("cc-by-nd", r"cc by nd", "2 0,2 5,3 0,4 0", ("cc", "nd"), 0.9),
+    ("cc-by-sa", r"cc by sa", "2 0,2 5,3 0,4 0", ("cc", "sa"), 0.9),
+    ("creative-commons", r"creative commons(?: attribution)?(?: (?:non ?commercial|share ?alike|no ?deriv(?:ative)?s))*", "2 0,3 0,4 0", ("creative",), 0.7),
     ("public-domain", r"public domain", "", ("domain",), 0.4),
 ]
 #: Wordings around a name, from most to least specific, with the weight each adds.
@@ -65,7 +65,7 @@ FORMS = [
     (r"subject to (?:the )?(?:terms of (?:the )?)?{n}(?: version)?(?: v? ?{v})?", 0.95, ("subject",)),
     (r"(?:see|read) (?:the )?{n}(?: version)?(?: v? ?{v})?", 0.8, ("the",)),
     (r"copy of (?:the )?{n}", 0.8, ("copy",)),
-    (r"{n}(?: license)? version {v}", 0.9, ("version",)),
+    (r"{n} version {v}", 0.9, ("version",)),
     (r"{n} v? ?{v}", 0.85, ()),
     (r"{n}", 0.7, ()),
 ]
@@ -92,14 +92,14 @@ class Rule:
 
 
 def _versions(raw: str) -> str:
-    """Version numbers as words: "2 0" and the like, or the bare digits listed."""
-    return "(?:" + "|".join(dict.fromkeys(re.findall(r"\d(?: \d)?", raw) + raw.split())) + ")"
+    """The versions listed, each as words ("2 0")."""
+    return "(?:" + "|".join(sorted(raw.split(","), key=len, reverse=True)) + ")"
 
 
 def signature_rules() -> list[Rule]:
-    """Families times wordings, then loose wordings: hundreds of rules in order of priority."""
+    """Families times wordings, then loose wordings: hundreds of rules; a wording's place is their priority."""
     rules = []
-    for wording, factor, more in FORMS:
+    for level, (wording, factor, more) in enumerate(FORMS):
         for label, name, versions, keys, weight in FAMILIES:
             if "{v}" in wording and not versions:
                 if "(?: " not in wording:
@@ -107,10 +107,10 @@ def signature_rules() -> list[Rule]:
                 shape = re.sub(r"\(\?: (?:v\? \?)?\{v\}\)\?", "", wording)
             else:
                 shape = wording.replace("{v}", _versions(versions)) if versions else wording
-            rules.append((label, shape.replace("{n}", name), (*keys, *more), weight * factor))
-    rules += [(label, shape, keys, weight) for label, shape, keys, weight in LOOSE]
-    return [Rule(i, label, re.compile(rb"(?<![^ ])(?:" + shape.encode() + rb")(?![^ ])"),
-                 tuple(k.encode() for k in keys), weight) for i, (label, shape, keys, weight) in enumerate(rules)]
+            rules.append((level, label, shape.replace("{n}", name), (*keys, *more), weight * factor))
+    rules += [(len(FORMS), *loose) for loose in LOOSE]
+    return [Rule(level, label, re.compile(rb"(?<![^ ])(?:" + shape.encode() + rb")(?![^ ])"),
+                 tuple(k.encode() for k in keys), weight) for level, label, shape, keys, weight in rules]
 
 
 class Scanner:
@@ -143,7 +143,7 @@ class Scanner:
                     for m in r.pattern.finditer(line):
                         first = at(m.start())
                         hits.append((r.priority, -(m.end() - m.start()), first, first + m.group().count(b" ") + 1, r))
-            for _, _, first, end, r in sorted(hits, key=lambda h: h[:4]):
+            for _, _, first, end, r in sorted(hits, key=lambda h: (*h[:4], h[4].label)):
                 if not any(a <= first and end <= b for a, b, _, _ in found):
                     found.append((first, end, r.label, r.weight))
         return {"n_words": len(words), "places": sorted(places), "found": sorted(found)}

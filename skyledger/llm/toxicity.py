@@ -144,7 +144,7 @@ def forward(net: dict, gates: dict, ids: np.ndarray, keep: bool = False):
     pad = ids == 0
     n, z = len(ids), slice(0, HIDDEN)
     r, c = slice(HIDDEN, 2 * HIDDEN), slice(2 * HIDDEN, 3 * HIDDEN)
-    attend, worth, tape = np.zeros(ids.shape, np.float32), np.zeros(ids.shape, np.float32), {}
+    attend, worth, tape = np.zeros(ids.shape, net["c"].dtype), np.zeros(ids.shape, net["c"].dtype), {}
     for s in "fb":
         h, u = np.zeros((n, HIDDEN), net["U" + s].dtype), net["U" + s]
         steps = []
@@ -240,7 +240,6 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     del gb
     pick = lambda sets, at: [sets[i] for i in np.flatnonzero(at)]
     model = Model(log_odds(pick(word_sets, counting), y[counting]), log_odds(pick(gram_sets, counting), y[counting]))
-    del word_sets, gram_sets
     own = np.flatnonzero(~counting)
     ids, owner = windows([docs[i] + 1 for i in own])  # 0 pads
     if not len(ids):
@@ -280,6 +279,8 @@ def train(texts: list[str], labels: list[int], seed: int = 5) -> Model:
     seen = np.isfinite(logit)
     model.net = {k: v.astype(np.float32) for k, v in net.items()}
     model.scale, model.shift = calibrate(logit[seen], y[own][seen])
+    # Scoring uses the log odds of all training rows.
+    model.word_odds, model.gram_odds = log_odds(word_sets, y), log_odds(gram_sets, y)
     return model
 
 
@@ -304,7 +305,7 @@ def score_texts(model: Model, texts, reader: Reader | None = None) -> np.ndarray
     def flush():
         ids, owner = windows(reader.number(docs))
         logit = np.full(len(docs), -np.inf, np.float64)
-        if model.net:
+        if model.net and len(ids):
             used, dense = np.unique(ids, return_inverse=True)
             x = reader.x[used]
             if used[0] != 0:  # the padding word is always word 0

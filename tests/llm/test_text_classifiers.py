@@ -10,6 +10,14 @@ from skyledger.llm import licenses, quality, toxicity, urls
 SF = "/root/testdata/sf0.01"
 
 
+LARGE = "/root/testdata/sf0.1"   # held-out accuracy needs enough labelled rows
+
+
+@pytest.fixture(scope="module")
+def large(spark):
+    return {t: spark.read.parquet(f"{LARGE}/{t}.parquet") for t in ("documents", "labels", "pages")}
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     return {t: spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels", "pages")}
@@ -91,8 +99,8 @@ def test_urls_equal_brute_force(spark, tables):
         assert r["rule"] == rule and r["verdict"] == (said or ("block" if r["p_block"] >= 0.5 else "allow"))
 
 
-def test_url_classifier_learns_held_out_rules(spark, tables):
-    known = urls.rule_labels(tables["pages"])
+def test_url_classifier_learns_held_out_rules(spark, large):
+    known = urls.rule_labels(large["pages"])
     train, test = known.filter("crc32(cast(url as binary)) % 4 > 0"), known.filter("crc32(cast(url as binary)) % 4 = 0")
     ready = test.selectExpr("row_number() over (order by url) as page_id", "url")
     out = urls.judge(ready, urls.fit(train), rules=[]).join(ready, "page_id").join(test.distinct(), "url").collect()
@@ -111,20 +119,21 @@ def _held(i):
     return zlib.crc32(str(i).encode()) % 5 == 0
 
 
-def _truth(column):
-    return dict(duckdb.sql(f"select doc_id, {column} from '{SF}/labels.parquet'").fetchall())
+def _truth(column, where=SF):
+    return dict(duckdb.sql(f"select doc_id, {column} from '{where}/labels.parquet'").fetchall())
 
 
-def test_toxicity_held_out_accuracy(spark, tables):
-    model = toxicity.fit(tables["documents"], tables["labels"])
-    out = toxicity.toxicity(tables["documents"], model).collect()
-    assert len(out) == 1000 and all(r["held_out"] == _held(r["doc_id"]) for r in out)
+def test_toxicity_held_out_accuracy(spark, large):
+    model = toxicity.fit(large["documents"], large["labels"])
+    out = toxicity.toxicity(large["documents"], model).collect()
+    assert len(out) == large["documents"].count() and all(r["held_out"] == _held(r["doc_id"]) for r in out)
     assert all(0 <= r["score"] <= 1 and r["predicted"] == int(r["score"] >= 0.5) for r in out)
-    truth = _truth("toxic")
-    own = [(truth[r["doc_id"]], r["predicted"]) for r in out if r["held_out"] and r["doc_id"] in truth]
-    assert np.mean([a == b for a, b in own]) > 0.93
-    kept = toxicity.keep_civil(tables["documents"], model)
-    assert kept.columns == tables["documents"].columns
+    truth = _truth("toxic", LARGE)
+    own = [(truth[r["doc_id"]], r["predicted"]) for r in out if r["held_out"] and truth.get(r["doc_id"]) is not None]
+    print(len(own), np.mean([a == b for a, b in own]), np.mean([b for a, b in own if a]))
+    assert np.mean([a == b for a, b in own]) > 0.97 and np.mean([b for a, b in own if a]) > 0.85
+    kept = toxicity.keep_civil(large["documents"], model)
+    assert kept.columns == large["documents"].columns
     assert kept.count() == sum(r["predicted"] == 0 for r in out)
 
 
