@@ -61,7 +61,8 @@ def with_nearest_reference(df: DataFrame, ts_col: str, refs=NEAREST_REFERENCES,
     Nulls are skipped by ``least``; ties go to the earliest reference in
     ``refs``; when nothing matches (all null) the last label is used.
     """
-    deltas = [F.abs(F.col(ts_col) - F.col(ref)) for _, ref in refs]
+    at = lambda c: F.col(c).try_cast("timestamp")  # noqa: E731  text instants count too; what isn't one is null
+    deltas = [F.abs(at(ts_col) - at(ref)) for _, ref in refs]
     nearest = F.least(*deltas)
     label = reduce(lambda acc, item: acc.when(nearest == item[1], item[0][0]),
                    zip(refs[1:-1], deltas[1:-1]),
@@ -71,12 +72,14 @@ def with_nearest_reference(df: DataFrame, ts_col: str, refs=NEAREST_REFERENCES,
 
 
 def with_recency_days(df: DataFrame, date_col: str, reference_col: str | None = None,
-                      out: str = "RecencyDays") -> DataFrame:
+                      out: str = "RecencyDays", latest: Column | None = None) -> DataFrame:
     """Days between ``date_col`` and the latest ``reference_col`` (default: same column).
 
     The maximum is a scalar subquery, so the plan stays lazy; Spark runs it as
-    one partial aggregation over a single column.
+    one partial aggregation over a single column. ``latest`` gives the date
+    instead, e.g. one learned from the training years.
     """
     ref = reference_col or date_col
-    latest = df.select(F.max(F.col(ref).cast("date"))).scalar()
+    if latest is None:
+        latest = df.select(F.max(F.col(ref).cast("date"))).scalar()
     return df.withColumn(out, F.datediff(latest, F.col(date_col).cast("date")))

@@ -30,10 +30,15 @@ def index_categories(cols: list[str], suffix: str = "_indexed", handle_invalid:
 
 def one_hot(cols: list[str], indexed_suffix: str = "_indexed", suffix: str = "_onehot",
             handle_invalid: str = "error") -> Pipeline:
-    """index then one-hot encode (last category dropped -> all zeros)."""
+    """index then one-hot encode (last category dropped -> all zeros).
+
+    With ``handle_invalid="keep"`` the indexer's extra slot for values unseen at
+    fit time is the last category, so unseen values are the all-zero vector
+    and every known category keeps a slot.
+    """
     indexer = index_categories(cols, indexed_suffix, handle_invalid)
     encoder = OneHotEncoder(inputCols=[c + indexed_suffix for c in cols], outputCols=[c + suffix for c in cols],
-                            dropLast=True, handleInvalid="error" if handle_invalid == "error" else "keep")
+                            dropLast=True, handleInvalid="error")
     return Pipeline(stages=[indexer, encoder])
 
 
@@ -75,7 +80,8 @@ def prepare_features(train: DataFrame, test: DataFrame, numeric: list[str], oneh
                      out: str = "input_features") -> tuple[DataFrame, DataFrame, PipelineModel]:
     """fit the feature pipeline on ``train`` only; transform both."""
     model = feature_pipeline(numeric, onehot, standard_scale, pca_k, out).fit(train)
-    return model.transform(train), model.transform(test), model
+    between = ("wFeatures", "wFeatures_scaled", "pca_wFeatures")
+    return model.transform(train).drop(*between), model.transform(test).drop(*between), model
 
 
 def explained_variance(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -113,10 +119,14 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     means = data.agg(*[F.avg(c).alias(c) for c in cols])
     centred = data.select(*[(F.col(c) - means.select(c).scalar()).alias(c) for c in cols])
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
-    sums = centred.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"s{i}_{j}") for i, j in pairs])
+    sums = centred.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"s{i}_{j}") for i, j in pairs],
+                       F.count(F.lit(1)).alias("n"))
+    # A column that varies by rounding noise only is constant and correlates with nothing: null.
+    varies = [F.sqrt(F.col(f"s{i}_{i}") / F.col("n")) > 1e-10 * (1 + F.abs(means.select(c).scalar())) for i, c in enumerate(cols)]
 
     def corr(i: int, j: int):
-        return F.col(f"s{i}_{j}") / F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}"))
+        both = F.try_divide(F.col(f"s{i}_{j}"), F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}")))
+        return F.when(varies[i] & varies[j], both)
 
     args = ", ".join(f"'{cols[i]}', '{cols[j]}', __c{i}_{j}" for i, j in pairs)
     wide = sums.select(*[corr(i, j).alias(f"__c{i}_{j}") for i, j in pairs])

@@ -4,14 +4,11 @@ The graph is two DataFrames, ``vertices(id)`` and ``edges(src, dst)``; there is
 no graph object and nothing is collected. Building it from the fact table is a
 distributed ``distinct``; the heavy part at scale.
 
-Shortest paths: a breadth-first search from every vertex at once. State is one
-row per reachable (source, vertex) pair with its distance and number of
+Shortest paths: a breadth-first search from a block of vertices at once. State
+is one row per reachable (source, vertex) pair with its distance and number of
 shortest paths; each level joins the frontier to the edges, sums path counts
-per (source, vertex) and drops pairs already reached. The loop ends when a
-level adds no rows (one emptiness check per level). Levels are cached, and
-every few levels (and the final tables) are checkpointed to the shared
-checkpoint folder, so lineage stays short and a lost executor recomputes at
-most a few levels.
+per (source, vertex) and drops pairs already reached. Levels are written to
+the shared folder and deleted when their block is summed.
 
 Betweenness then accumulates Brandes dependencies from the farthest level
 back to the sources, again one join per level. Work is O(V * E) rows in
@@ -23,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import materialise
+from ..session import discard, materialise
 
 
 def build_graph(df: DataFrame, src: str, dst: str, attrs: dict[str, str] | None = None
@@ -64,42 +61,25 @@ def degree_centrality(vertices: DataFrame, edges: DataFrame) -> DataFrame:
         .select("id", value.alias("degree_centrality"))
 
 
-# Lineage is cut (written to the shared checkpoint folder) every this many
-# levels; levels in between are cached in memory. A lost executor then
-# recomputes at most this many levels from the last written one.
-CHECKPOINT_EVERY = 4
+# Sources whose paths are held at once: their table has at most this many rows per vertex.
+SOURCE_BLOCK = 256
 
 
 def _checkpoint(df: DataFrame) -> DataFrame:
-    # Graph tables are bounded by the graph (at most one row per vertex pair).
-    return materialise(df, small=True)
+    return materialise(df)
 
 
-def _level(df: DataFrame, level: int, cached: list) -> DataFrame:
-    """Keep one BFS / Brandes level: written every ``CHECKPOINT_EVERY`` levels, else cached."""
-    if level % CHECKPOINT_EVERY == 0:
-        return _checkpoint(df)
-    kept = df.persist()
-    kept.count()
-    cached.append(kept)
-    return kept
-
-
-def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None = None,
-                   prepared: bool = False) -> DataFrame:
-    """All-sources BFS: ``(source, id, dist, sigma)`` for every reachable pair (``dist`` 0 for itself).
+def shortest_paths(vertices: DataFrame, edges: DataFrame, sources: DataFrame | None = None,
+                   max_levels: int | None = None) -> DataFrame:
+    """BFS from ``sources`` (default: every vertex): ``(source, id, dist, sigma)`` per reachable pair, ``dist`` 0 for itself.
 
     ``sigma`` is the number of shortest paths (a double: it can exceed 2^63).
-    Each level is written once; the reached set is the union of the written
-    levels, so no level is rewritten.
+    Each level is written once; the reached set is the union of the written levels.
     """
-    if not prepared:
-        vertices, edges = prepare(vertices, edges)
     e = edges.filter(F.col("src") != F.col("dst"))
-    frontier = vertices.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"),
-                               F.lit(1.0).alias("sigma"))
+    start = (sources if sources is not None else vertices).select("id")
+    frontier = start.select(F.col("id").alias("source"), F.col("id"), F.lit(0).alias("dist"), F.lit(1.0).alias("sigma"))
     levels = [frontier]
-    cached: list = []
     level = 0
     while max_levels is None or level < max_levels:
         level += 1
@@ -108,9 +88,8 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None
             reached = reached.unionByName(lv)
         step = frontier.join(e, F.col("id") == F.col("src")) \
             .groupBy("source", F.col("dst").alias("id")).agg(F.sum("sigma").alias("sigma"))
-        new = step.join(reached.select("source", "id"), ["source", "id"], "left_anti") \
-            .select("source", "id", F.lit(level).alias("dist"), "sigma")
-        new = _level(new, level, cached)
+        new = _checkpoint(step.join(reached.select("source", "id"), ["source", "id"], "left_anti")
+                          .select("source", "id", F.lit(level).alias("dist"), "sigma"))
         if new.isEmpty():
             break
         levels.append(new)
@@ -118,27 +97,21 @@ def shortest_paths(vertices: DataFrame, edges: DataFrame, max_levels: int | None
     out = levels[0]
     for lv in levels[1:]:
         out = out.unionByName(lv)
-    out = _checkpoint(out)
-    for kept in cached:
-        kept.unpersist()
-    return out
+    done = _checkpoint(out)
+    discard(*levels[1:])
+    return done
 
 
-def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame | None = None,
-                           normalized: bool = True) -> DataFrame:
-    """Directed, unweighted betweenness, endpoints excluded, scaled by 1/((n-1)(n-2)).
+def _dependencies(edges: DataFrame, sp: DataFrame) -> DataFrame:
+    """Brandes: ``(id, dependency)`` summed over the sources of ``sp``.
 
     delta(s, v) = sum over children w of v on shortest paths from s of
-    sigma(s, v) / sigma(s, w) * (1 + delta(s, w)), computed level by level
-    from the farthest distance down; betweenness(v) = sum over s != v.
+    sigma(s, v) / sigma(s, w) * (1 + delta(s, w)), level by level from the
+    farthest distance down.
     """
-    if paths is None:
-        vertices, edges = prepare(vertices, edges)
-    sp = paths if paths is not None else shortest_paths(vertices, edges, prepared=True)
-    e = edges.select("src", "dst").distinct().filter(F.col("src") != F.col("dst"))
+    e = edges.filter(F.col("src") != F.col("dst"))
     max_d = sp.agg(F.max("dist")).head()[0] or 0
     parts = []
-    cached: list = []
     deeper = None  # (source, id, sigma, delta) at level d + 1
     for d in range(max_d, 0, -1):
         here = sp.filter(F.col("dist") == d).select("source", "id", "sigma")
@@ -153,38 +126,67 @@ def betweenness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFra
             sums = contrib.groupBy("source", "id").agg(F.sum("c").alias("delta"))
             cur = here.join(sums, ["source", "id"], "left") \
                 .select("source", "id", "sigma", F.coalesce(F.col("delta"), F.lit(0.0)).alias("delta"))
-        cur = _level(cur, d, cached)
-        parts.append(cur.select("id", "delta"))
+        cur = _checkpoint(cur)
+        parts.append(cur)
         deeper = cur
+    if not parts:
+        return sp.select("id", F.lit(0.0).alias("dependency")).limit(0)
+    total = parts[0].select("id", "delta")
+    for p in parts[1:]:
+        total = total.unionByName(p.select("id", "delta"))
+    out = _checkpoint(total.groupBy("id").agg(F.sum("delta").alias("dependency")))
+    discard(*parts)
+    return out
+
+
+def path_sums(vertices: DataFrame, edges: DataFrame, block: int = SOURCE_BLOCK) -> DataFrame:
+    """``(id, reached, distance, dependency)`` per vertex over all sources.
+
+    Sources go in hashed blocks of about ``block``: a block's paths are
+    searched, summed per vertex and dropped, so what is stored at once is
+    ``block`` x vertices, never one row for every pair of vertices. ``reached``
+    counts the vertices that reach ``id`` (itself included), ``distance`` sums
+    their distances. ``vertices`` and ``edges`` come from :func:`prepare`.
+    """
+    blocks = max(1, -(-vertices.count() // block))
+    total = None
+    for b in range(blocks):
+        sources = vertices.filter(F.pmod(F.xxhash64("id"), F.lit(blocks)) == b)
+        sp = shortest_paths(vertices, edges, sources)
+        near = sp.groupBy("id").agg(F.count(F.lit(1)).cast("double").alias("reached"),
+                                    F.sum("dist").cast("double").alias("distance"))
+        part = _checkpoint(near.join(_dependencies(edges, sp), "id", "left"))
+        discard(sp)
+        total = part if total is None else total.unionByName(part)
+    return _checkpoint(total.groupBy("id").agg(F.sum("reached").alias("reached"), F.sum("distance").alias("distance"),
+                                               F.sum("dependency").alias("dependency")))
+
+
+def betweenness_centrality(vertices: DataFrame, edges: DataFrame, sums: DataFrame | None = None,
+                           normalized: bool = True) -> DataFrame:
+    """Directed, unweighted betweenness, endpoints excluded, scaled by 1/((n-1)(n-2))."""
+    if sums is None:
+        vertices, edges = prepare(vertices, edges)
+        sums = path_sums(vertices, edges)
     n = _vertex_count(vertices)
-    if parts:
-        total = parts[0]
-        for p in parts[1:]:
-            total = total.unionByName(p)
-        sums = _checkpoint(total.groupBy("id").agg(F.sum("delta").alias("__b")))
-        for kept in cached:
-            kept.unpersist()
-    else:
-        sums = vertices.select("id", F.lit(0.0).alias("__b")).limit(0)
-    raw = F.coalesce(F.col("__b"), F.lit(0.0))
+    raw = F.coalesce(F.col("dependency"), F.lit(0.0))
     scale = F.when(n > 2, 1.0 / ((n - 1) * (n - 2))).otherwise(F.lit(1.0)) if normalized else F.lit(1.0)
     return vertices.join(sums, "id", "left").select("id", (raw * scale).alias("betweenness_centrality"))
 
 
-def closeness_centrality(vertices: DataFrame, edges: DataFrame, paths: DataFrame | None = None) -> DataFrame:
+def closeness_centrality(vertices: DataFrame, edges: DataFrame, sums: DataFrame | None = None) -> DataFrame:
     """Closeness on incoming distances with the reachable-fraction correction.
 
     For v reached from r - 1 other vertices at total distance D:
     ((r - 1) / D) * ((r - 1) / (n - 1)); 0 when nothing reaches v.
     """
-    if paths is None:
+    if sums is None:
         vertices, edges = prepare(vertices, edges)
-    sp = paths if paths is not None else shortest_paths(vertices, edges, prepared=True)
+        sums = path_sums(vertices, edges)
     n = _vertex_count(vertices)
-    per = sp.groupBy("id").agg(F.count(F.lit(1)).cast("double").alias("__r"), F.sum("dist").cast("double").alias("__d"))
-    value = F.when((F.col("__d") > 0) & (n > 1),
-                   (F.col("__r") - 1) / F.col("__d") * ((F.col("__r") - 1) / (n - 1))).otherwise(F.lit(0.0))
-    return vertices.join(per, "id", "left").select("id", value.alias("closeness_centrality"))
+    r, d = F.col("reached"), F.col("distance")
+    value = F.when((d > 0) & (n > 1), (r - 1) / d * ((r - 1) / (n - 1))).otherwise(F.lit(0.0))
+    return vertices.join(sums, "id", "left").select("id", value.alias("closeness_centrality"))
 
 
 def prepare(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -197,18 +199,19 @@ def prepare(vertices: DataFrame, edges: DataFrame) -> tuple[DataFrame, DataFrame
 
 
 def centralities(vertices: DataFrame, edges: DataFrame) -> DataFrame:
-    """Degree, betweenness and closeness per vertex (one BFS shared by the last two)."""
+    """Degree, betweenness and closeness per vertex (one search shared by the last two), written once."""
     vertices, edges = prepare(vertices, edges)
-    sp = shortest_paths(vertices, edges, prepared=True)
+    sums = path_sums(vertices, edges)
     out = degree_centrality(vertices, edges)
-    out = out.join(betweenness_centrality(vertices, edges, sp), "id")
-    return out.join(closeness_centrality(vertices, edges, sp), "id")
+    out = out.join(betweenness_centrality(vertices, edges, sums), "id")
+    return _checkpoint(out.join(closeness_centrality(vertices, edges, sums), "id"))
 
 
 def with_vertex_scores(df: DataFrame, scores: DataFrame, key: str, score_id: str = "id") -> DataFrame:
     """One left join of the combined per-vertex score table onto the facts.
 
-    The score table has one row per vertex; AQE broadcasts it when small.
+    The score table has one row per vertex and is written, so its size is known:
+    Spark broadcasts it below its threshold, else joins by key with skew splitting.
     """
     renamed = scores.withColumnRenamed(score_id, key)
     return df.join(renamed, on=[key], how="left")

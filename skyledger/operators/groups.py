@@ -13,7 +13,8 @@ def count_by(df: DataFrame, *cols: str, out: str = "count") -> DataFrame:
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(out))
 
 
-def volume_groups(df: DataFrame, key: str, out: str, scheme=AIRPORT_GROUPS, materialise: bool = False) -> DataFrame:
+def volume_groups(df: DataFrame, key: str, out: str, scheme=AIRPORT_GROUPS, materialise: bool = False,
+                  method: str = "disc") -> DataFrame:
     """Rows per ``key`` and a letter from exact quantiles of those counts.
 
     ``materialise`` writes the count table (one row per key) once, so the
@@ -22,8 +23,8 @@ def volume_groups(df: DataFrame, key: str, out: str, scheme=AIRPORT_GROUPS, mate
     counts = count_by(df, key)
     if materialise:
         from ..session import materialise as _write
-        counts = _write(counts, small=True)
-    return quantile_bin(counts, "count", out, *scheme)
+        counts = _write(counts)
+    return quantile_bin(counts, "count", out, *scheme, method=method)
 
 
 def airport_groups(df: DataFrame, key: str = "origin_iata_code", materialise: bool = False) -> DataFrame:

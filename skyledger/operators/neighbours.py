@@ -1,50 +1,27 @@
 """Nearest neighbours and SMOTE over-sampling.
 
-Exact k-nearest neighbours (Euclidean, distance > 0, so a point and its exact
-copies are never neighbours) without an all-pairs product:
-
-1. Identical vectors collapse to one row with a multiplicity. A vector
-   repeated by a third of all rows is one row here; its copies are expanded
-   only at the end, k neighbours each.
-2. Pivot partitioning: P pivots are drawn (md5 of seed and id, so repeatable)
-   and every distinct vector goes to the cell of its nearest pivot. For a cell
-   C with radius U (farthest member from the pivot) and L (distance of the
-   (k+1)-th closest member to the pivot), every member has k neighbours within
-   theta = U + L. By the triangle inequality a vector s can only be such a
-   neighbour if d(s, pivot_C) <= U + theta, so it is replicated only to those
-   cells. This is the pivot-based k-NN join of Lu et al. (VLDB 2012).
-3. Inside a cell, members meet candidates through an equi-join on
-   (cell, salt): a cell with many members is split into salted chunks so no
-   task holds more than ``chunk`` members.
-4. Top-k per point uses ``row_number`` with a rank filter, which Spark turns
-   into a partial top-k before the shuffle.
-
-The reference's approximate variant (random-projection LSH) is kept as
-``lsh_candidates`` for parity; it can miss neighbours (SURVEY Q9).
+Distances are Euclidean and above 0, so a point and its exact copies are never
+neighbours. ``knn`` compares every pair of distinct vectors (quadratic, in
+blocks on both sides); ``lsh_knn`` compares points that share a
+random-projection bucket and is what scales. Top-k per point uses ``row_number`` with
+a rank filter, which Spark turns into a partial top-k before the shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.feature import BucketedRandomProjectionLSH
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_md5
 from ..session import materialise
 
-INF = float("inf")
-
-
 def euclidean(a: Column, b: Column) -> Column:
     """Euclidean distance of two equal-length double arrays (JVM-side higher-order functions)."""
     return F.sqrt(F.aggregate(F.zip_with(a, b, lambda x, y: (x - y) * (x - y)), F.lit(0.0), lambda acc, v: acc + v))
 
 
-def _materialise(df: DataFrame, small: bool = False) -> DataFrame:
-    return materialise(df, small=small)
-
-
 def top_k_per_group(df: DataFrame, part: list[str], order: list[Column | str], k: int,
                     rank_col: str = "rank") -> DataFrame:
     """The first ``k`` rows of each group by ``order`` (``row_number`` + filter).
@@ -65,117 +42,106 @@ def pick_one_per_group(df: DataFrame, part: list[str], seed: int | str, key: lis
     return df.withColumn(out_rank, F.row_number().over(w)).filter(F.col(out_rank) == 1).drop(out_rank)
 
 
-def knn(df: DataFrame, id_col: str, vec_col: str, k: int, num_pivots: int | None = None,
-        seed: int = 17, chunk: int = 2048) -> DataFrame:
-    """J6 exact: ``(id, nbr_id, rank, distance)``: the k nearest other points of every point.
+def _groups(group: list[str]) -> list[str]:
+    return [f"__g{i}" for i in range(len(group))]
 
-    Ordering is by distance, then by the smallest id of the neighbour's vector,
-    then by id. Points whose vector has no other distinct vector get no rows.
+
+def knn(df: DataFrame, id_col: str, vec_col: str, k: int, chunk: int = 2048, group: list[str] = ()) -> DataFrame:
+    """J6 exact: ``(id, nbr_id, rank, distance)``: the k nearest other points of every point (of its ``group``).
+
+    Every pair of distinct vectors of a group is compared: work is quadratic,
+    by design. Both sides are dealt into blocks of about ``chunk`` vectors, so a
+    task meets at most chunk x chunk pairs. Ordering is by distance, then by the
+    smallest id of the neighbour's vector, then by id. Points whose vector has
+    no other distinct vector get no rows.
     """
-    pts = df.select(F.col(id_col).alias("__id"), F.col(vec_col).cast("array<double>").alias("__v"))
-    dv = pts.groupBy("__v").agg(F.min("__id").alias("vid"), F.count(F.lit(1)).alias("mult"))
-    dv = _materialise(dv)
-    n = dv.count()
-    p = int(num_pivots or min(4096, max(1, n // 1024)))
-
-    piv = dv.select(uniform_md5(seed, "vid").alias("h"), "vid", "__v").orderBy("h", "vid").limit(p)
-    piv_arr = piv.agg(F.sort_array(F.collect_list(F.struct("h", "vid", F.col("__v").alias("pv")))).alias("a")).scalar()
-    withd = dv.withColumn("__piv", piv_arr)
-    withd = withd.withColumn("__d", F.transform("__piv", lambda q: euclidean(q["pv"], F.col("__v")))).drop("__piv")
-    withd = withd.withColumn("dh", F.array_min("__d"))
-    withd = withd.withColumn("cell", (F.array_position("__d", F.col("dh")) - 1).cast("int"))
-    withd = _materialise(withd)
-
-    radius = withd.groupBy("cell").agg(F.max("dh").alias("U"), F.count(F.lit(1)).alias("members"))
-    kth = top_k_per_group(withd.select("cell", "dh", "vid"), ["cell"], [F.col("dh"), F.col("vid")], k + 1, "__r") \
-        .filter(F.col("__r") == k + 1).select("cell", F.col("dh").alias("L"))
-    bounds = radius.join(kth, "cell", "left").select(
-        "cell", "members",
-        F.when(F.col("L").isNull(), F.lit(INF)).otherwise(F.col("U") + F.col("L")).alias("theta"),
-        F.when(F.col("L").isNull(), F.lit(INF)).otherwise(2 * F.col("U") + F.col("L")).alias("reach"),
-        F.greatest(F.lit(1), F.ceil(F.col("members") / F.lit(chunk))).cast("int").alias("salts"))
-    bounds = _materialise(bounds, small=True)
-    reach = bounds.agg(F.map_from_entries(F.collect_list(F.struct("cell", "reach")))).scalar()
-    salts = bounds.agg(F.map_from_entries(F.collect_list(F.struct("cell", "salts")))).scalar()
-
-    cand = withd.withColumn("__reach", reach).select(
-        "vid", "__v", "mult", "__d", "__reach",
-        F.explode(F.filter(F.sequence(F.lit(0), F.lit(p - 1)),
-                           lambda i: F.col("__d")[i] <= F.coalesce(F.col("__reach")[i], F.lit(-1.0)))).alias("cell"))
-    cand = cand.withColumn("__salts", salts).select(
-        "cell", "vid", "__v", "mult",
-        F.explode(F.sequence(F.lit(0), F.coalesce(F.col("__salts")[F.col("cell")], F.lit(1)) - 1)).alias("salt"))
-    members = withd.withColumn("__salts", salts).select(
-        "cell", F.col("vid").alias("rid"), F.col("__v").alias("rv"),
-        F.pmod(F.xxhash64("vid"), F.coalesce(F.col("__salts")[F.col("cell")], F.lit(1))).cast("int").alias("salt"))
-    pairs = members.join(cand, ["cell", "salt"]).filter(F.col("vid") != F.col("rid")) \
-        .join(F.broadcast(bounds.select("cell", "theta")), "cell") \
-        .select("rid", "vid", "mult", "theta", euclidean(F.col("rv"), F.col("__v")).alias("distance")) \
-        .filter(F.col("distance") <= F.col("theta"))
-
-    w = Window.partitionBy("rid").orderBy("distance", "vid")
-    topv = top_k_per_group(pairs, ["rid"], [F.col("distance"), F.col("vid")], k, "__rank")
+    g = _groups(group)
+    pts = df.select(*[F.col(c).alias(x) for c, x in zip(group, g)], F.col(id_col).alias("__id"),
+                    F.col(vec_col).cast("array<double>").alias("__v"))
+    dv = materialise(pts.groupBy(*g, "__v").agg(F.min("__id").alias("vid"), F.count(F.lit(1)).alias("mult")))
+    blocks = max(1, -(-dv.count() // chunk))
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    own = F.pmod(F.xxhash64("vid"), F.lit(blocks)).cast("int")
+    members = dv.select(*g, F.col("vid").alias("rid"), F.col("__v").alias("rv"), own.alias("mb"), every.alias("cb"))
+    cand = dv.select(*g, "vid", "__v", "mult", own.alias("cb"), every.alias("mb"))
+    pairs = members.join(cand, [*g, "mb", "cb"]).filter(F.col("vid") != F.col("rid")) \
+        .select(*g, "rid", "vid", "mult", euclidean(F.col("rv"), F.col("__v")).alias("distance"))
+
+    key = [*g, "rid"]
+    w = Window.partitionBy(*key).orderBy("distance", "vid")
+    topv = top_k_per_group(pairs, key, [F.col("distance"), F.col("vid")], k, "__rank")
     topv = topv.withColumn("before", F.coalesce(
         F.sum("mult").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).filter(F.col("before") < k)
 
-    ids = pts.join(dv.select("__v", "vid"), "__v")
-    first_ids = top_k_per_group(ids.select("vid", "__id"), ["vid"], [F.col("__id")], k, "j")
-    nbr = topv.join(first_ids, "vid").filter(F.col("before") + F.col("j") <= k) \
-        .select("rid", F.col("__id").alias("nbr_id"), (F.col("before") + F.col("j")).cast("int").alias("rank"),
+    ids = pts.join(dv.select(*g, "__v", "vid"), [*g, "__v"])
+    first_ids = top_k_per_group(ids.select(*g, "vid", "__id"), [*g, "vid"], [F.col("__id")], k, "j")
+    nbr = topv.join(first_ids, [*g, "vid"]).filter(F.col("before") + F.col("j") <= k) \
+        .select(*key, F.col("__id").alias("nbr_id"), (F.col("before") + F.col("j")).cast("int").alias("rank"),
                 "distance")
-    owners = ids.select(F.col("vid").alias("rid"), F.col("__id").alias("id"))
-    return owners.join(nbr, "rid").select("id", "nbr_id", "rank", "distance")
+    owners = ids.select(*g, F.col("vid").alias("rid"), F.col("__id").alias("id"))
+    out = owners.join(nbr, key)
+    return out.select(*[F.col(x).alias(c) for c, x in zip(group, g)], "id", "nbr_id", "rank", "distance")
 
 
-def lsh_candidates(df: DataFrame, id_col: str, vec_col: str, bucket_length: float = 3.0, seed: int = 234,
-                   num_tables: int = 1) -> DataFrame:
-    """J6 approximate (reference parity): random-projection LSH self-join, distance > 0.
+def lsh_knn(df: DataFrame, id_col: str, vec_col: str, k: int, bucket_length: float = 3.0, seed: int = 234,
+            num_tables: int = 4, chunk: int = 1024, group: list[str] = ()) -> DataFrame:
+    """J6 approximate: the k nearest points that share a random-projection bucket in any of ``num_tables``.
 
-    Only pairs sharing a hash bucket are compared, so neighbours can be
-    missing (SURVEY Q9); output ``(id, nbr_id, distance)``.
+    Neighbours that share no bucket are missed (SURVEY Q9). A bucket of more
+    than ``chunk`` points is cut on both sides, so no task holds a whole hot
+    bucket; each task keeps its k best before rows move. Output as :func:`knn`.
     """
-    vec = df.select(F.col(id_col).alias("id"), array_to_vector(F.col(vec_col).cast("array<double>")).alias("v"))
+    g = _groups(group)
+    pts = df.select(*[F.col(c).alias(x) for c, x in zip(group, g)], F.col(id_col).alias("id"),
+                    F.col(vec_col).cast("array<double>").alias("__v"))
+    vec = pts.withColumn("v", array_to_vector("__v"))
     model = BucketedRandomProjectionLSH(inputCol="v", outputCol="h", bucketLength=bucket_length, seed=seed,
                                         numHashTables=num_tables).fit(vec)
-    joined = model.approxSimilarityJoin(vec, vec, float("inf"), distCol="distance")
-    return joined.select(F.col("datasetA.id").alias("id"), F.col("datasetB.id").alias("nbr_id"), "distance") \
-        .filter(F.col("distance") > 0)
+    hashed = materialise(model.transform(vec).select(*g, "id", "__v", F.posexplode("h").alias("t", "hv"))
+                         .select(*g, "id", "__v", "t", vector_to_array("hv")[0].alias("b")))
+    key = [*g, "t", "b"]
+    sizes = hashed.groupBy(*key).agg(F.ceil(F.count(F.lit(1)) / chunk).cast("int").alias("cuts"))
+    cut = hashed.join(sizes, key)
+    own, every = F.pmod(F.xxhash64("id"), F.col("cuts")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("cuts") - 1))
+    left = cut.select(*key, "id", F.col("__v").alias("va"), own.alias("ma"), every.alias("mb"))
+    right = cut.select(*key, F.col("id").alias("nbr_id"), F.col("__v").alias("vb"), own.alias("mb"), every.alias("ma"))
+    pairs = left.join(right, [*key, "ma", "mb"]).filter(F.col("id") != F.col("nbr_id")) \
+        .select(*g, "t", "id", "nbr_id", euclidean(F.col("va"), F.col("vb")).alias("distance")).filter("distance > 0")
+    order = [F.col("distance"), F.col("nbr_id")]
+    # The k best of each table first: the k best of all are among them.
+    best = top_k_per_group(pairs, [*g, "t", "id"], order, k).drop("t", "rank").distinct()
+    best = top_k_per_group(best, [*g, "id"], order, k)
+    return best.select(*[F.col(x).alias(c) for c, x in zip(group, g)], "id", "nbr_id", "rank", "distance")
 
 
 def smote(df: DataFrame, id_col: str, vec_col: str, label: str, minority, k: int = 3, multiplier: int = 3,
-          seed: int = 234, exact: bool = True, bucket_length: float = 3.0) -> DataFrame:
+          seed: int = 234, exact: bool = False, bucket_length: float = 3.0, num_tables: int = 4,
+          group: list[str] = ()) -> DataFrame:
     """SMOTE. For each of ``multiplier`` batches, every minority point picks
-    one of its k nearest minority neighbours at random and yields the synthetic
-    point A + u * (B - A), u uniform in [0, 1) (textbook direction, SURVEY Q8).
+    one of its k nearest minority neighbours (of its ``group``) at random and yields the
+    synthetic point A + u * (B - A), u uniform in [0, 1) (textbook direction, SURVEY Q8).
 
-    Output: ``(id, batch, features array<double>, label)``; originals carry
-    ``batch = -1`` and their own label, synthetic rows the minority label.
-    Points without a neighbour give no synthetic row.
+    Neighbours come from :func:`lsh_knn`, or from the quadratic :func:`knn` with
+    ``exact``. Output: ``(group..., id, batch, features array<double>, label)``;
+    originals carry ``batch = -1`` and their own label, synthetic rows the
+    minority label. Points without a neighbour give no synthetic row.
     """
-    base = df.select(F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("features"),
+    group = list(group)
+    base = df.select(*group, F.col(id_col).alias("id"), F.col(vec_col).cast("array<double>").alias("features"),
                      F.col(label).alias("label"))
     minority_rows = base.filter(F.col("label") == F.lit(minority))
-    if exact:
-        near = knn(minority_rows, "id", "features", k, seed=seed)
-    else:
-        cand = lsh_candidates(minority_rows, "id", "features", bucket_length, seed)
-        near = top_k_per_group(cand, ["id"], [F.col("distance"), F.col("nbr_id")], k)
-    batches = near.select("id", "nbr_id", F.explode(F.sequence(F.lit(0), F.lit(multiplier - 1))).alias("batch"))
-    chosen = pick_one_per_group(batches, ["id", "batch"], seed, ["id", "batch", "nbr_id"])
-    a = minority_rows.select("id", F.col("features").alias("fa"))
-    b = minority_rows.select(F.col("id").alias("nbr_id"), F.col("features").alias("fb"))
+    near = knn(minority_rows, "id", "features", k, group=group) if exact else \
+        lsh_knn(minority_rows, "id", "features", k, bucket_length, seed, num_tables, group=group)
+    batches = near.select(*group, "id", "nbr_id", F.explode(F.sequence(F.lit(0), F.lit(multiplier - 1))).alias("batch"))
+    chosen = pick_one_per_group(batches, [*group, "id", "batch"], seed, ["id", "batch", "nbr_id"])
+    a = minority_rows.select(*group, "id", F.col("features").alias("fa"))
+    b = minority_rows.select(*group, F.col("id").alias("nbr_id"), F.col("features").alias("fb"))
     u = uniform_md5(f"{seed}-u", "id", "batch")
-    synth = chosen.join(a, "id").join(b, "nbr_id").select(
-        "id", "batch", F.zip_with("fa", "fb", lambda x, y: x + u * (y - x)).alias("features"),
+    synth = chosen.join(a, [*group, "id"]).join(b, [*group, "nbr_id"]).select(
+        *group, "id", "batch", F.zip_with("fa", "fb", lambda x, y: x + u * (y - x)).alias("features"),
         F.lit(minority).cast(base.schema["label"].dataType).alias("label"))
-    originals = base.select("id", F.lit(-1).alias("batch"), "features", "label")
+    originals = base.select(*group, "id", F.lit(-1).alias("batch"), "features", "label")
     return originals.unionByName(synth)
 
 
-def smote_vectors(df: DataFrame, features: str = "features") -> DataFrame:
-    """Synthetic output as MLlib vectors (for training)."""
-    return df.withColumn(features, array_to_vector(features))
-
-
-__all__ = ["euclidean", "top_k_per_group", "pick_one_per_group", "knn", "lsh_candidates", "smote",
-           "smote_vectors"]
+__all__ = ["euclidean", "top_k_per_group", "pick_one_per_group", "knn", "lsh_knn", "smote"]

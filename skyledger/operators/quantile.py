@@ -27,10 +27,10 @@ def quantile_cuts(df: DataFrame, col: str, probs: list[float], method: str = "di
 
     ``method="disc"`` (default) is ``percentile_disc``: one aggregation, but its
     final merge holds one entry per distinct value in a single task. Use
-    ``method="rank"`` for row-level columns with very many distinct values: it
-    numbers the sorted non-null values with the distributed global row number
-    and picks the rows at positions ceil(p * n) (at least 1), the same
-    definition (smallest value whose cumulative share reaches p).
+    ``method="rank"`` for columns with very many distinct values: it collapses
+    the rows to (value, count), takes distributed prefix sums and picks the
+    values at positions ceil(p * n) (at least 1), the same definition
+    (smallest value whose cumulative share reaches p).
     """
     if method == "rank":
         return _ranked_cuts(df, col, probs)
@@ -41,16 +41,17 @@ def _ranked_cuts(df: DataFrame, col: str, probs: list[float]) -> DataFrame:
     from fractions import Fraction
     from math import ceil
 
-    from .ordering import with_global_row_id
+    from .ordering import prefix_sums
 
-    values = df.select(F.col(col).alias("__x")).filter(F.col("__x").isNotNull())
-    n = values.count()
+    # One row per distinct value, so a value that half the rows share is one row.
+    values = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias("__x")).agg(F.count(F.lit(1)).alias("__n"))
+    ranked = prefix_sums(values, ["__x"], ["__n"])
+    n = ranked.agg(F.sum("__n")).first()[0] or 0
     # Exact rational arithmetic: 0.7 * 10 must give position 7, not 8.
     positions = {p: max(1, ceil(Fraction(str(p)) * n)) for p in probs}
-    ranked = with_global_row_id(values, ["__x"], out="__rank")
-    picked = ranked.filter(F.col("__rank").isin(sorted(set(positions.values()))))
-    return picked.agg(*[F.max(F.when(F.col("__rank") == pos, F.col("__x")).cast("double")).alias(_p_name(p))
-                        for p, pos in positions.items()])
+    before = F.col("__n_before")
+    return ranked.agg(*[F.max(F.when((before < pos) & (before + F.col("__n") >= pos), F.col("__x")).cast("double"))
+                        .alias(_p_name(p)) for p, pos in positions.items()])
 
 
 def cut_scalars(df: DataFrame, col: str, probs: list[float], method: str = "disc") -> list[Column]:
@@ -75,7 +76,7 @@ def bin_expr(col: str, rules: list[tuple[str, Column, str]], otherwise: str) ->
 
 
 def quantile_bin(df: DataFrame, col: str, out: str, probs: list[float], ops: list[str],
-                 labels: list[str], otherwise: str, cut_source: DataFrame | None = None) -> DataFrame:
+                 labels: list[str], otherwise: str, cut_source: DataFrame | None = None, method: str = "disc") -> DataFrame:
     """Letter bins from exact quantiles of ``col`` (computed on ``cut_source`` or ``df``).
 
     ``probs``, ``ops`` and ``labels`` run in rule order. The five conventions used:
@@ -87,7 +88,7 @@ def quantile_bin(df: DataFrame, col: str, out: str, probs: list[float], ops: lis
     * B5 ``probs=[0,.25,.5,.75] ops=['<','<','<','<'] labels=ABCD otherwise=E``
     """
     source = cut_source if cut_source is not None else df
-    cuts = cut_scalars(source, col, probs)
+    cuts = cut_scalars(source, col, probs, method)
     return df.withColumn(out, bin_expr(col, list(zip(ops, cuts, labels)), otherwise))
 
 

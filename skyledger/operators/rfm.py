@@ -34,7 +34,7 @@ def rfm_table(df: DataFrame, keys: list[str], label: str = "DEP_DEL15", delay: s
     return agg.filter(F.col("__positives") > 0).drop("__positives")
 
 
-def rfm_quartiles(rfm: DataFrame, materialise: bool = False) -> DataFrame:
+def rfm_quartiles(rfm: DataFrame, materialise: bool = False, method: str = "disc") -> DataFrame:
     """R/F/M letters from exact quartiles of the RFM table itself.
 
     ``materialise`` writes the RFM table (one row per group) once, so the
@@ -42,10 +42,10 @@ def rfm_quartiles(rfm: DataFrame, materialise: bool = False) -> DataFrame:
     """
     if materialise:
         from ..session import materialise as _write
-        rfm = _write(rfm, small=True)
-    out = quantile_bin(rfm, "Recency", "R_Quartile", *R_QUARTILE)
-    out = quantile_bin(out, "Frequency", "F_Quartile", *F_QUARTILE, cut_source=rfm)
-    return quantile_bin(out, "Monetary", "M_Quartile", *M_QUARTILE, cut_source=rfm)
+        rfm = _write(rfm)
+    out = quantile_bin(rfm, "Recency", "R_Quartile", *R_QUARTILE, method=method)
+    out = quantile_bin(out, "Frequency", "F_Quartile", *F_QUARTILE, cut_source=rfm, method=method)
+    return quantile_bin(out, "Monetary", "M_Quartile", *M_QUARTILE, cut_source=rfm, method=method)
 
 
 def attach_rfm(df: DataFrame, rfm: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

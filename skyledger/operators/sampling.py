@@ -74,7 +74,7 @@ def _class_plan(df: DataFrame, label: str, group: list[str]) -> DataFrame:
         stats = counts.agg(F.max("__n").alias("__max"), F.min("__n").alias("__min"))
         plan = counts.select("*", stats.select("__max").scalar().alias("__max"),
                              stats.select("__min").scalar().alias("__min"))
-    return materialise(plan, small=True)
+    return materialise(plan)
 
 
 def upsample(df: DataFrame, label: str, group: list[str] = ()) -> DataFrame:
@@ -108,14 +108,18 @@ def downsample(df: DataFrame, label: str, seed: int, key: list[str], group: list
 
 
 def rebalance_by(df: DataFrame, group: list[str], label: str, method: str = "upsample",
-                 seed: int = 541, key: list[str] | None = None) -> DataFrame:
-    """Re-balance inside each group (e.g. year) in one pass."""
+                 seed: int = 541, key: list[str] | None = None, **smote_options) -> DataFrame:
+    """Re-balance inside each group (e.g. year) in one pass.
+
+    ``smote`` needs one id column in ``key`` and ``vec_col``, ``minority`` (and
+    optionally ``k``, ``multiplier``, ``exact``) among the options; neighbours
+    are searched within the group only.
+    """
     if method == "upsample":
         return upsample(df, label, group)
     if method == "downsample":
         return downsample(df, label, seed, key or [], group)
+    if method == "smote":
+        from .neighbours import smote
+        return smote(df, key[0], label=label, seed=seed, group=group, **smote_options)
     raise ValueError(f"unknown method {method!r}")
-
-
-def label_uniform(seed: int, key: list[str]) -> Column:
-    return uniform_md5(seed, *key)

@@ -336,48 +336,77 @@ from pyspark.ml.functions import vector_to_array  # noqa: E402
 from ..operators import features  # noqa: E402
 from . import pipeline, tuning  # noqa: E402
 
-INDEXED = ["TIME_SLOT", "SEASON", "DAY_OF_MONTH"]
-SCALED = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure", "HourlyWindSpeed"]
-CORRELATED = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
-              "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "ELEVATION", "DEP_DELAY", "DEP_DEL15"]
+NUMERIC = pipeline.NUMERIC_FEATURES
+CATEGORICAL = pipeline.CATEGORICAL_FEATURES
 
 
-def categorical(spark, sf_dir):
-    df = timefeat.with_time_slot(flights(spark, sf_dir), "DEP_TIME_BLK")
-    return timefeat.with_season(df, "MONTH")
+def feature_table(spark, sf_dir):
+    """All flights with summaries learned from all rows (the reference's order of steps)."""
+    return pipeline.flight_features(flights(spark, sf_dir))
 
 
 @query
 def string_index(spark, sf_dir):
-    df = categorical(spark, sf_dir)
-    model = features.index_categories(INDEXED).fit(df)
-    return model.transform(df).select("FLIGHT_ID", *[c + "_indexed" for c in INDEXED])
+    df = feature_table(spark, sf_dir)
+    model = features.index_categories(CATEGORICAL).fit(df)
+    return model.transform(df).select("FLIGHT_ID", *[c + "_indexed" for c in CATEGORICAL])
 
 
-@query
-def one_hot(spark, sf_dir):
-    df = categorical(spark, sf_dir)
-    cols = ["TIME_SLOT", "SEASON"]
-    encoded = features.one_hot(cols).fit(df).transform(df)
+def _hot(encoded):
     out = []
-    for c in cols:
+    for c in CATEGORICAL:
         arr = vector_to_array(c + "_onehot")
         out += [F.array_position(arr, 1.0).alias(c + "_hot"), F.size(arr).alias(c + "_size")]
     return encoded.select("FLIGHT_ID", *out)
 
 
+@query
+def one_hot(spark, sf_dir):
+    df = feature_table(spark, sf_dir)
+    return _hot(features.one_hot(CATEGORICAL).fit(df).transform(df))
+
+
+@query
+def one_hot_unseen(spark, sf_dir):
+    """The mode the models use: fitted on the training years, applied to both splits."""
+    train, test, _ = pipeline.split_features(flights(spark, sf_dir), fx.TRAIN_YEARS, fx.TEST_YEARS)
+    encoder = features.one_hot(CATEGORICAL, handle_invalid="keep").fit(train)
+    return _hot(encoder.transform(sampling.union_all([train, test])))
+
+
 @query
 def scaled_features(spark, sf_dir):
-    df = flights_numeric(spark, sf_dir).na.drop(subset=SCALED)
-    pipe = features.Pipeline(stages=[features.assemble(SCALED, "v"), features.scale("v", "vs")])
-    out = features.vector_elements(pipe.fit(df).transform(df), "vs", "scaled_", len(SCALED))
-    names = [f"scaled_{i}" for i in range(len(SCALED))]
+    df = feature_table(spark, sf_dir)
+    pipe = features.Pipeline(stages=[features.assemble(NUMERIC, "v"), features.scale("v", "vs")])
+    out = features.vector_elements(pipe.fit(df).transform(df), "vs", "scaled_", len(NUMERIC))
+    names = [f"scaled_{i}" for i in range(len(NUMERIC))]
     return rounded(out.select("FLIGHT_ID", *names), names)
 
 
 @query
 def correlation_matrix(spark, sf_dir):
-    return rounded(features.correlation_matrix(flights_numeric(spark, sf_dir), CORRELATED), ["corr"])
+    return rounded(features.correlation_matrix(feature_table(spark, sf_dir), pipeline.CORRELATION_FEATURES), ["corr"])
+
+
+@query
+def summaries_applied(spark, sf_dir):
+    """F7 without encoding: RFM letters, centralities and volume groups learned from the training years,
+    saved, loaded, and applied to both splits."""
+    from ..session import work_dir
+    df = flights(spark, sf_dir)
+    train, test = pipeline.split_years(df, fx.TRAIN_YEARS, fx.TEST_YEARS)
+    path = work_dir(spark, "summaries")
+    pipeline.Summaries.fit(train).save(path)
+    out = pipeline.Summaries.load(spark, path).apply(sampling.union_all([train, test]))
+    numbers = ["Monetary", "Frequency", *pipeline.CENTRALITIES, "airport_rank"]
+    return rounded(out.select("FLIGHT_ID", "YEAR", "RecencyDays", "Recency", *numbers, "R_Quartile", "F_Quartile",
+                              "M_Quartile", "airport_groups", "carrier_groups"), numbers)
+
+
+@query
+def rfm_quartiles_rank(spark, sf_dir):
+    """B1-B3 with cut points from distributed prefix sums."""
+    return rounded(rfm.rfm_quartiles(rfm_of(spark, sf_dir), materialise=True, method="rank"), ["Monetary", "Frequency"])
 
 
 # ---------------------------------------------------------------- rows-only: PCA, pipelines, models, tuning
@@ -390,23 +419,30 @@ def model_data(spark, sf_dir, pca_k=10):
 
 @query
 def pca_features(spark, sf_dir):
-    df = flights_numeric(spark, sf_dir).na.drop(subset=SCALED)
-    pipe = features.Pipeline(stages=[features.assemble(SCALED, "v"), features.scale("v", "vs"),
-                                     features.pca("vs", "pc", 2)])
-    out = features.vector_elements(pipe.fit(df).transform(df), "pc", "pc_", 2)
-    return out.select("FLIGHT_ID", "pc_0", "pc_1")
+    df = feature_table(spark, sf_dir)
+    pipe = features.Pipeline(stages=[features.assemble(NUMERIC, "v"), features.scale("v", "vs"), features.pca("vs", "pc", 10)])
+    out = features.vector_elements(pipe.fit(df).transform(df), "pc", "pc_", 10)
+    return out.select("FLIGHT_ID", *[f"pc_{i}" for i in range(10)])
 
 
 @query
 def explained_variance(spark, sf_dir):
-    feats = pipeline.flight_features(flights(spark, sf_dir))
-    return features.explained_variance(feats, pipeline.CORRELATION_FEATURES)
+    return features.explained_variance(feature_table(spark, sf_dir), pipeline.CORRELATION_FEATURES)
 
 
 @query
 def prepare_features(spark, sf_dir):
-    train, _test = model_data(spark, sf_dir)
-    return train.select("FLIGHT_ID", "YEAR", "DEP_DEL15", vector_to_array("input_features").alias("features"))
+    both = [df.withColumn("split", F.lit(s)) for s, df in zip(("train", "test"), model_data(spark, sf_dir))]
+    return sampling.union_all(both).select("FLIGHT_ID", "YEAR", "DEP_DEL15", "split",
+                                           vector_to_array("input_features").alias("features"))
+
+
+@query
+def prepare_features_scaled(spark, sf_dir):
+    """F7 without PCA: the scaled numeric part of the vectors of both splits, fitted on the training years."""
+    both = [df.withColumn("split", F.lit(s)) for s, df in zip(("train", "test"), model_data(spark, sf_dir, pca_k=None))]
+    arr = vector_to_array("input_features")
+    return sampling.union_all(both).select("FLIGHT_ID", "split", *[F.round(arr[i], ROUND).alias(f"f_{i}") for i in range(len(NUMERIC))])
 
 
 def _model_query(kind, **params):
@@ -422,29 +458,73 @@ for _kind in ("lr", "lr_tuned", "dt", "rf", "gbt", "mlp", "mlp_deep"):
     QUERIES[_kind] = _model_query(_kind)
 
 
+MODEL_KINDS = ("lr", "lr_tuned", "dt", "rf", "gbt", "mlp", "mlp_deep")
+LOGGED = [f"{part}_{m}" for part in ("train", "test") for m in ("AUC", "accuracy", "precision", "recall", "f1")]
+
+
+def logged_models(spark, sf_dir):
+    """All seven classifiers fitted, evaluated on both splits and logged; the wide view of the log."""
+    from ..session import work_dir
+    train, test = (df.persist() for df in model_data(spark, sf_dir))
+    path = work_dir(spark, "model-log")
+    for kind in MODEL_KINDS:
+        models.logged_run(kind, train, test, "input_features", "DEP_DEL15", path)
+    train.unpersist()
+    test.unpersist()
+    return experiment_log.experiment_table(experiment_log.read_log(spark, path), ["dataset_name", "family"],
+                                           [*LOGGED, "Training Time (s)"])
+
+
 @query
-def predict(spark, sf_dir):
-    """M9 + S6: fit feature stages and the classifier on train, store, reload, score new data."""
-    from pyspark.ml import PipelineModel
+def model_runs(spark, sf_dir):
+    return logged_models(spark, sf_dir)
+
+
+@query
+def model_summary(spark, sf_dir):
+    """Test AUC per second of training, in order of training time."""
+    wide = logged_models(spark, sf_dir).withColumnRenamed("run_name", "Name").drop("run_id")
+    return experiments.experiment_summary(wide, "all", position="position")
 
+
+def _stored(spark, train, learned):
+    """Summaries, feature stages and classifier fitted on ``train``, stored; their folders."""
     from ..session import work_dir
-    feats = pipeline.flight_features(flights(spark, sf_dir))
-    train, test = pipeline.split_years(feats, fx.TRAIN_YEARS, fx.TEST_YEARS)
     stages = [features.one_hot(pipeline.CATEGORICAL_FEATURES, handle_invalid="keep"),
               features.feature_pipeline(pipeline.NUMERIC_FEATURES, pipeline.ONEHOT_FEATURES),
               models.classifier("lr_tuned", "input_features", "DEP_DEL15")]
-    fitted = features.Pipeline(stages=stages).fit(train)
-    path = work_dir(spark, "model")
-    models.save_model(fitted, path)
-    return models.predict(PipelineModel.load(path), test, keep=["FLIGHT_ID", "DEP_DEL15"])
+    model_path, summary_path = work_dir(spark, "model"), work_dir(spark, "summaries")
+    models.save_model(features.Pipeline(stages=stages).fit(train), model_path)
+    learned.save(summary_path)
+    return model_path, summary_path
 
 
 @query
-def grid_search(spark, sf_dir):
-    train, _test = model_data(spark, sf_dir)
-    est = models.classifier("dt", "input_features", "DEP_DEL15")
-    _model, table = tuning.grid_search_cv(est, tuning.DT_GRID, train, "DEP_DEL15", folds=3, parallelism=8)
-    return table
+def predict(spark, sf_dir):
+    """M9 + S6: summaries, feature stages and the classifier fitted on train, stored, reloaded, applied to new rows."""
+    raw = flights(spark, sf_dir)
+    train, _, learned = pipeline.split_features(raw, fx.TRAIN_YEARS, fx.TEST_YEARS)
+    model_path, summary_path = _stored(spark, train, learned)
+    new = pipeline.Summaries.load(spark, summary_path).apply(raw.filter(F.col("YEAR").isin(fx.TEST_YEARS)))
+    return models.predict(models.load_model(model_path), new, keep=["FLIGHT_ID", "DEP_DEL15"])
+
+
+def _grid(kind, space):
+    def run(spark, sf_dir):
+        train, test = model_data(spark, sf_dir)
+        train = tuning.with_fold(train, ["FLIGHT_ID"], 3).persist()
+        est = models.classifier(kind, "input_features", "DEP_DEL15")
+        model, table = tuning.grid_search_cv(est, space, train, "DEP_DEL15", folds=3, parallelism=8, fold_col="fold")
+        winner = tuning.auc_evaluator("DEP_DEL15").evaluate(model.bestModel.transform(test))
+        train.unpersist()
+        return table.withColumn("winner_test_auc", F.when(F.col("mean_auc") == max(model.avgMetrics), winner))
+    run.__name__ = f"grid_search_{kind}"
+    return run
+
+
+for _kind, _space in (("lr", tuning.LR_GRID), ("rf", tuning.RF_GRID), ("gbt", tuning.GBT_GRID)):
+    QUERIES[f"grid_search_{_kind}"] = _grid(_kind, _space)
+QUERIES["grid_search"] = _grid("dt", tuning.DT_GRID)
 
 
 @query
@@ -458,10 +538,12 @@ def time_series_cv(spark, sf_dir):
 
 @query
 def random_search(spark, sf_dir):
-    train, test = model_data(spark, sf_dir)
+    train, test = (df.persist() for df in model_data(spark, sf_dir))
     est = models.classifier("lr", "input_features", "DEP_DEL15", maxIter=100)
     _best, _score, table = tuning.random_search(est, tuning.LR_RANDOM_SPACE, train, test, "DEP_DEL15",
                                                 n=40, patience=20, seed=42)
+    train.unpersist()
+    test.unpersist()
     return table
 
 
@@ -493,13 +575,13 @@ def minority(spark, sf_dir):
 
 @query
 def top_k_neighbours(spark, sf_dir):
-    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K, seed=SMOTE_SEED)
+    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K)
     return rounded(near, ["distance"])
 
 
 @query
 def pick_one_neighbour(spark, sf_dir):
-    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K, seed=SMOTE_SEED)
+    near = neighbours.knn(minority(spark, sf_dir), "id", "features", SMOTE_K)
     batches = near.select("id", "nbr_id", F.explode(F.sequence(F.lit(0), F.lit(SMOTE_BATCHES - 1))).alias("batch"))
     return neighbours.pick_one_per_group(batches, ["id", "batch"], SMOTE_SEED, ["id", "batch", "nbr_id"]) \
         .select("id", "batch", "nbr_id")
@@ -511,14 +593,24 @@ def _long(df):
 
 @query
 def smote_exact(spark, sf_dir):
-    out = neighbours.smote(vectors(spark, sf_dir), "id", "features", "label", 1, SMOTE_K, SMOTE_BATCHES, SMOTE_SEED)
+    out = neighbours.smote(vectors(spark, sf_dir), "id", "features", "label", 1, SMOTE_K, SMOTE_BATCHES, SMOTE_SEED,
+                           exact=True)
     return rounded(_long(out), ["value"])
 
 
+@query
+def smote_by_group_exact(spark, sf_dir):
+    """R5 with SMOTE: neighbours within each group (ids modulo 4 stand in for years)."""
+    df = vectors(spark, sf_dir).withColumn("grp", (F.col("id") % 4).cast("int"))
+    out = sampling.rebalance_by(df, ["grp"], "label", "smote", seed=SMOTE_SEED, key=["id"], vec_col="features", minority=1,
+                                k=SMOTE_K, multiplier=SMOTE_BATCHES, exact=True)
+    return rounded(out.select("grp", "id", "batch", "label", F.posexplode("features").alias("dim", "value")), ["value"])
+
+
 @query
 def smote_lsh(spark, sf_dir):
     out = neighbours.smote(vectors(spark, sf_dir), "id", "features", "label", 1, SMOTE_K, SMOTE_BATCHES, SMOTE_SEED,
-                           exact=False, bucket_length=SMOTE_BUCKET)
+                           bucket_length=SMOTE_BUCKET)
     return out.select("id", "batch", "label", F.size("features").alias("dims"))
 
 
@@ -573,7 +665,7 @@ def experiment_csv(spark, sf_dir):
 def experiment_summary(spark, sf_dir):
     wide = experiment_wide(spark, sf_dir).withColumnRenamed("run_name", "Name").drop("run_id")
     out = experiments.experiment_summary(wide, "Y2001", score="test_AUC", cost="n_rows",
-                                         ratio="test_AUC_to_cost_ratio")
+                                         ratio="test_AUC_to_cost_ratio", position="position")
     return rounded(out, [c for c in out.columns if c != "Name"])
 
 
@@ -594,16 +686,14 @@ def predict_stream(spark, sf_dir):
     from ..session import work_dir
     from ..streaming import scoring
 
-    feats = pipeline.flight_features(flights(spark, sf_dir))
-    train, test = pipeline.split_years(feats, fx.TRAIN_YEARS, fx.TEST_YEARS)
-    stages = [features.one_hot(pipeline.CATEGORICAL_FEATURES, handle_invalid="keep"),
-              features.feature_pipeline(pipeline.NUMERIC_FEATURES, pipeline.ONEHOT_FEATURES),
-              models.classifier("lr_tuned", "input_features", "DEP_DEL15")]
-    fitted = features.Pipeline(stages=stages).fit(train)
+    raw = flights(spark, sf_dir)
+    train, _, learned = pipeline.split_features(raw, fx.TRAIN_YEARS, fx.TEST_YEARS)
+    model_path, summary_path = _stored(spark, train, learned)
+    loaded = pipeline.Summaries.load(spark, summary_path)
     landing = work_dir(spark, "landing")
-    test.repartition(4).write.mode("overwrite").parquet(landing)
-    stream = scoring.read_stream(spark, landing, test.schema, max_files_per_trigger=1)
+    raw.filter(F.col("YEAR").isin(fx.TEST_YEARS)).repartition(4).write.parquet(landing)
+    stream = scoring.read_stream(spark, landing, raw.schema, max_files_per_trigger=1)
     sink = work_dir(spark, "scored")
-    q = scoring.score_stream(stream, lambda df: df, fitted, ["FLIGHT_ID", "DEP_DEL15"], sink)
+    q = scoring.score_stream(stream, loaded.apply, models.load_model(model_path), ["FLIGHT_ID", "DEP_DEL15"], sink)
     q.awaitTermination()
     return spark.read.parquet(sink)

@@ -12,25 +12,23 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources.tables import read_table
+
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-
-
-# Tables read as one file with one row group give one non-empty scan task, so
-# every per-row step before the first shuffle would run on a single core.
-# Inputs with fewer files than the cluster's parallelism are spread once,
-# right after the scan (filters and column pruning still reach the scan);
-# real multi-file tables are read as they are.
-SPREAD_TABLES = ("lineitem", "orders", "customer", "events")
-
-
-def spread_input(df: DataFrame) -> DataFrame:
-    target = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if len(df.inputFiles()) < target else df
+# The columns that the fixture views read.
+REQUIRED = {
+    "lineitem": ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                 "l_tax", "l_shipdate"],
+    "orders": ["o_orderkey", "o_custkey", "o_totalprice"],
+    "customer": ["c_custkey", "c_nationkey", "c_acctbal"],
+    "supplier": ["s_suppkey", "s_nationkey", "s_acctbal"],
+    "events": ["event_id", "user_id", "ts"],
+    "embeddings": ["vec_id", "embedding", "label"],
+    "labels": ["doc_id", "quality", "toxic"],
+}
 
 
 # name -> expression; a dict value holds per-engine variants.
@@ -91,12 +89,8 @@ _FLIGHTS_FROM = ("lineitem JOIN orders ON l_orderkey = o_orderkey "
                  "JOIN customer ON o_custkey = c_custkey "
                  "JOIN supplier ON l_suppkey = s_suppkey")
 
-# The weather measures in their lenient-cast (double) form, in reference order.
-WEATHER_COLUMNS = ["HourlyPrecipitation", "HourlyDryBulbTemperature", "HourlyPressureChange",
-                   "HourlyRelativeHumidity", "HourlySeaLevelPressure", "HourlyStationPressure",
-                   "HourlyVisibility", "HourlyWindGustSpeed", "HourlyWindSpeed", "ELEVATION"]
-SPARSE_WEATHER = ["HourlyPressureChange", "HourlyWindGustSpeed"]
-CARRIER_KEYS = ["OP_UNIQUE_CARRIER", "OP_CARRIER_FL_NUM"]
+from .columns import CARRIER_KEYS, SPARSE as SPARSE_WEATHER, WEATHER as WEATHER_COLUMNS  # noqa: E402, F401
+
 SELF_JOIN_KEYS = ["FL_DATE", "OP_UNIQUE_CARRIER", "TAIL_NUM", "OP_CARRIER_FL_NUM", "sched_depart_date_time_UTC"]
 TRAIN_YEARS = [1995, 1996, 1997, 1998, 1999, 2000]
 TEST_YEARS = [2001]
@@ -155,10 +149,7 @@ def register_views(spark: SparkSession, sf_dir: str) -> dict[str, str]:
         return names
     names = {}
     for name in TABLES:
-        df = table(spark, sf_dir, name)
-        if name in SPREAD_TABLES:
-            df = spread_input(df)
-        df.createOrReplaceTempView(name)
+        read_table(spark, sf_dir, f"{name}.parquet", required=REQUIRED.get(name)).createOrReplaceTempView(name)
         names[name] = name
     for view, (builder, _deps) in VIEWS.items():
         spark.sql(builder("spark")).createOrReplaceTempView(view)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (DecisionTreeClassifier, GBTClassifier, LogisticRegression,
                                        MultilayerPerceptronClassifier, RandomForestClassifier)
@@ -10,6 +12,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_md5
+from ..operators import metrics
+from ..session import materialise
+from ..sources.experiment_log import log_run
 
 # Model settings of the reference experiments.
 LR_TUNED = {"elasticNetParam": 0.620118997676641, "regParam": 0.39387449470050384}
@@ -82,6 +87,32 @@ def predict(model, df: DataFrame, keep: list[str] = (), prob_col: str = "probabi
     return scored.select(*cols)
 
 
+def run_metrics(model, df: DataFrame, label: str, prefix: str) -> DataFrame:
+    """E1-E4 of one fitted model on one frame: a one-row table, metric names prefixed."""
+    scored = predict(model, df, keep=[label])
+    score = "p1" if "p1" in scored.columns else "prediction"
+    scored = materialise(scored)
+    out = metrics.summary_from_confusion(metrics.confusion(scored, "prediction", label))
+    both = out.select("*", metrics.auc_rank(scored, score, label).scalar().alias("auc"))
+    names = {"auc": "AUC", "accuracy": "accuracy", "weighted_precision": "precision", "weighted_recall": "recall",
+             "weighted_f1": "f1", "balanced_accuracy": "balanced_accuracy"}
+    return both.select(*[F.col(c).cast("double").alias(f"{prefix}_{n}") for c, n in names.items()])
+
+
+def logged_run(kind: str, train: DataFrame, test: DataFrame, features: str, label: str, log: str,
+               dataset: str = "all", **params):
+    """M1-M7 + E1-E4 + S7: fit, score both splits, append params, metrics and duration to the log."""
+    spark = train.sparkSession
+    began = time.monotonic()
+    model = fit_classifier(kind, train, features, label, **params)
+    seconds = time.monotonic() - began
+    rid = log_run(spark, log, kind, {"dataset_name": dataset, "family": type(model).__name__, **params},
+                  {"Training Time (s)": seconds})
+    for part, df in (("train", train), ("test", test)):
+        log_run(spark, log, kind, {}, run_metrics(model, df, label, part), run_id=rid)
+    return model
+
+
 def save_model(model, path: str) -> None:
     """Persist a fitted model or pipeline (overwrites)."""
     model.write().overwrite().save(path)
@@ -93,4 +124,4 @@ def load_model(path: str) -> PipelineModel:
 
 
 __all__ = ["Pipeline", "classifier", "fit_classifier", "baseline_predict", "majority_share", "predict",
-           "save_model", "load_model", "vector_size"]
+           "save_model", "load_model", "vector_size", "run_metrics", "logged_run"]

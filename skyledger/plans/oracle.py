@@ -286,7 +286,7 @@ walks(s, t, k, cnt) AS (
   SELECT id, id, 0, 1::DOUBLE FROM v
   UNION ALL
   SELECT w.s, e.dst, w.k + 1, sum(w.cnt) FROM walks w JOIN routes_fx e ON w.t = e.src
-  WHERE w.k < 40 GROUP BY w.s, e.dst, w.k + 1),
+  WHERE w.k < (SELECT n FROM nv) GROUP BY w.s, e.dst, w.k + 1),
 sp AS (SELECT s, t, min(k) AS d FROM walks GROUP BY s, t),
 sig AS (SELECT w.s, w.t, sp.d, w.cnt AS sigma FROM walks w JOIN sp ON w.s = sp.s AND w.t = sp.t AND w.k = sp.d)
 """
@@ -333,53 +333,130 @@ SELECT src, dst FROM routes_fx WHERE src IN (SELECT id FROM pick) AND dst IN (SE
 
 # ---------------------------------------------------------------- feature transformers
 
-CATS = """, cats AS (SELECT FLIGHT_ID, DAY_OF_MONTH, CASE
+CAT_COLS = ["R_Quartile", "F_Quartile", "M_Quartile", "closest_depart_time_weather_measurement", "SEASON", "TIME_SLOT",
+            "airport_groups", "carrier_groups", "DAY_OF_MONTH"]
+NUM_COLS = ["HourlyPrecipitation", "HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
+            "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "IS_HOLIDAY", "HOLIDAY_RUSH", "Recency",
+            "Monetary", "Frequency", "ELEVATION", "weather_condition_measured_time_from_depart", "degree_centrality",
+            "betweenness_centrality", "closeness_centrality", "airport_rank"]
+_CORR_COLS = ["HourlyPrecipitation", "HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
+              "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "IS_HOLIDAY", "HOLIDAY_RUSH", "Recency",
+              "Monetary", "Frequency", "degree_centrality", "betweenness_centrality", "closeness_centrality",
+              "airport_rank", "ELEVATION", "DEP_DEL15"]
+_SLOT = """CASE
   WHEN DEP_TIME_BLK IN ('0600-0659', '0700-0759', '0800-0859', '0900-0959') THEN 'morning'
   WHEN DEP_TIME_BLK IN ('1000-1059', '1100-1159') THEN 'mid-morning'
   WHEN DEP_TIME_BLK IN ('1200-1259', '1300-1359', '1400-1459') THEN 'afternoon'
   WHEN DEP_TIME_BLK IN ('1500-1559', '1600-1659', '1700-1759', '1800-1859') THEN 'evening'
   WHEN DEP_TIME_BLK IN ('1900-1959', '2000-2059', '2100-2159', '2200-2259', '2300-2359', '0001-0559') THEN 'night'
-  ELSE 'unknown' END AS TIME_SLOT, CASE
+  ELSE 'unknown' END"""
+_SEASON = """CASE
   WHEN MONTH IN (12, 1, 2) THEN 'winter' WHEN MONTH IN (3, 4, 5) THEN 'spring'
-  WHEN MONTH IN (6, 7, 8) THEN 'summer' WHEN MONTH IN (9, 10, 11) THEN 'fall' ELSE 'unknown' END AS SEASON
-  FROM flights_fx)
-"""
-
-
-def _index(col: str) -> str:
-    return (f", idx_{col} AS (SELECT v, row_number() OVER (ORDER BY n DESC, v) - 1 AS i, count(*) OVER () AS k FROM "
-            f"(SELECT CAST({col} AS VARCHAR) AS v, count(*) AS n FROM cats GROUP BY 1))\n")
-
-
-sql("string_index", F + CATS + _index("TIME_SLOT") + _index("SEASON") + _index("DAY_OF_MONTH") + """
-SELECT c.FLIGHT_ID, CAST(a.i AS DOUBLE) AS TIME_SLOT_indexed, CAST(b.i AS DOUBLE) AS SEASON_indexed,
-       CAST(d.i AS DOUBLE) AS DAY_OF_MONTH_indexed
-FROM cats c JOIN idx_TIME_SLOT a ON c.TIME_SLOT = a.v JOIN idx_SEASON b ON c.SEASON = b.v
-JOIN idx_DAY_OF_MONTH d ON CAST(c.DAY_OF_MONTH AS VARCHAR) = d.v""")
-
-sql("one_hot", F + CATS + _index("TIME_SLOT") + _index("SEASON") + """
-SELECT c.FLIGHT_ID,
-  CAST(CASE WHEN a.i < a.k - 1 THEN a.i + 1 ELSE 0 END AS INTEGER) AS TIME_SLOT_hot, CAST(a.k - 1 AS INTEGER) AS TIME_SLOT_size,
-  CAST(CASE WHEN b.i < b.k - 1 THEN b.i + 1 ELSE 0 END AS INTEGER) AS SEASON_hot, CAST(b.k - 1 AS INTEGER) AS SEASON_size
-FROM cats c JOIN idx_TIME_SLOT a ON c.TIME_SLOT = a.v JOIN idx_SEASON b ON c.SEASON = b.v""")
-
-sql("scaled_features", F + WEATHER_CAST + """, ok AS (SELECT * FROM num WHERE HourlyDryBulbTemperature IS NOT NULL
-  AND HourlyRelativeHumidity IS NOT NULL AND HourlySeaLevelPressure IS NOT NULL AND HourlyWindSpeed IS NOT NULL)
-SELECT FLIGHT_ID,
-  round(HourlyDryBulbTemperature / stddev_samp(HourlyDryBulbTemperature) OVER (), 6) AS scaled_0,
-  round(HourlyRelativeHumidity / stddev_samp(HourlyRelativeHumidity) OVER (), 6) AS scaled_1,
-  round(HourlySeaLevelPressure / stddev_samp(HourlySeaLevelPressure) OVER (), 6) AS scaled_2,
-  round(HourlyWindSpeed / stddev_samp(HourlyWindSpeed) OVER (), 6) AS scaled_3
-FROM ok""")
-
-_CORR_COLS = ["HourlyDryBulbTemperature", "HourlyRelativeHumidity", "HourlySeaLevelPressure",
-              "HourlyStationPressure", "HourlyVisibility", "HourlyWindSpeed", "ELEVATION", "DEP_DELAY", "DEP_DEL15"]
-
-sql("correlation_matrix", F + WEATHER_CAST + ", full_rows AS (SELECT * FROM num WHERE " +
-    " AND ".join(f"{c} IS NOT NULL" for c in _CORR_COLS) + ")\n" + "\nUNION ALL\n".join(
-    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, round(corr({a}, {b}), 6) AS corr FROM full_rows"
+  WHEN MONTH IN (6, 7, 8) THEN 'summer' WHEN MONTH IN (9, 10, 11) THEN 'fall' ELSE 'unknown' END"""
+
+
+def feats(fit: str) -> str:
+    """WITH clause ending in ``feats``: the feature table, its summaries learned from the rows where ``fit`` holds."""
+    graph_part = (GRAPH + CLOSENESS + BETWEENNESS).replace("routes_fx", "routes_fit")
+    return (fx("flights_fx", recursive=True) + ", " + CALENDAR + f""", fitted AS (SELECT * FROM flights_fx WHERE {fit}),
+routes_fit AS (SELECT DISTINCT origin_iata_code AS src, dest_iata_code AS dst FROM fitted)
+""" + graph_part + """, od AS (SELECT src AS id, count(*) AS c FROM routes_fit GROUP BY 1),
+idg AS (SELECT dst AS id, count(*) AS c FROM routes_fit GROUP BY 1),
+central AS (SELECT v.id, (coalesce(od.c, 0) + coalesce(idg.c, 0)) / (n - 1) AS degree_centrality,
+    betweenness_centrality, closeness_centrality
+  FROM v LEFT JOIN od ON v.id = od.id LEFT JOIN idg ON v.id = idg.id JOIN btw ON btw.id = v.id JOIN clo ON clo.id = v.id, nv),
+newest AS (SELECT max(FL_DATE) AS latest FROM fitted),
+rfm AS (
+  SELECT OP_UNIQUE_CARRIER, OP_CARRIER_FL_NUM,
+    min(CAST(date_diff('day', FL_DATE, latest) AS INTEGER)) FILTER (WHERE DEP_DEL15 = 1) AS Recency,
+    avg(DEP_DELAY) FILTER (WHERE DEP_DEL15 = 1) AS Monetary, sum(DEP_DEL15) / count(DEP_DEL15) AS Frequency
+  FROM fitted, newest GROUP BY 1, 2 HAVING count(*) FILTER (WHERE DEP_DEL15 = 1) > 0),
+cuts AS (
+  SELECT quantile_disc(Recency, 0.25) r1, quantile_disc(Recency, 0.5) r2, quantile_disc(Recency, 0.75) r3,
+         quantile_disc(Frequency, 0.25) f1, quantile_disc(Frequency, 0.5) f2, quantile_disc(Frequency, 0.75) f3,
+         quantile_disc(Monetary, 0.25) m1, quantile_disc(Monetary, 0.5) m2, quantile_disc(Monetary, 0.75) m3
+  FROM rfm),
+letters AS (SELECT rfm.*,
+  CASE WHEN Recency >= r3 THEN 'A' WHEN Recency >= r2 THEN 'B' WHEN Recency >= r1 THEN 'C' ELSE 'D' END AS R_Quartile,
+  CASE WHEN Frequency > f3 THEN 'D' WHEN Frequency > f2 THEN 'C' WHEN Frequency > f1 THEN 'B' ELSE 'A' END AS F_Quartile,
+  CASE WHEN Monetary >= m3 THEN 'D' WHEN Monetary >= m2 THEN 'C' WHEN Monetary >= m1 THEN 'B' ELSE 'A' END AS M_Quartile
+  FROM rfm, cuts)""" + WEATHER_CAST + f""", kept AS (
+  SELECT n.*, l.Recency, l.Monetary, l.Frequency, R_Quartile, F_Quartile, M_Quartile,
+    CAST(date_diff('day', FL_DATE, latest) AS INTEGER) AS RecencyDays,
+    CAST(CASE WHEN FL_DATE IN (SELECT holiday_date FROM cal_in) THEN 1 ELSE 0 END AS INTEGER) AS IS_HOLIDAY,
+    CAST(CASE WHEN EXISTS (SELECT 1 FROM cal_in c WHERE c.holiday_date BETWEEN n.FL_DATE - 2 AND n.FL_DATE + 2)
+      THEN 1 ELSE 0 END AS INTEGER) AS HOLIDAY_RUSH,
+    {_SLOT} AS TIME_SLOT, {_SEASON} AS SEASON,
+    abs(epoch_us(DATE) - epoch_us(two_hours_prior_depart_UTC)) AS d2,
+    abs(epoch_us(DATE) - epoch_us(four_hours_prior_depart_UTC)) AS d4,
+    abs(epoch_us(DATE) - epoch_us(sched_depart_date_time_UTC)) AS d0
+  FROM num n JOIN letters l ON n.OP_UNIQUE_CARRIER = l.OP_UNIQUE_CARRIER AND n.OP_CARRIER_FL_NUM = l.OP_CARRIER_FL_NUM, newest
+  WHERE origin_type = 'large_airport' AND TAIL_NUM IS NOT NULL AND FL_DATE IS NOT NULL AND DEP_DEL15 IS NOT NULL
+    AND """ + " AND ".join(f"{c} IS NOT NULL" for c in NUM_COLS[:7]) + f"""),
+fit_rows AS (SELECT * FROM kept WHERE {fit}),
+av AS (SELECT origin_iata_code AS k, count(*) AS c FROM fit_rows GROUP BY 1),
+aq AS (SELECT quantile_disc(c, 0.0) q0, quantile_disc(c, 0.25) q1, quantile_disc(c, 0.5) q2, quantile_disc(c, 0.75) q3 FROM av),
+ag AS (SELECT k, CASE WHEN c < q0 THEN 'A' WHEN c <= q1 THEN 'B' WHEN c <= q2 THEN 'C' WHEN c <= q3 THEN 'D' ELSE 'E' END AS airport_groups FROM av, aq),
+cv AS (SELECT OP_UNIQUE_CARRIER AS k, count(*) AS c FROM fit_rows GROUP BY 1),
+cq AS (SELECT quantile_disc(c, 0.0) q0, quantile_disc(c, 0.25) q1, quantile_disc(c, 0.5) q2, quantile_disc(c, 0.75) q3 FROM cv),
+cg AS (SELECT k, CASE WHEN c < q0 THEN 'A' WHEN c < q1 THEN 'B' WHEN c < q2 THEN 'C' WHEN c < q3 THEN 'D' ELSE 'E' END AS carrier_groups FROM cv, cq),
+feats AS (
+  SELECT kept.*, airport_groups, carrier_groups,
+    CAST(least(d2, d4, d0) // 1000000 AS INTEGER) AS weather_condition_measured_time_from_depart,
+    CASE WHEN least(d2, d4, d0) = d2 THEN '2hr_from_depart' WHEN least(d2, d4, d0) = d4 THEN '4hr_from_depart'
+      ELSE 'on_depart' END AS closest_depart_time_weather_measurement,
+    coalesce(degree_centrality, 0.0) AS degree_centrality, coalesce(betweenness_centrality, 0.0) AS betweenness_centrality,
+    coalesce(closeness_centrality, 0.0) AS closeness_centrality,
+    coalesce(degree_centrality, 0.0) + coalesce(betweenness_centrality, 0.0) + coalesce(closeness_centrality, 0.0) AS airport_rank
+  FROM kept LEFT JOIN central ON origin_iata_code = central.id LEFT JOIN ag ON ag.k = origin_iata_code
+  LEFT JOIN cg ON cg.k = OP_UNIQUE_CARRIER)
+""")
+
+
+ALL, TRAIN = feats("TRUE"), feats("YEAR BETWEEN 1995 AND 2000")
+
+
+def _index(col: str, where: str = "TRUE") -> str:
+    return (f", idx_{col} AS (SELECT val, row_number() OVER (ORDER BY n DESC, val) - 1 AS i, count(*) OVER () AS k FROM "
+            f"(SELECT CAST({col} AS VARCHAR) AS val, count(*) AS n FROM feats WHERE {where} AND {col} IS NOT NULL GROUP BY 1))\n")
+
+
+def _indexed(where: str, kind: str, out) -> str:
+    joins = " ".join(f"{kind} JOIN idx_{c} ON CAST(f.{c} AS VARCHAR) = idx_{c}.val" for c in CAT_COLS)
+    return ("".join(_index(c, where) for c in CAT_COLS) + "SELECT f.FLIGHT_ID, " +
+            ", ".join(out(c) for c in CAT_COLS) + f" FROM feats f {joins}")
+
+
+sql("string_index", ALL + _indexed("TRUE", "", lambda c: f"CAST(idx_{c}.i AS DOUBLE) AS {c}_indexed"))
+
+sql("one_hot", ALL + _indexed("TRUE", "", lambda c: (
+    f"CAST(CASE WHEN idx_{c}.i < idx_{c}.k - 1 THEN idx_{c}.i + 1 ELSE 0 END AS INTEGER) AS {c}_hot, "
+    f"CAST(idx_{c}.k - 1 AS INTEGER) AS {c}_size")))
+
+# Values unseen in the training years: no slot is hot; every known value has one.
+sql("one_hot_unseen", TRAIN + _indexed("YEAR BETWEEN 1995 AND 2000", "LEFT", lambda c: (
+    f"CAST(coalesce(idx_{c}.i + 1, 0) AS INTEGER) AS {c}_hot, "
+    f"CAST((SELECT max(k) FROM idx_{c}) AS INTEGER) AS {c}_size")))
+
+sql("scaled_features", ALL + "SELECT FLIGHT_ID, " + ", ".join(
+    f"CASE WHEN (SELECT stddev_samp({c}) > 1e-10 * (1 + abs(avg({c}))) FROM feats) "
+    f"THEN round({c} / (SELECT stddev_samp({c}) FROM feats), 6) ELSE 0.0::DOUBLE END AS scaled_{i}" for i, c in enumerate(NUM_COLS)) + " FROM feats")
+
+sql("prepare_features_scaled", TRAIN + "SELECT FLIGHT_ID, CASE WHEN YEAR = 2001 THEN 'test' ELSE 'train' END AS split, " + ", ".join(
+    f"CASE WHEN (SELECT stddev_samp({c}) > 1e-10 * (1 + abs(avg({c}))) FROM feats WHERE YEAR <= 2000) "
+    f"THEN round({c} / (SELECT stddev_samp({c}) FROM feats WHERE YEAR <= 2000), 6) ELSE 0.0::DOUBLE END AS f_{i}" for i, c in enumerate(NUM_COLS)) + " FROM feats")
+
+sql("summaries_applied", TRAIN + "SELECT FLIGHT_ID, YEAR, RecencyDays, Recency, " + ", ".join(
+    f"round({c}, 6) AS {c}" for c in ["Monetary", "Frequency", *NUM_COLS[-4:]]) +
+    ", R_Quartile, F_Quartile, M_Quartile, airport_groups, carrier_groups FROM feats")
+
+sql("correlation_matrix", ALL + "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, "
+    f"CASE WHEN stddev_pop({a}) > 1e-10 * (1 + abs(avg({a}))) AND stddev_pop({b}) > 1e-10 * (1 + abs(avg({b}))) THEN round(corr({a}, {b}), 6) END AS corr FROM feats"
     for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]))
 
+sql("rfm_quartiles_rank", ORACLE["rfm_quartiles"])
+
 # ---------------------------------------------------------------- neighbours and SMOTE (brute force on the fixture)
 
 KNN = """WITH m AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label = 5),
@@ -409,6 +486,18 @@ FROM syn, dims
 UNION ALL
 SELECT id, -1 AS batch, label, CAST(d AS INTEGER) AS dim, round(v[d + 1], 6) AS value FROM allv, dims""")
 
+GKNN = """WITH m AS (SELECT vec_id AS id, vec_id % 4 AS grp, CAST(embedding AS DOUBLE[]) AS v FROM embeddings WHERE label = 5),
+pairs AS (SELECT a.grp, a.id, b.id AS nbr_id, list_distance(a.v, b.v) AS distance FROM m a JOIN m b ON a.grp = b.grp AND a.id <> b.id),
+knn AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY grp, id ORDER BY distance, nbr_id) AS rank
+                       FROM pairs WHERE distance > 0) WHERE rank <= 3)
+"""
+
+sql("smote_by_group_exact", GKNN + ORACLE["smote_exact"][len(KNN):].replace(
+    "SELECT id, batch, label,", "SELECT CAST(id % 4 AS INTEGER) AS grp, id, batch, label,").replace(
+    "SELECT id, -1 AS batch,", "SELECT CAST(id % 4 AS INTEGER) AS grp, id, -1 AS batch,"))
+
+sql("shuffle_rows", F + "SELECT FLIGHT_ID, DEP_DEL15 FROM flights_fx")
+
 # ---------------------------------------------------------------- experiment records
 
 EXPERIMENTS = f""", p AS (SELECT 1.0 - count(*) FILTER (WHERE DEP_DEL15 = 1) / count(*) AS p0 FROM flights_fx),
@@ -450,7 +539,8 @@ sql("experiment_csv", F + EXPERIMENTS + _WIDE_OUT)
 sql("experiment_summary", F + EXPERIMENTS + """SELECT run_name AS Name, round(avg(test_AUC), 6) AS test_AUC,
   round(avg(test_accuracy), 6) AS test_accuracy, round(avg(test_precision), 6) AS test_precision,
   round(avg(test_recall), 6) AS test_recall, round(avg(test_f1), 6) AS test_f1, round(avg(n_rows), 6) AS n_rows,
-  round(avg(test_AUC / n_rows), 6) AS test_AUC_to_cost_ratio
+  round(avg(test_AUC / n_rows), 6) AS test_AUC_to_cost_ratio,
+  row_number() OVER (ORDER BY avg(n_rows), run_name) AS position
 FROM wide WHERE dataset_name = 'Y2001' GROUP BY run_name""")
 
 sql("feature_roundtrip", F + RECENCY + "SELECT FLIGHT_ID, YEAR, DEP_DEL15, RecencyDays FROM rec WHERE YEAR = 2001")

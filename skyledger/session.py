@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,80 +73,29 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def materialise(df, small: bool = False, parquet: bool = False):
-    """Write ``df`` to the shared checkpoint folder and continue from the written copy.
+def materialise(df):
+    """Write ``df`` as Parquet in the shared checkpoint folder and continue from the written table.
 
-    Used at stage boundaries and for small learned tables (one row per group)
-    that several scalar subqueries read: they are computed once, and the plan
-    downstream starts from files instead of repeating the upstream plan.
-
-    Default: a reliable checkpoint, with the rows cached first so the file
-    write does not recompute the plan. ``small`` tables are then coalesced to
-    a few partitions. ``parquet`` writes a Parquet table instead (one job,
-    compressed, later reads prune columns): the better choice for very wide
-    row-level intermediates that later stages read only partly.
+    Used at stage boundaries and for learned tables that several plans read:
+    they are computed once, a lost executor re-reads files, and later scans
+    prune columns and push filters down.
     """
     spark = df.sparkSession
-    if parquet:
-        path = work_dir(spark, "table")
-        df.write.mode("overwrite").parquet(path)
-        return spark.read.parquet(path)
-
-    from pyspark import StorageLevel
-
-    checkpoint_dir(spark)
-    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-    try:
-        out = cached.checkpoint(eager=True)
-    finally:
-        cached.unpersist()
-    if small:
-        # Learned tables (one row per group, class, vertex or BFS level) are
-        # tiny next to the shuffle's partition count; fewer partitions keep
-        # every later join over them from scheduling mostly empty tasks.
-        out = right_size(out, out.count(), SMALL_ROWS_PER_PARTITION)
-    return out
-
-
-ROWS_PER_PARTITION = 1_000_000
-SMALL_ROWS_PER_PARTITION = 200_000
-
-
-def right_size(df, rows: int, rows_per_partition: int = ROWS_PER_PARTITION):
-    """Coalesce ``df`` (``rows`` rows) to about ``rows_per_partition`` rows per partition.
-
-    Iterative MLlib fits run one job per iteration; on a small frame spread
-    over many partitions the task overhead dominates. The count scales with the
-    data, so a fold of a billion rows still gets a thousand partitions.
-    """
-    import math
-
-    target = max(1, math.ceil(rows / rows_per_partition))
-    return df.coalesce(target) if target < df.rdd.getNumPartitions() else df
-
-
-def spread(df, min_partitions: int | None = None):
-    """At least ``min_partitions`` (default: the cluster's parallelism) partitions.
-
-    Model fitting is compute-bound per row; a small table read back from a few
-    files would otherwise train on a few cores. Larger inputs already have
-    more partitions and are left as they are.
-    """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    path = work_dir(spark, "table")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediates."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/skyledger-{name}-{os.getpid()}-{next(_COUNTER)}"
-
-
-def _counter():
-    n = 0
-    while True:
-        n += 1
-        yield n
-
-
-_COUNTER = _counter()
+    """A fresh sub-folder of the shared checkpoint folder for written intermediates."""
+    return f"{checkpoint_dir(spark).rstrip('/')}/skyledger-{name}-{uuid.uuid4().hex}"
+
+
+def discard(*tables) -> None:
+    """Delete written intermediates (``materialise``) that no later plan reads."""
+    for df in tables:
+        spark = df.sparkSession
+        for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/skyledger-table-" in folder:
+                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

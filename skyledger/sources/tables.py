@@ -23,10 +23,17 @@ EXPERIMENT_COLUMNS = ["Name", "Training Time (s)", "dataset_name", "family", "fe
 
 
 def read_table(spark: SparkSession, base: str, name: str, schema: T.StructType | None = None,
-               columns: list[str] | None = None) -> DataFrame:
-    """A Parquet dataset by name; ``columns`` prunes at the scan."""
+               columns: list[str] | None = None, required: list[str] | None = None) -> DataFrame:
+    """A Parquet dataset by name; ``columns`` prunes at the scan.
+
+    ``schema`` declares the columns to read; a dataset that lacks a
+    ``required`` column raises ``ValueError`` naming what is missing.
+    """
     reader = spark.read.schema(schema) if schema is not None else spark.read
     df = reader.parquet(f"{base.rstrip('/')}/{name}")
+    missing = [c for c in required or [] if c not in df.columns]
+    if missing:
+        raise ValueError(f"{name} lacks the columns {missing}")
     return df.select(*columns) if columns else df
 
 

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ SF_MID = "/root/testdata/sf0.01"
 @pytest.fixture(scope="session")
 def spark():
     from skyledger.session import build_session, checkpoint_dir
-    s = build_session("local[4]", app_name="skyledger-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app_name="skyledger-tests", shuffle_partitions=4,
+                      extra={"spark.checkpoint.dir": tempfile.mkdtemp(prefix="skyledger-tests-", dir="/tmp")})
     s.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(s)
     yield s

@@ -19,7 +19,7 @@ def test_read_table_prunes_and_features_roundtrip(spark):
 
 
 def test_read_experiments_csv_with_inference(spark):
-    rows = [("lr", 12.5, "OTPW_60M", "majority class", 0.6), ("dt", 3.0, "OTPW_60M", "tree", 0.55)]
+    rows = [("lr", 12.5, "flights_60M", "majority class", 0.6), ("dt", 3.0, "flights_60M", "tree", 0.55)]
     df = spark.createDataFrame(rows, "Name string, `Training Time (s)` double, dataset_name string, family string, test_AUC double")
     path = tables.write_csv(df, work_dir(spark, "t-csv"))
     back = tables.read_experiments(spark, path)

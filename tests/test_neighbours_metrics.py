@@ -20,7 +20,7 @@ def test_knn_exact_with_many_pivots_matches_brute_force(spark):
         F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("v"))
     pts = {r["id"]: r["v"] for r in emb.collect()}
     got = {}
-    for r in neighbours.knn(emb, "id", "v", 3, num_pivots=12, chunk=16).collect():
+    for r in neighbours.knn(emb, "id", "v", 3, chunk=64).collect():
         got.setdefault(r["id"], []).append((r["rank"], r["nbr_id"]))
     want = _brute(pts, 3)
     assert {i: [j for _, j in sorted(v)] for i, v in got.items()} == want
@@ -30,7 +30,7 @@ def test_knn_duplicates_are_not_neighbours(spark):
     rows = [(1, [0.0, 0.0]), (2, [0.0, 0.0]), (3, [1.0, 0.0]), (4, [1.0, 0.0]), (5, [0.0, 2.0]), (6, [5.0, 5.0])]
     df = spark.createDataFrame(rows, "id int, v array<double>")
     got = {}
-    for r in neighbours.knn(df, "id", "v", 3, num_pivots=2).collect():
+    for r in neighbours.knn(df, "id", "v", 3, chunk=2).collect():
         got.setdefault(r["id"], []).append((r["rank"], r["nbr_id"], r["distance"]))
     assert [x[1] for x in sorted(got[1])] == [3, 4, 5]        # copies of itself excluded
     assert [x[1] for x in sorted(got[3])] == [1, 2, 5]
@@ -39,7 +39,7 @@ def test_knn_duplicates_are_not_neighbours(spark):
 def test_smote_points_lie_on_segments(spark):
     rows = [(i, [float(i), float(i % 3)], 1 if i < 8 else 0) for i in range(20)]
     df = spark.createDataFrame(rows, "id int, v array<double>, y int")
-    out = neighbours.smote(df, "id", "v", "y", 1, k=3, multiplier=3, seed=11)
+    out = neighbours.smote(df, "id", "v", "y", 1, k=3, multiplier=3, seed=11, exact=True)
     orig = {r[0]: r[1] for r in rows}
     synth = [r for r in out.collect() if r["batch"] >= 0]
     assert len(synth) == 8 * 3 and all(r["label"] == 1 for r in synth)
