@@ -102,6 +102,18 @@ def landing(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.nda
     return out
 
 
+def numbered_copies(rows: DataFrame, at_once: int = 100_000) -> DataFrame:
+    """``rows`` with ``copy``: 0, 1, .. among rows that are alike in all columns.
+
+    Copies combine before the shuffle and unfold in stretches of ``at_once``,
+    so no group of copies is gathered.
+    """
+    some = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("copies"))
+    begin = some.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1, F.lit(at_once).cast("long"))).alias("begin"))
+    end = F.least(F.col("begin") + at_once, "copies") - 1
+    return begin.select(*rows.columns, F.explode(F.sequence("begin", end, F.lit(1).cast("long"))).alias("copy"))
+
+
 def _round(seed: int):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["salt", "size", "doc_id"], kind="stable").reset_index(drop=True)
@@ -126,8 +138,9 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     however the rows are partitioned. Other columns are ignored; an empty
     table gives an empty result.
     """
-    rows = save(docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                            n_words(text_col).alias("size")), "sizes")
+    rows = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
+                       n_words(text_col).alias("size"))
+    rows = save(numbered_copies(rows), "sizes")  # numbers part repeated rows, which else would all fly in one block
     targets = save(source_targets(rows, weights, most), "targets")
     same = rows["source"].eqNullSafe(targets["source"])
     ratio = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
@@ -135,7 +148,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     todo = rows.join(targets, same, "left").select(
         "doc_id", rows["source"], "size", ratio.alias("m"),
         F.when(F.col("size") > 0, ratio - F.floor(ratio)).otherwise(0.0).alias("p"),
-        F.xxhash64(F.lit(seed), "doc_id", "size").alias("salt"))
+        F.xxhash64(F.lit(seed), "doc_id", "size", "copy").alias("salt"))
     todo = save(todo, "flight")
     done = [todo.filter("p <= 0 or p >= 1")]
     level = 0

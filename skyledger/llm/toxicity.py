@@ -372,7 +372,13 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
 
 
 def keep_civil(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that aren't predicted toxic, with all their columns; nothing moves between tasks."""
+    """The rows of ``docs`` that aren't predicted toxic, with all their columns; nothing moves between tasks.
+
+    A model that no labels have trained (it scores all texts 0.5) rejects nothing.
+    """
+    if not model.net and not model.shift:
+        return docs
+
     def run(batches):
         reader = Reader(model)
         for b in batches:

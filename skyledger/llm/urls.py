@@ -63,7 +63,10 @@ def fit(labelled: DataFrame, url_col: str = "url", label_col: str = "blocked", p
     if chosen.select("label").distinct().count() < 2:
         return None
     ready = _hashed(chosen.select("label", grams(host_of(F.col("u")), path_of(F.col("u"))).alias("grams")))
-    return LogisticRegression(maxIter=30, regParam=0.01).fit(ready.coalesce(2).persist())
+    data = ready.coalesce(2).persist()
+    model = LogisticRegression(maxIter=30, regParam=0.01).fit(data)
+    data.unpersist()
+    return model
 
 
 def judge(pages: DataFrame, model: LogisticRegressionModel | None, id_col: str = "page_id", url_col: str = "url", rules=RULES) -> DataFrame:

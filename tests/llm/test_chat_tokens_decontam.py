@@ -161,3 +161,15 @@ def test_blocks_of_items_find_the_same(spark, monkeypatch):
     whole = key(decontam.contaminated(docs, bench))
     monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 15)
     assert key(decontam.contaminated(docs, bench)) == whole
+    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 2_000)
+    monkeypatch.setattr(decontam, "BYTES_PER_PASS", 4_000)
+    assert key(decontam.contaminated(docs, bench)) == whole
+
+
+def test_many_texts_of_one_item(spark, docs_of, monkeypatch):
+    """Texts that share an item id are all searched, also where they fall in different blocks."""
+    texts = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(7)]
+    d = docs_of([(k, t) for k, t in enumerate(texts)])
+    bench = spark.createDataFrame([(1, t) for t in texts], "item_id long, text string")
+    monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 3)
+    assert sorted(r["doc_id"] for r in decontam.contaminated(d, bench).collect()) == list(range(7))

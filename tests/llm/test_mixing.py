@@ -65,6 +65,21 @@ def test_nulls_repeats_and_empty(spark, docs_of):
     assert mixing.mix(docs_of([])).collect() == []
 
 
+def test_repeated_rows_part(spark, docs_of):
+    """Copies of a row (ids null or not) fly in different blocks, and the mix meets its targets."""
+    rows = [(None, "a b c")] * 300 + [(5, "d e")] * 300 + [(k, "w " * (k % 9 + 1)) for k in range(10, 310)]
+    d = docs_of(rows, lambda i: "z" if i and i % 3 else "y")
+    numbers = mixing.numbered_copies(d.select("doc_id", "text"), at_once=7).collect()
+    assert sorted(r["copy"] for r in numbers if r["doc_id"] is None) == list(range(300))
+    out = mixing.mix(d, block=40).collect()
+    assert len(out) == 900
+    for s in "yz":
+        own = [r for r in out if r["source"] == s]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= 30
+    key = lambda f: sorted(map(tuple, f.collect()), key=str)
+    assert key(mixing.mix(d, block=40)) == key(mixing.mix(d.repartition(5), block=40))
+
+
 def test_flight_keeps_both_totals():
     r = np.random.default_rng(1)
     size, p = r.integers(1, 1000, 500).astype(float), np.full(500, 0.37)

@@ -146,6 +146,7 @@ def test_toxicity_odd_rows(spark, docs_of, tables):
     assert toxicity.toxicity(docs_of([]), model).collect() == []
     untrained = toxicity.fit(d, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r["score"] for r in toxicity.toxicity(d, untrained).collect()} == {0.5}
+    assert toxicity.keep_civil(d, untrained).count() == 5  # nothing was learnt: nothing is rejected
 
 
 def test_network_gradients():
