@@ -243,6 +243,15 @@ def baseline_predict(spark, sf_dir):
     return models.baseline_predict(test, models.majority_share(df, "DEP_DEL15"), seed=451, key=["FLIGHT_ID"])
 
 
+@query
+def sorted_predictions(spark, sf_dir):
+    """The baseline's rows by prediction, ascending and descending, with their positions."""
+    rows = baseline_predict(spark, sf_dir)
+    up = ordering.with_global_row_id(rows, ["prediction", "FLIGHT_ID"], "position")
+    down = ordering.with_global_row_id(rows, [F.col("prediction").desc(), "FLIGHT_ID"], "position")
+    return sampling.union_all([up.withColumn("direction", F.lit("ascending")), down.withColumn("direction", F.lit("descending"))])
+
+
 def scored(spark, sf_dir):
     views(spark, sf_dir)
     return spark.table("metrics_fx")

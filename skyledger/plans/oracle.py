@@ -248,6 +248,10 @@ sql("baseline_predict", F + f""", p AS (SELECT 1.0 - count(*) FILTER (WHERE DEP_
 SELECT FLIGHT_ID, DEP_DEL15, CASE WHEN {md5_uniform(451, 'FLIGHT_ID')} < p0 THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END AS prediction
 FROM flights_fx, p WHERE YEAR = 2001""")
 
+sql("sorted_predictions", f"WITH r AS ({ORACLE['baseline_predict']})" + """
+SELECT *, row_number() OVER (ORDER BY prediction, FLIGHT_ID) AS position, 'ascending' AS direction FROM r
+UNION ALL SELECT *, row_number() OVER (ORDER BY prediction DESC, FLIGHT_ID), 'descending' FROM r""")
+
 M = fx("metrics_fx")
 
 sql("confusion", M + "SELECT label, prediction, count(*) AS count FROM metrics_fx GROUP BY ALL")
