@@ -116,13 +116,13 @@ def correlation_matrix(df: DataFrame, cols: list[str]) -> DataFrame:
     in generated code, so this is much faster than one ``corr`` aggregate per pair.
     """
     data = df.select(*cols).na.drop(how="any")
-    means = data.agg(*[F.avg(c).alias(c) for c in cols])
-    centred = data.select(*[(F.col(c) - means.select(c).scalar()).alias(c) for c in cols])
+    means = data.agg(F.struct(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(cols)]).alias("means")).scalar()
+    centred = data.select(means.alias("__means"), *cols).select(*[(F.col(c) - F.col(f"__means.m{i}")).alias(c) for i, c in enumerate(cols)])
     pairs = list(combinations_with_replacement(range(len(cols)), 2))
     sums = centred.agg(*[F.sum(F.col(cols[i]) * F.col(cols[j])).alias(f"s{i}_{j}") for i, j in pairs],
-                       F.count(F.lit(1)).alias("n"))
+                       F.count(F.lit(1)).alias("n")).withColumn("__means", means)
     # A column that varies by rounding noise only is constant and correlates with nothing: null.
-    varies = [F.sqrt(F.col(f"s{i}_{i}") / F.col("n")) > 1e-10 * (1 + F.abs(means.select(c).scalar())) for i, c in enumerate(cols)]
+    varies = [F.sqrt(F.col(f"s{i}_{i}") / F.col("n")) > 1e-10 * (1 + F.abs(F.col(f"__means.m{i}"))) for i in range(len(cols))]
 
     def corr(i: int, j: int):
         both = F.try_divide(F.col(f"s{i}_{j}"), F.sqrt(F.col(f"s{i}_{i}") * F.col(f"s{j}_{j}")))

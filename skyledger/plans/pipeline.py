@@ -66,7 +66,8 @@ class Summaries:
         kept = row_features(flights).join(scores.select(*CARRIER_KEYS), CARRIER_KEYS, "left_semi")
         if large_only:
             kept = clean.filter_equals(kept, "origin_type", "large_airport")
-        volumes = materialise(kept.groupBy("origin_iata_code", "OP_UNIQUE_CARRIER").agg(F.count(F.lit(1)).alias("rows")))
+        volumes = materialise(kept.groupBy("origin_iata_code", "OP_UNIQUE_CARRIER").agg(F.count(F.lit(1)).alias("rows")), wide=True)
+
         def lettered(key: str, out: str, scheme):
             counts = volumes.groupBy(key).agg(F.sum("rows").alias("count"))
             return materialise(groups.quantile_bin(counts, "count", out, *scheme, method=method))
@@ -109,7 +110,7 @@ def flight_features(flights: DataFrame, fit_on: DataFrame | None = None, large_o
     Without ``fit_on`` they are learned from all rows: the reference's own way
     (parity mode), which lets the test years' labels into training rows.
     """
-    return materialise(Summaries.fit(fit_on if fit_on is not None else flights, large_only).apply(flights))
+    return materialise(Summaries.fit(fit_on if fit_on is not None else flights, large_only).apply(flights), wide=True)
 
 
 def split_years(df: DataFrame, train_years: list[int], test_years: list[int]) -> tuple[DataFrame, DataFrame]:
@@ -120,7 +121,7 @@ def split_features(flights: DataFrame, train_years: list[int], test_years: list[
     """Features of both splits with summaries learned from the training years only; written once."""
     train, test = split_years(flights, train_years, test_years)
     learned = Summaries.fit(train)
-    feats = materialise(learned.apply(sampling.union_all([train, test])))
+    feats = materialise(learned.apply(sampling.union_all([train, test])), wide=True)
     return *split_years(feats, train_years, test_years), learned
 
 

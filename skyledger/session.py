@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager, nullcontext
 
 from pyspark.sql import SparkSession
 
@@ -73,16 +74,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or local
 
 
-def materialise(df):
+@contextmanager
+def plain_constraints(spark: SparkSession):
+    """Plan without inferring filters from constraints, for plans that stack many computed columns.
+
+    One predicate over k computed columns becomes 2^k inferred constraints once
+    the columns are aliased above it. Only plans executed inside are affected.
+    """
+    key = "spark.sql.constraintPropagation.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+def materialise(df, wide: bool = False):
     """Write ``df`` as Parquet in the shared checkpoint folder and continue from the written table.
 
     Used at stage boundaries and for learned tables that several plans read:
     they are computed once, a lost executor re-reads files, and later scans
-    prune columns and push filters down.
+    prune columns and push filters down. ``wide``: see :func:`plain_constraints`.
     """
     spark = df.sparkSession
     path = work_dir(spark, "table")
-    df.write.parquet(path)
+    with plain_constraints(spark) if wide else nullcontext():
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
