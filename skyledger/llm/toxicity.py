@@ -27,7 +27,8 @@ SAMPLE = 1_500          # labelled rows of each class that training reads at mos
 SAMPLE_CHARS = 20_000   # training rows are texts up to this length; scoring has no such bound
 LEAST_DOCS = 3          # documents that must have a word or n-gram for it to count
 EPOCHS, BATCH, RATE = 12, 128, 0.02
-WORDS_AT_ONCE = 300_000
+WORDS_AT_ONCE = 100_000  # words that a task holds as windows; a longer text is held whole
+ROWS_AT_ONCE = 500       # rows of an Arrow batch that a task holds as Python texts
 
 _P = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 
@@ -327,6 +328,12 @@ def score_texts(model: Model, texts, reader: Reader | None = None) -> np.ndarray
     return np.concatenate(out) if out else np.zeros(0)
 
 
+def score_column(model: Model, column: pa.Array, reader: Reader) -> np.ndarray:
+    """Scores of an Arrow column of texts, of which few become Python texts at once."""
+    parts = [score_texts(model, column.slice(k, ROWS_AT_ONCE).to_pylist(), reader) for k in range(0, len(column), ROWS_AT_ONCE)]
+    return np.concatenate(parts) if parts else np.zeros(0)
+
+
 def held_out(id_col: str = "doc_id"):
     """Rows whose labels are never learnt."""
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 0, F.lit(False))
@@ -364,7 +371,7 @@ def toxicity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: st
     def run(batches):
         reader = Reader(model)
         for b in batches:
-            score = score_texts(model, b.column("text").to_pylist(), reader)
+            score = score_column(model, b.column("text"), reader)
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("held_out"), pa.array(score, pa.float64()),
                  pa.array((score >= 0.5).astype(np.int32), pa.int32())], ["doc_id", "held_out", "score", "predicted"])
@@ -382,6 +389,6 @@ def keep_civil(docs: DataFrame, model: Model, text_col: str = "text") -> DataFra
     def run(batches):
         reader = Reader(model)
         for b in batches:
-            score = score_texts(model, b.column(text_col).to_pylist(), reader)
+            score = score_column(model, b.column(text_col), reader)
             yield b.filter(pa.array(score < 0.5))
     return docs.mapInArrow(run, docs.schema)
