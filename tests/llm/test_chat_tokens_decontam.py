@@ -173,3 +173,37 @@ def test_many_texts_of_one_item(spark, docs_of, monkeypatch):
     bench = spark.createDataFrame([(1, t) for t in texts], "item_id long, text string")
     monkeypatch.setattr(decontam, "ITEMS_PER_PASS", 3)
     assert sorted(r["doc_id"] for r in decontam.contaminated(d, bench).collect()) == list(range(7))
+
+
+def _verbatim(docs, items):
+    return {(d, i) for d, t in docs for i, w in items
+            if b" " + b" ".join(tx.label_words(w)) + b" " in b" " + b" ".join(tx.label_words(t)) + b" "}
+
+
+def _pass_of_items(docs, n, words, seed=3):
+    """``n`` passages of so many words, cut from the documents."""
+    r = random.Random(seed)
+    long = [w for w in (t.split() for _, t in docs if t) if len(w) >= words]
+    at = [(w, r.randrange(len(w) - words + 1)) for w in r.choices(long, k=n)]
+    return [(k, " ".join(w[a:a + words])) for k, (w, a) in enumerate(at)]
+
+
+def test_copies_of_a_full_pass_of_items_are_found(spark):
+    """Recall against brute force is 1 with as many items as one pass takes."""
+    table = spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(300)
+    docs = [(r["doc_id"], r["text"]) for r in table.collect()]
+    items = _pass_of_items(docs, decontam.ITEMS_PER_PASS, 20)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = _verbatim(docs, items)
+    got = {(r["doc_id"], r["item_id"]) for r in decontam.contaminated(table, bench).collect()}
+    assert len(want) >= len(items) and want <= got
+
+
+def test_copy_amid_rare_words(spark, docs_of):
+    """Words that no other text has weigh most, but don't hide an item of common words."""
+    item = " ".join(f"common{k}" for k in range(12))
+    other = [(k, f"{item} {k}") for k in range(100, 300)]
+    rare = [(k, " ".join(f"r{k}x{j}" for j in range(40)) + " " + item + " " + " ".join(f"s{k}x{j}" for j in range(40))) for k in range(20)]
+    d = docs_of(rare + other)
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert {r["doc_id"] for r in decontam.contaminated(d, bench).collect()} == {k for k, _ in rare + other}
