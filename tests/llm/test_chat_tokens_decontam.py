@@ -207,3 +207,17 @@ def test_copy_amid_rare_words(spark, docs_of):
     d = docs_of(rare + other)
     bench = spark.createDataFrame([(1, item)], "item_id long, text string")
     assert {r["doc_id"] for r in decontam.contaminated(d, bench).collect()} == {k for k, _ in rare + other}
+
+
+def test_long_items_are_found(spark, docs_of):
+    """An item of many passages, copied whole; a part of it alone is no copy."""
+    source = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").orderBy("doc_id").limit(400).collect()]
+    items = _pass_of_items([(d, t) for d, t in source if t and 300 <= len(tx.label_words(t)) < 2_000], 5, 300)
+    filler = " ".join(f"fill{k}" for k in range(100))
+    copies = [(k, f"{filler} {t} {filler}") for k, t in items]
+    parts = [(100 + k, f"{filler} {' '.join(t.split()[40:120])} {filler}") for k, t in items]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    out = decontam.contaminated(docs_of(copies + parts), bench).collect()
+    assert _verbatim(copies, items) <= {(r["doc_id"], r["item_id"]) for r in out}
+    assert all(r["lcs_ratio"] == 1 and r["answer"] for r in out if r["doc_id"] == r["item_id"])
+    assert all(r["doc_id"] < 100 for r in out)
