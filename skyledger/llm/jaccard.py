@@ -266,13 +266,9 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     """
     # Ids travel as text: pandas would turn longs with nulls into floats.
     base = docs.select(F.col(id_col).cast("long").cast("string").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    rows = save(index_sets(base, width, percent), "sets")
-    # Equal sets count once from here on.
-    sets = save(rows.filter("posts is not null").dropDuplicates(["node"]).select("node", "n", "items", "posts"), "nodes")
-    comp = connected_components(links(sets, percent))
-    named = rows.select(F.col("doc_id").cast("long").alias("doc_id"), "node", F.col("n").cast("long").alias("n_shingles"))
-    smallest = named.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("m"))
-    part = smallest.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "m")
+    named, part = _components(base, width, percent)
+    part = part.withColumn("m", F.col("m").cast("long"))
+    named = named.withColumn("doc_id", F.col("doc_id").cast("long"))
     best = part.groupBy("c").agg(F.min("m").alias("component_id"))
     which = part.join(best, "c").select("node", "component_id")
     full = named.filter("n_shingles > 0").join(which, "node", "left").select("doc_id", "n_shingles", "component_id")
@@ -280,9 +276,42 @@ def near_duplicate_components(docs: DataFrame, id_col: str = "doc_id", text_col:
     return full.unionByName(empty)
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` whose id names their component, with all columns; rows with null ids stay."""
-    found = near_duplicate_components(docs, id_col, text_col, **options)
-    gone = tx.fresh(docs, "gone")
-    drop = found.filter("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(drop, F.col(id_col).cast("long") == F.col(gone), "left_anti")
+def _components(base: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (doc_id, node, n_shingles) of (doc_id, text), and each node's component ``c`` and smallest id ``m``.
+
+    ``doc_id`` is an id as text, which a colon and more may follow: the id as a number counts first.
+    """
+    rows = save(index_sets(base, width, percent), "sets")
+    # Equal sets count once from here on.
+    sets = save(rows.filter("posts is not null").dropDuplicates(["node"]).select("node", "n", "items", "posts"), "nodes")
+    comp = connected_components(links(sets, percent))
+    named = rows.select("doc_id", "node", F.col("n").cast("long").alias("n_shingles"))
+    smallest = named.filter("n_shingles > 0").groupBy("node").agg(_smallest("doc_id").alias("m"))
+    return named, smallest.join(comp, "node", "left").select("node", F.coalesce("component", "node").alias("c"), "m")
+
+
+def _smallest(doc_id: str):
+    """The text of the smallest id; null only if there is no other."""
+    number = F.substring_index(doc_id, ":", 1).cast("long")
+    return F.min(F.when(number.isNotNull(), F.struct(number.alias("i"), F.col(doc_id).alias("t"))))["t"]
+
+
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     width: int = 5, percent: int = 75) -> DataFrame:
+    """Of each component the row with the smallest id, with all columns; rows with null ids stay.
+
+    Rows that share an id are told apart by their text: of a component's rows with the smallest id
+    one stays. Rows without words link with nothing and stay.
+    """
+    key = tx.fresh(docs, "row_key")
+    base = docs.select(tx.row_key(id_col, text_col).alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text"))
+    named, part = _components(base, width, percent)
+    best = part.groupBy("c").agg(_smallest("m").alias("kept"))
+    which = part.join(best, "c").select("node", "kept")
+    drop = (named.filter("n_shingles > 0").join(which, "node").filter("doc_id <> kept")
+            .select(F.col("doc_id").alias(key)).distinct())
+    # Rows without id or words have a key of their own, as they aren't copies of each other.
+    own = F.concat(F.lit("-:"), F.monotonically_increasing_id().cast("string"))
+    marked = docs.withColumn(key, F.when(F.col(text_col).rlike(tx.NON_SPACE_SQL), tx.row_key(id_col, text_col)))
+    marked = marked.withColumn(key, F.coalesce(key, own))
+    return marked.join(drop, key, "left_anti").dropDuplicates([key]).select(*docs.columns)

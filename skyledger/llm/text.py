@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import xxhash
+from pyspark.sql import functions as F
 
 #: Fixed word class: what is neither ASCII punctuation, space nor control, after lower-casing A-Z.
 WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -73,6 +74,11 @@ def shingle_set(text, words: WordHash, width: int = 5) -> np.ndarray:
     return np.unique(finish(h))
 
 
+def row_key(doc_id, text):
+    """Id and text hash as one column, which tells rows apart that share an id; null where the id is."""
+    return F.concat(F.col(doc_id).cast("long").cast("string"), F.lit(":"), F.sha2(F.coalesce(F.col(text), F.lit("")), 256))
+
+
 def fresh(df, base: str) -> str:
     """A column name that ``df`` doesn't have."""
     taken = {c.lower() for c in df.columns}

@@ -221,3 +221,12 @@ def test_long_items_are_found(spark, docs_of):
     assert _verbatim(copies, items) <= {(r["doc_id"], r["item_id"]) for r in out}
     assert all(r["lcs_ratio"] == 1 and r["answer"] for r in out if r["doc_id"] == r["item_id"])
     assert all(r["doc_id"] < 100 for r in out)
+
+
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, docs_of):
+    item = " ".join(f"common{k}" for k in range(12))
+    other = " ".join(f"fill{k}" for k in range(40))
+    d = docs_of([(1, item), (1, other), (2, other), (2, f"{other} {item}")])
+    bench = spark.createDataFrame([(9, item)], "item_id long, text string")
+    kept = decontam.keep_clean(d, bench)
+    assert kept.columns == d.columns and sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, other), (2, other)]

@@ -109,6 +109,16 @@ def test_exact_duplicates_repeated_rows_and_nulls(spark, docs_of):
     assert dedup.exact_duplicates(docs_of([])).collect() == []
 
 
+def test_near_copies_are_dropped_by_row(spark, docs_of):
+    """Rows that share an id go by their own text, and of near-copy rows with one id one stays."""
+    a, b, c = _words(40, 11), _words(40, 12), _words(40, 13)
+    d = docs_of([(1, a), (2, a + " x"), (2, b), (3, c), (3, c + " y"), (3, c), (4, b + " z"), (5, ""), (5, ""), (None, c)])
+    kept = [(r["doc_id"], r["text"]) for r in jaccard.keep_one_of_each(d).collect()]
+    assert sorted((i, t.split()[:1]) for i, t in kept if i) == sorted(
+        [(1, a.split()[:1]), (2, b.split()[:1]), (3, c.split()[:1]), (5, []), (5, [])])
+    assert [t for i, t in kept if i is None] == [c]
+
+
 def test_quotient_filters_merge_without_loss():
     import pandas as pd
     fp = np.random.default_rng(0).integers(-2 ** 63, 2 ** 63 - 1, 500)
