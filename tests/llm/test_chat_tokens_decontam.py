@@ -230,3 +230,14 @@ def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark, docs_of):
     bench = spark.createDataFrame([(9, item)], "item_id long, text string")
     kept = decontam.keep_clean(d, bench)
     assert kept.columns == d.columns and sorted((r["doc_id"], r["text"]) for r in kept.collect()) == [(1, other), (2, other)]
+
+
+def test_items_without_id_are_searched(spark, docs_of, monkeypatch):
+    texts = [" ".join(f"w{k}x{j}" for j in range(20)) for k in range(4)]
+    d = docs_of([(k, t) for k, t in enumerate(texts)])
+    bench = spark.createDataFrame([(None, texts[0]), (None, texts[1]), (2 ** 60 + 1, texts[2])], "item_id long, text string")
+    for n in (2_000, 1):
+        monkeypatch.setattr(decontam, "ITEMS_PER_PASS", n)
+        found = sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(d, bench).collect())
+        assert found == [(0, None), (1, None), (2, 2 ** 60 + 1)]
+    assert [r["doc_id"] for r in decontam.keep_clean(d, bench).collect()] == [3]
