@@ -79,7 +79,7 @@ def call_depths(calls: DataFrame, keys: list[str], call_id: str = "call_id", aft
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
-    """One row per call, and per result without a call.
+    """One row per distinct call, and per distinct result without a call of its own.
 
     ``calls``: conv_id, call_id, name, arguments (JSON text), after (call_id it
     waits for, or null). ``results``: conv_id, call_id, content. Returns
@@ -89,22 +89,34 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> Data
     n_results, valid, errors, json: the call with canonical arguments and, where
     linked, its result.
 
-    Repeated calls of one id keep the smallest (name, arguments) and are counted in
-    ``n_calls``; repeated results likewise. Rows with a null conversation or
-    id link with nothing: calls are unanswered, results stray. Empty tables
+    Calls of one id are counted in ``n_calls``, results in ``n_results``. Where they
+    differ, the id has a row for each distinct call and each distinct result: the
+    first of either in sorted order in one row, the second in the next; where one
+    kind has no more, its first is repeated. The smallest call tells what
+    the id waits for. Rows with a null conversation or id link with nothing and
+    keep a row each: calls are unanswered (depth null), results stray. Empty tables
     give empty parts. Other columns are ignored.
     """
-    one = calls.groupBy("conv_id", "call_id").agg(
-        F.min(F.struct("name", "arguments", "after")).alias("x"), F.count(F.lit(1)).alias("n_calls")).select(
-        "conv_id", "call_id", "x.*", "n_calls")
-    answers = results.groupBy("conv_id", "call_id").agg(
-        F.min("content").alias("content"), F.count(F.lit(1)).alias("n_results"))
+    named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
+    call, content = F.struct("name", "arguments", "after"), F.struct("content")
+    ids = calls.filter(named).groupBy("conv_id", "call_id").agg(
+        F.array_sort(F.collect_set(call)).alias("xs"), F.count(F.lit(1)).alias("n_calls"))
+    answers = results.filter(named).groupBy("conv_id", "call_id").agg(
+        F.array_sort(F.collect_set(content)).alias("ys"), F.count(F.lit(1)).alias("n_results"))
+    deep = call_depths(ids.select("conv_id", "call_id", F.col("xs")[0]["after"].alias("after")), ["conv_id"])
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    pick = lambda c: F.when(F.col("_k") < size(c), F.get(c, F.col("_k"))).otherwise(F.get(c, F.lit(0)))
+    linked = (ids.join(deep, ["conv_id", "call_id"], "left").join(answers, ["conv_id", "call_id"], "full_outer")
+              .withColumn("_k", F.explode(F.sequence(F.lit(0), F.greatest(size("xs"), size("ys")) - 1)))
+              .select("conv_id", "call_id", "depth", "n_calls", "n_results", pick("xs").alias("x"), pick("ys").alias("y")))
+    lone = calls.filter(~named).select("conv_id", "call_id", F.lit(1).cast("long").alias("n_calls"), call.alias("x"))
+    lost = results.filter(~named).select("conv_id", "call_id", F.lit(1).cast("long").alias("n_results"), content.alias("y"))
+    rows = linked.unionByName(lone, allowMissingColumns=True).unionByName(lost, allowMissingColumns=True)
+    met = rows.select("conv_id", "call_id", "depth", "n_calls", "n_results", "x.*", "y.*")
     parsed = F.try_parse_json("arguments")
-    checked = one.withColumn("errors", argument_errors(F.col("name"), F.col("arguments"), parsed, schemas))
-    checked = checked.withColumn("canonical", F.coalesce(F.to_json(parsed), F.to_json(F.struct(F.col("arguments").alias("raw")))))
-    deep = call_depths(one, ["conv_id"])
-    left = checked.join(deep, ["conv_id", "call_id"], "left")
-    met = left.join(answers, ["conv_id", "call_id"], "full_outer")
+    met = met.withColumn("errors", F.when(F.col("n_calls").isNotNull(), argument_errors(
+        F.col("name"), F.col("arguments"), parsed, schemas)))
+    met = met.withColumn("canonical", F.coalesce(F.to_json(parsed), F.to_json(F.struct(F.col("arguments").alias("raw")))))
     is_call = F.col("n_calls").isNotNull()
     status = (F.when(~is_call, "stray").when(F.col("n_results").isNull(), "unanswered")
               .when(F.col("n_results") > 1, "ambiguous").otherwise("linked"))

@@ -40,6 +40,24 @@ def test_link_order_validate(spark):
     assert json.loads(got[1, "a"]["json"])["content"] == 'said "so"'
 
 
+def test_no_call_or_result_is_lost(spark):
+    """Different calls or results of one id, and rows without identifier, keep rows of their own."""
+    _, out = _link(spark, [
+        (1, "a", "find", '{"q":"one"}', None), (1, "a", "find", '{"q":"two"}', None), (1, "a", "find", '{"q":"two"}', None),
+        (1, None, "find", '{"q":"lone"}', None), (1, None, "find", '{"q":"lone"}', None), (None, "a", "find", '{"q":"nil"}', None),
+        (1, "b", "find", '{"q":"bee"}', "a"), (1, "c", "find", '{"q":"sea"}', None)],
+        [(1, "a", "first"), (1, "b", "x"), (1, "b", None), (1, "b", "y"), (1, None, "lost"), (1, None, "lost too"), (2, "z", "s"), (2, "z", "t")])
+    told = [(str(x["conv_id"]), str(x["call_id"]), x["status"], x["n_calls"], x["n_results"], str(x["depth"]),
+                   json.loads(x["json"]).get("call", {}).get("arguments", {}).get("q"), json.loads(x["json"]).get("content")) for x in out]
+    assert sorted(told, key=str) == sorted([
+        ("1", "a", "linked", 3, 1, "0", "one", "first"), ("1", "a", "linked", 3, 1, "0", "two", "first"),
+        ("1", "b", "ambiguous", 1, 3, "1", "bee", None), ("1", "b", "ambiguous", 1, 3, "1", "bee", "x"), ("1", "b", "ambiguous", 1, 3, "1", "bee", "y"),
+        ("1", "c", "unanswered", 1, 0, "0", "sea", None), ("2", "z", "stray", 0, 2, "None", None, "s"), ("2", "z", "stray", 0, 2, "None", None, "t"),
+        ("1", "None", "unanswered", 1, 0, "None", "lone", None), ("1", "None", "unanswered", 1, 0, "None", "lone", None),
+        ("None", "a", "unanswered", 1, 0, "None", "nil", None),
+        ("1", "None", "stray", 0, 1, "None", None, "lost"), ("1", "None", "stray", 0, 1, "None", None, "lost too")], key=str)
+
+
 def test_long_chain_and_empty(spark):
     n = 300
     ids = list(range(n))
