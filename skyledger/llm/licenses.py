@@ -48,7 +48,8 @@ FAMILIES = [
     ("ms-pl", r"microsoft public license", "", ("microsoft",), 0.9),
     ("ofl", r"sil open font license", "1 0,1 1", ("font",), 0.9),
     ("odbl", r"open database license", "1 0", ("database",), 0.9),
-    ("cc0", r"(?:cc0|creative commons zero)", "1 0", ("cc0",), 0.9),
+    ("cc0", r"cc0", "1 0", ("cc0",), 0.9),
+    ("cc0", r"creative commons zero", "1 0", ("creative", "zero"), 0.9),
     ("cc-by-nc-nd", r"cc by nc nd", "2 0,2 5,3 0,4 0", ("cc", "nd"), 0.9),
     ("cc-by-nc-sa", r"cc by nc sa", "2 0,2 5,3 0,4 0", ("cc", "sa"), 0.9),
     ("cc-by-nc", r"cc by nc", "2 0,2 5,3 0,4 0", ("cc", "nc"), 0.9),
@@ -63,7 +64,7 @@ FORMS = [
     (r"(?:licensed|released|distributed|available|published) under (?:the )?(?:terms of (?:the )?)?{n}(?: version)?(?: v? ?{v})?(?: or (?:any )?later)?", 1.0, ("under",)),
     (r"(?:covered|governed) by (?:the )?{n}(?: version)?(?: v? ?{v})?", 0.95, ("by",)),
     (r"subject to (?:the )?(?:terms of (?:the )?)?{n}(?: version)?(?: v? ?{v})?", 0.95, ("subject",)),
-    (r"(?:see|read) (?:the )?{n}(?: version)?(?: v? ?{v})?", 0.8, ("the",)),
+    (r"(?:see|read) (?:the )?{n}(?: version)?(?: v? ?{v})?", 0.8, ()),
     (r"copy of (?:the )?{n}", 0.8, ("copy",)),
     (r"{n} version {v}", 0.9, ("version",)),
     (r"{n} v? ?{v}", 0.85, ()),
@@ -74,7 +75,8 @@ LOOSE = [
     ("reserved", r"all rights reserved", ("reserved",), 0.5),
     ("copyright", r"copyright (?:c )?(?:1|2)\d\d\d", ("copyright",), 0.4),
     ("copyright", r"copyright (?:holder|owner)s?", ("copyright",), 0.3),
-    ("proprietary", r"(?:proprietary|confidential) (?:and|information|software)(?: \w+){0,3} (?:confidential|proprietary)", ("confidential",), 0.6),
+    ("proprietary", r"proprietary (?:and|information|software)(?: \w+){0,3} (?:confidential|proprietary)", ("proprietary",), 0.6),
+    ("proprietary", r"confidential (?:and|information|software)(?: \w+){0,3} (?:confidential|proprietary)", ("confidential",), 0.6),
     ("permissive", r"permission is hereby granted free of charge", ("hereby",), 0.8),
     ("permissive", r"redistribution and use in source and binary forms", ("redistribution",), 0.8),
     ("warranty", r"without warranty of any kind", ("warranty",), 0.3),
@@ -121,7 +123,7 @@ class Scanner:
         self.base = [(p.encode(), label) for p, label in base.items()]
         # One pass decides whether any rule can match at all: every rule's name or wording has one of these.
         self.gate = re.compile(rb"licen[cs]e|licensed|unlicense|cc|gpl|gfdl|creative|domain|copyright|reserved|"
-                               rb"confidential|hereby|redistribution|warranty|copied|reproduced|redistributed|spdx")
+                               rb"confidential|proprietary|hereby|redistribution|warranty|copied|reproduced|redistributed|spdx")
 
     def scan(self, text) -> dict:
         """Words, base places and accepted detections (first word, end word, label, weight) of one text."""

@@ -204,3 +204,41 @@ def test_quality_statistics_by_hand(spark):
     row = quality.with_statistics(spark.createDataFrame([("AB ab ab!\nx 12",)], "t string"), "t").first()
     assert (row["n_words"], row["distinct_words"], row["distinct_lines"]) == (5, 1.0, 1.0)
     assert row["upper"] == pytest.approx(2 / 14) and row["digits"] == pytest.approx(2 / 14) and row["bangs"] == pytest.approx(1 / 14)
+
+
+def _match(tree, r):
+    """A random text that a parsed regular expression matches."""
+    out = ""
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            out += chr(arg)
+        elif op == "IN":
+            kind, value = arg[0]
+            out += chr(value) if str(kind) == "LITERAL" else "1" if "DIGIT" in str(value) else "w"
+        elif op == "BRANCH":
+            out += _match(r.choice(arg[1]), r)
+        elif op == "SUBPATTERN":
+            out += _match(arg[-1], r)
+        elif op == "MAX_REPEAT":
+            out += "".join(_match(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], 3))))
+        elif op != "ASSERT_NOT":
+            raise ValueError(op)
+    return out
+
+
+def test_gates_lose_no_license_match():
+    """What a rule's pattern matches is found with and without the keyword gates."""
+    import dataclasses
+    import random
+    import re
+    r = random.Random(6)
+    gated, ungated = licenses.Scanner(), licenses.Scanner()
+    ungated.rules = [dataclasses.replace(x, keywords=()) for x in ungated.rules]
+    ungated.gate = re.compile(b"")
+    texts = ["under creative commons zero", "see mit license", "proprietary information stays proprietary"]
+    texts += [_match(re._parser.parse(x.pattern.pattern.decode()), r) for x in gated.rules for _ in range(4)]
+    for t in texts:
+        assert gated.scan(t) == ungated.scan(t), t
+    assert [x[2] for t in texts[:3] for x in gated.scan(t)["found"]] == ["cc0", "mit", "proprietary"]
+    assert gated.scan("see mit license")["found"][0][:2] == (0, 3)
