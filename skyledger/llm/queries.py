@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyledger.llm import chat, decontam, dedup, jaccard, licenses, mixing, quality, tokens, toxicity, urls
+from skyledger.llm import chat, decontam, dedup, divergence, jaccard, licenses, mixing, quality, tokens, toxicity, urls
 
 
 def _read(spark, sf_dir: str, table: str):
@@ -63,9 +63,14 @@ def op10_decontamination(spark, sf_dir):
     return decontam.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op11_source_divergence(spark, sf_dir):
+    """Divergence of every source from its language's other sources and from the language's own term shares."""
+    return divergence.source_divergence(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licenses, op2_url_filter, op3_toxicity, op4_quality, op5_chat_format, op6_token_counts, op7_mixing,
-    op8_ngram_jaccard, op9_exact_dedup, op10_decontamination)}
+    op8_ngram_jaccard, op9_exact_dedup, op10_decontamination, op11_source_divergence)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -97,4 +102,33 @@ ORACLE = {
         from documents d join reach r on r.doc_id = d.doc_id left join n on n.doc_id = d.doc_id
         group by d.doc_id
     """,
+    "op11_source_divergence": r"""
+        with d as (
+            select row_number() over () as row_id, coalesce(lang, '') as lang, coalesce(source, '') as source,
+                   regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents),
+        occurrences as (select row_id, lang, source, unnest(terms) as term from d),
+        kept as (select lang, term, count(*) as n from occurrences group by lang, term having count(distinct row_id) >= 10),
+        langs as (select lang, count(*)::hugeint as v, sum(n)::hugeint as total from kept group by lang),
+        counts as (select lang, source, term, count(*) as n from occurrences join kept using (lang, term) group by lang, source, term),
+        grouped as (select distinct lang, source from d),
+        shares as (
+            select g.lang, g.source, k.term, coalesce(c.n, 0) as n, sum(coalesce(c.n, 0)) over (partition by g.lang, g.source) as total,
+                   1 + (1000000000::hugeint * (k.n + 2)) // (l.total + 2 * l.v) as q, l.v
+            from grouped g join kept k on k.lang = g.lang join langs l on l.lang = g.lang
+            left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term),
+        p as (select lang, source, term, n, q, 1 + (1000000000::hugeint * (n + 2)) // (total + 2 * v) as p from shares),
+        pairs as (
+            select a.lang, a.source, b.source as item, coalesce(s.value, 0) as value
+            from grouped a join grouped b on b.lang = a.lang and b.source <> a.source
+            left join (select x.lang, x.source, y.source as other, sum(((x.p - y.p) * (x.p - y.p)) // (x.p + y.p)) as value
+                       from p x join p y on y.lang = x.lang and y.term = x.term group by all) s
+                 on s.lang = a.lang and s.source = a.source and s.other = b.source),
+        both_parts as (
+            select lang, source, 'pair' as part, item, value::bigint as value from pairs
+            union all
+            select lang, source, 'term', term, (((p - q) * (p - q)) // (p + q))::bigint from p where n > 0 and p > q),
+        ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from both_parts)
+        select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 10
+    """,
 }
