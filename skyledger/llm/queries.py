@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyledger.llm import chat, decontam, dedup, divergence, jaccard, licenses, mixing, quality, tokens, toxicity, urls
+from skyledger.llm import chat, decontam, dedup, divergence, jaccard, licenses, mixing, quality, tokens, toxicity, urls, warc
 
 
 def _read(spark, sf_dir: str, table: str):
@@ -68,9 +68,15 @@ def op11_source_divergence(spark, sf_dir):
     return divergence.source_divergence(_read(spark, sf_dir, "documents"))
 
 
+def op12_warc(spark, sf_dir):
+    """Every page as a WARC record, written and read back."""
+    return warc.archive_pages(_read(spark, sf_dir, "pages"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licenses, op2_url_filter, op3_toxicity, op4_quality, op5_chat_format, op6_token_counts, op7_mixing,
-    op8_ngram_jaccard, op9_exact_dedup, op10_decontamination, op11_source_divergence)}
+    op8_ngram_jaccard, op9_exact_dedup, op10_decontamination, op11_source_divergence,
+    op12_warc)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -131,4 +137,15 @@ ORACLE = {
         ranked as (select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from both_parts)
         select lang, source, part, item, value, rank::int as rank from ranked where part = 'pair' or rank <= 10
     """,
+    "op12_warc": r"""
+        with p as (select page_id, coalesce(html, '') as payload from pages),
+        d as (select *, sha1(payload)::varchar as hex, row_number() over (partition by payload order by page_id nulls last) as k,
+                     first_value(page_id) over (partition by payload order by page_id nulls last) as first_id from p)
+        select page_id, octet_length(encode(payload))::bigint as payload_bytes,
+               array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                   1 + ('0b' || substr(unhex(hex)::bit::varchar, (5 * i + 1)::int, 5))::int, 1)), '') as payload_digest,
+               case when k = 1 then 'response' else 'revisit' end as record_type,
+               case when k > 1 then first_id end as refers_to
+        from d
+    """,
 }

@@ -30,6 +30,11 @@ def discard(*tables: DataFrame) -> None:
     for df in tables:
         spark = df.sparkSession
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-            if "/llm-" in folder:
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            remove(spark, folder)
+
+
+def remove(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of :func:`shared_path`."""
+    if "/llm-" in folder:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
