@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from skyledger.llm import chat, decontam, dedup, divergence, jaccard, licenses, mixing, quality, tokens, toxicity, urls, warc
+from skyledger.llm import chat, decontam, dedup, divergence, jaccard, licenses, mixing, quality, spelling, tokens, toxicity, urls, warc
 
 
 def _read(spark, sf_dir: str, table: str):
@@ -73,10 +73,15 @@ def op12_warc(spark, sf_dir):
     return warc.archive_pages(_read(spark, sf_dir, "pages"))
 
 
+def op13_spelling(spark, sf_dir):
+    """Words of all documents with the likelier spelling one letter apart."""
+    return spelling.spelling_variants(_read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_licenses, op2_url_filter, op3_toxicity, op4_quality, op5_chat_format, op6_token_counts, op7_mixing,
     op8_ngram_jaccard, op9_exact_dedup, op10_decontamination, op11_source_divergence,
-    op12_warc)}
+    op12_warc, op13_spelling)}
 
 ORACLE = {
     "op9_exact_dedup": r"""
@@ -148,4 +153,44 @@ ORACLE = {
                case when k > 1 then first_id end as refers_to
         from d
     """,
+    "op13_spelling": r"""
+        with recursive crc_table as (
+            select list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+                   lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end)) as t),
+        runs as (
+            select doc_id, run, count(*) as n
+            from (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                         'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{C0}-\x{FF}]+')) as run from documents)
+            group by doc_id, run),
+        hexed as (select *, hex(encode(coalesce(doc_id::varchar, '') || ':' || run)) as bytes from runs),
+        hashed as (
+            select run, n, xor(4294967295, list_reduce(list_prepend(4294967295::bigint, list_transform(range(length(bytes) // 2),
+                       lambda i: ('0x' || substr(bytes, 2 * i + 1, 2))::bigint)),
+                       lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)]))) as h
+            from hexed, crc_table),
+        words as (
+            select word, sum(n)::bigint as n
+            from (select n, case when h % 31 = 0 then substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) else run end as word from hashed)
+            where length(word) >= 7 group by word having sum(n) >= 2),
+        less as (select word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) as rest
+                 from (select word, n, unnest(range(1, length(word) + 1)) as i from words)),
+        near as (
+            select a.word, a.n, b.word as other, b.n as other_n from less a join less b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+            union
+            select a.word, a.n, b.word, b.n from less a join words b on a.rest = b.word
+            union
+            select b.word, b.n, a.word, a.n from less a join words b on a.rest = b.word),
+        best as (
+            select word, count(*) as n_near, max(other_n) as top_n, arg_min(other, (-other_n, other)) as top from near group by word),
+        formed as (
+            select w.word, w.n, coalesce(b.n_near, 0) as n_near, case when b.top_n >= 10 * w.n then b.top end as form,
+                   case when b.top_n >= 10 * w.n then b.top_n end as form_n
+            from words w left join best b on b.word = w.word),
+        follow as (
+            select word, word as at, form as up from formed
+            union all
+            select f.word, f.up, g.form from follow f join formed g on g.word = f.up)
+        select f.word, f.form, r.at as root, f.n, f.n_near, f.form_n
+        from formed f join follow r on r.word = f.word and r.up is null
+    """,
 }
