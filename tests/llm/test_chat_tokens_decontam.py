@@ -118,6 +118,43 @@ def test_token_counts(spark, docs_of, tokenizer, monkeypatch):
     assert tokens.token_counts(docs_of([]), path).collect() == []
 
 
+def test_remembered_pieces_equal_the_library(tokenizer, monkeypatch):
+    """Random mixes of letters, signs, marks, special strings and all kinds of white space, with a small memory."""
+    assert tokens.drops_white_space(tokenizer)
+    r = random.Random(5)
+    parts = ["the", "It's", "DON'T", "!'s", "''ll", "naïve", "e\u0301", "x\u0301", "=\u0338", "<|endoftext|>", "<|EndOfText|>", "<|", "endoftext|>", "12a3", "!!!",
+             "ÀÉ", "日本", "a" * 70, "ΑΣ", "İ", "K", "...", "«", "…", "\x1c", "\x85", "\x00", "ﬁ", "각", "\u1100\u1161", "\u11a8"]
+    gaps = ["", "", "", " ", "\n", "\t", "\r\n", "\v", "\f", "\u00a0", "\u2028", "\u3000", "  "]
+    texts = ["".join(r.choice(parts) + r.choice(gaps) for _ in range(r.randrange(0, 300))) for _ in range(150)]
+    want = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
+    for limit in (10, 100_000):
+        pieces = tokens.Pieces(tokenizer, limit)
+        assert [n for at in range(0, 150, 7) for n in tokens.count_batch(tokenizer, texts[at:at + 7], pieces)] == want
+        assert all(len(p) <= tokens.LONGEST_PIECE for p in pieces.pieces)
+    monkeypatch.setattr(tokens, "CHUNK", 40)        # parts are learnt in many small texts; long texts are spliced
+    assert tokens.count_batch(tokenizer, texts, tokens.Pieces(tokenizer)) == want
+
+
+def test_white_space_is_kept_by_other_vocabularies():
+    import public_tokenizers
+    assert not tokens.drops_white_space(tokens.load(public_tokenizers.path("byte_bpe_50k.json")))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_splicing_without_white_space(name):
+    import public_tokenizers
+    tokenizer = tokens.load(public_tokenizers.path(name))
+    r = random.Random(8)
+    parts = ["日本語", "。", "abc", "1", "'s", "!'", "e\u0301", "\u0301", "\u1100", "\u1161", "\u11a8", "ক", "\u09c7", "\u09be", "—", "  ", "\u3000"]
+    for _ in range(20):
+        text = "".join(r.choice(parts) for _ in range(400))
+        whole = len(tokenizer.encode(text, add_special_tokens=False).ids)
+        for chunk, overlap in ((30, 4), (100, 30), (500, 50)):
+            assert tokens.count_spliced(tokenizer, text, chunk, overlap) == whole
+    endless = "語" * 5000
+    assert tokens.count_spliced(tokenizer, endless, 100, 20) == len(tokenizer.encode(endless, add_special_tokens=False).ids)
+
+
 def test_sentencepiece_counts(spark, docs_of):
     import public_tokenizers
     path = public_tokenizers.path("piece_bpe_32k.model")
