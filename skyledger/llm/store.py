@@ -14,14 +14,14 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/llm-{name}-{uuid.uuid4().hex}"
 
 
-def save(df: DataFrame, name: str) -> DataFrame:
+def save(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and continue from the written table.
 
     A lost executor re-reads files instead of repeating the plan upstream, and
-    every consumer sees the same rows.
+    every consumer sees the same rows. ``compression``: the session's if not given.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -81,7 +81,7 @@ def chunk_table(pages: DataFrame, chunk: int = CHUNK, id_col: str = "page_id", u
            .select("*", F.explode(F.sequence(F.lit(0), F.col("last_chunk"))).alias("chunk"))
            .select("record", "page_id", "url", "chunk", (F.col("chunk") == F.col("last_chunk")).alias("last"),
                    F.substring("payload", F.col("chunk") * chunk + 1, F.lit(chunk)).alias("data")))
-    return save(cut.mapInArrow(_digested, CHUNKS), "chunks")
+    return save(cut.mapInArrow(_digested, CHUNKS), "chunks", "zstd")
 
 
 def originals(chunks: DataFrame, least_bytes: int = 0) -> DataFrame:
