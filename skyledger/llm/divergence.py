@@ -30,7 +30,7 @@ from skyledger.llm.store import discard, save
 SCALE = 1_000_000_000
 #: Bytes of a term: A-Z (lower-cased), a-z and all above ASCII; every other byte separates.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
-HELD = 300_000           # distinct counts that a task holds before it hands them on
+HELD = 150_000           # distinct counts that a task holds before it hands them on
 BLOCK = 1024             # groups of a block
 POSTINGS = 500_000       # postings of a block that a tile is meant to hold
 FLAT = 1_000_000         # index entries that a group scatters at once
@@ -43,23 +43,22 @@ def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
 
     Tasks add up what they read before anything is shuffled, a bounded number of terms at a time.
     """
-    def run(batches):
-        def rows():
-            for (lang, source), (n, df) in held.items():
-                for term, count in n.items():
-                    yield lang, source, term.decode("utf-8"), count, df[term]
+    types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
 
+    def run(batches):
         def out():
-            cols = list(zip(*rows())) or [()] * 5
-            types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64()]
-            for at in range(0, len(cols[0]), 50_000):
-                yield pa.RecordBatch.from_arrays([pa.array(c[at:at + 50_000], t) for c, t in zip(cols, types)],
-                                                 ["lang", "source", "term", "n", "df"])
+            for (lang, source), (n, df) in held.items():
+                terms = list(n)
+                for at in range(0, len(terms), 10_000):
+                    part = terms[at:at + 10_000]
+                    cols = ([lang] * len(part), [source] * len(part), [t.decode("utf-8") for t in part],
+                            [n[t] for t in part], [df[t] for t in part])
+                    yield pa.RecordBatch.from_arrays(list(map(pa.array, cols, types)), ["lang", "source", "term", "n", "df"])
         held: dict = {}
         size = 0
         for b in batches:
-            for lang, source, text in zip(*(b.column(c).to_pylist() for c in ("lang", "source", "text"))):
-                words = text.encode("utf-8", "replace").translate(TERM_BYTES).split()
+            for lang, source, text in zip(b.column("lang").to_pylist(), b.column("source").to_pylist(), b.column("text")):
+                words = text.as_py().encode("utf-8", "replace").translate(TERM_BYTES).split()
                 n, df = held.setdefault((lang, source), (Counter(), Counter()))
                 before = len(n)
                 n.update(words)
