@@ -45,11 +45,11 @@ def _tagged(df: DataFrame, order: list[Column], num_partitions: int | None) -> D
                  .withColumn("__pos", F.col("__mid").bitwiseAND((1 << _POS_BITS) - 1)).drop("__mid")
 
 
-def _offsets(tagged: DataFrame, value_cols: dict[str, Column]) -> DataFrame:
-    """One row per partition: sums of the values over all earlier partitions (broadcast-sized)."""
-    totals = tagged.groupBy("__pid").agg(*[F.sum(expr).alias(f"__t_{name}") for name, expr in value_cols.items()])
-    before = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    return totals.select("__pid", *[F.coalesce(F.sum(f"__t_{name}").over(before), F.lit(0)).alias(f"__o_{name}")
+def _offsets(tagged: DataFrame, value_cols: dict[str, Column], by: list[str] = ()) -> DataFrame:
+    """One row per partition (and group): sums of the values over all earlier partitions (broadcast-sized)."""
+    totals = tagged.groupBy("__pid", *by).agg(*[F.sum(expr).alias(f"__t_{name}") for name, expr in value_cols.items()])
+    before = Window.partitionBy(*by).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
+    return totals.select("__pid", *by, *[F.coalesce(F.sum(f"__t_{name}").over(before), F.lit(0)).alias(f"__o_{name}")
                                     for name in value_cols])
 
 
@@ -67,17 +67,34 @@ def with_global_row_id(df: DataFrame, order_cols: list[str | Column], out: str =
 
 
 def prefix_sums(df: DataFrame, order_cols: list[str | Column], value_cols: list[str],
-                suffix: str = "_before", num_partitions: int | None = None) -> DataFrame:
-    """For each row, the sums of ``value_cols`` over all rows strictly before it in the global order."""
-    tagged = _tagged(df, _order(order_cols), num_partitions)
-    offsets = _offsets(tagged, {v: F.col(v) for v in value_cols})
-    within = Window.partitionBy("__pid").orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
-    out = tagged.join(F.broadcast(offsets), "__pid")
+                suffix: str = "_before", num_partitions: int | None = None, by: list[str] = ()) -> DataFrame:
+    """For each row, the sums of ``value_cols`` over all rows strictly before it in the global order.
+
+    With ``by``, sums restart in every group: one ordering by group and
+    ``order_cols`` serves all groups, a large group spans many tasks, and the
+    offsets are one row per partition and group that meet (partitions plus
+    groups at most).
+    """
+    by = list(by)
+    tagged = _tagged(df, _order([*by, *order_cols]), num_partitions)
+    offsets = _offsets(tagged, {v: F.col(v) for v in value_cols}, by)
+    within = Window.partitionBy("__pid", *by).orderBy("__pos").rowsBetween(Window.unboundedPreceding, -1)
+    out = tagged.join(F.broadcast(offsets), ["__pid", *by])
     for v in value_cols:
         out = out.withColumn(v + suffix, F.col(f"__o_{v}") + F.coalesce(F.sum(v).over(within), F.lit(0)))
     return out.drop("__pid", "__pos", *[f"__o_{v}" for v in value_cols])
 
 
+def time_chunks(df: DataFrame, order_cols: list[str | Column], chunks: int, out: str = "chunk",
+                row_id: str = "row_id") -> DataFrame:
+    """Rows in time order cut into ``chunks`` equal chunks of ``floor(n / chunks)`` (numbered from 0); the rest is left out."""
+    numbered = with_global_row_id(df, order_cols, out=row_id)
+    n = df.select(F.count(F.lit(1))).scalar()
+    size = F.floor(n / F.lit(chunks))
+    return numbered.withColumn("__size", size).filter(F.col("__size") > 0) \
+        .withColumn(out, F.ceil(F.col(row_id) / F.col("__size")).cast("int") - 1).drop("__size").filter(F.col(out) < chunks)
+
+
 def time_series_folds(df: DataFrame, order_cols: list[str | Column], k: int = 3,
                       row_id: str = "row_id") -> DataFrame:
     """Blocked folds. Rows numbered in time order are cut into chunks of

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions import calendar, timefeat
 from ..operators import clean, groups, quantile, rfm
-from ..session import apply_runtime_defaults
+from ..session import apply_runtime_defaults, materialise
 from . import fixtures as fx
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -531,27 +531,37 @@ def _grid(kind, space):
     return run
 
 
-# The other grids run the same way: _grid("lr", tuning.LR_GRID), _grid("rf", ...), _grid("gbt", ...).
 QUERIES["grid_search"] = _grid("dt", tuning.DT_GRID)
 
 
+def model_vectors(spark, sf_dir):
+    """Both splits of :func:`model_data`, written: tuning reads narrow tables of finished vectors."""
+    return [materialise(df.select("FLIGHT_ID", "FL_DATE", "DEP_DEL15", "input_features")) for df in model_data(spark, sf_dir)]
+
+
+@query
+def grid_search_lr(spark, sf_dir):
+    """150 logistic combinations x 3 folds, one job per iteration for all of them."""
+    train, test = model_vectors(spark, sf_dir)
+    _best, table = tuning.logistic_grid_search(train, test, "input_features", "DEP_DEL15", tuning.LR_GRID, ["FLIGHT_ID"])
+    return table
+
+
 @query
 def time_series_cv(spark, sf_dir):
-    train, _test = model_data(spark, sf_dir)
-    est = models.classifier("lr", "input_features", "DEP_DEL15")
-    _best, _score, table = tuning.time_series_cv(est, tuning.LR_TIME_SERIES_GRID, train, "DEP_DEL15",
-                                                 ["FL_DATE", "FLIGHT_ID"], k=3, parallelism=8)
+    """45 logistic combinations x 3 time blocks, one job per iteration for all of them."""
+    train, _test = model_vectors(spark, sf_dir)
+    _best, _score, table = tuning.logistic_time_series_cv(train, "input_features", "DEP_DEL15", tuning.LR_TIME_SERIES_GRID,
+                                                          ["FL_DATE", "FLIGHT_ID"], k=3)
     return table
 
 
 @query
 def random_search(spark, sf_dir):
-    train, test = (df.persist() for df in model_data(spark, sf_dir))
-    est = models.classifier("lr", "input_features", "DEP_DEL15", maxIter=100)
-    _best, _score, table = tuning.random_search(est, tuning.LR_RANDOM_SPACE, train, test, "DEP_DEL15",
-                                                n=40, patience=20, seed=42)
-    train.unpersist()
-    test.unpersist()
+    """T4: Parzen proposals in batches, each batch fitted together; at most 40 trials, 20 without gain end it."""
+    train, test = model_vectors(spark, sf_dir)
+    _best, _score, table = tuning.logistic_search(train, test, "input_features", "DEP_DEL15", tuning.LR_RANDOM_SPACE,
+                                                  n=40, patience=20, seed=42)
     return table
 
 
