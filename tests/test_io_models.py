@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from skyledger.session import work_dir
 from skyledger.sources import experiment_log, tables
 

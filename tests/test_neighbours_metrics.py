@@ -3,7 +3,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID
+from sf_paths import SF_MID
 from skyledger.operators import metrics, neighbours
 
 

@@ -7,7 +7,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from skyledger.plans.fixtures import TABLES
 
 ORACLE = entry.oracle_sql()

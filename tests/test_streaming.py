@@ -2,7 +2,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from skyledger.plans import catalog
 from skyledger.session import work_dir
 from skyledger.streaming import scoring
