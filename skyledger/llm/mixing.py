@@ -6,8 +6,10 @@ probability. The cube method rounds these probabilities to 0 or 1: it moves
 them along the null space of the constraints (sum of words, number of
 documents), so both totals stay exact until at most two documents of a block
 are left in between. What is left of all blocks is dealt into new blocks, and
-again, until one block per source remains; its landing picks the rounding
-nearest in words.
+again, until one block per source remains. A block's worth of documents waits
+for that last one: its landing picks the rounding nearest in words, and where
+a long text leaves words over, single documents and pairs of the block change
+sides until the words fit.
 """
 
 from __future__ import annotations
@@ -18,12 +20,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import text as tx
-from skyledger.llm.store import save
+from skyledger.llm.store import discard, save
 from skyledger.operators.ordering import with_global_row_id
 
 BLOCK = 2_000       # documents that one flight moves
 MOST_COPIES = 3
-ROWS = "doc_id string, source string, size long, m double, p double, salt long"
+ROWS = "doc_id string, source string, size long, m double, p double, salt long, waits boolean"
 
 
 def n_words(column: str):
@@ -102,6 +104,38 @@ def landing(size: np.ndarray, p: np.ndarray, rng: np.random.Generator) -> np.nda
     return out
 
 
+def settle(size: np.ndarray, p: np.ndarray, short: float, rounds: int = 1_000) -> np.ndarray:
+    """Let documents of a landed block change sides until its words are nearest to ``short`` more than now.
+
+    Each round makes the one change, of a single document or of one taken for
+    one left, that fits best; ties go to the first. Ends when none helps.
+    """
+    p = p.copy()
+    for _ in range(rounds):
+        inside, outside = np.flatnonzero(p == 1), np.flatnonzero(p == 0)
+        if short == 0:
+            break
+        change = np.r_[size[outside], -size[inside]]
+        if not len(change):
+            break
+        one = int(np.argmin(np.abs(short - change)))
+        best, swap = [int(np.r_[outside, inside][one])], abs(short - change[one])
+        if len(inside) and len(outside):
+            held = inside[np.argsort(size[inside], kind="stable")]
+            at = np.searchsorted(size[held], size[outside] - short)
+            for near in (np.clip(at - 1, 0, len(held) - 1), np.clip(at, 0, len(held) - 1)):
+                left = np.abs(short - (size[outside] - size[held[near]]))
+                k = int(np.argmin(left))
+                if left[k] < swap:
+                    best, swap = [int(outside[k]), int(held[near[k]])], left[k]
+        if swap >= abs(short) - 1e-6:
+            break
+        for i in best:
+            short -= size[i] if p[i] == 0 else -size[i]
+            p[i] = 1 - p[i]
+    return p
+
+
 def numbered_copies(rows: DataFrame, at_once: int = 100_000) -> DataFrame:
     """``rows`` with ``copy``: 0, 1, .. among rows that are alike in all columns.
 
@@ -114,16 +148,17 @@ def numbered_copies(rows: DataFrame, at_once: int = 100_000) -> DataFrame:
     return begin.select(*rows.columns, F.explode(F.sequence("begin", end, F.lit(1).cast("long"))).alias("copy"))
 
 
-def _round(seed: int):
+def _round(seed: int, final: bool):
     def run(key, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["salt", "size", "doc_id"], kind="stable").reset_index(drop=True)
         rng = np.random.default_rng([seed, len(rows), int(rows["salt"].iloc[0]) & 0xFFFFFFFF])
-        size, p = rows["size"].to_numpy(float), rows["p"].to_numpy(float)
-        p = flight(size, p, rng)
-        if bool(rows["final"].iloc[0]):
+        size, before = rows["size"].to_numpy(float), rows["p"].to_numpy(float)
+        p = flight(size, before, rng)
+        if final:
             p = landing(size, p, rng)
+            p = settle(size, p, float(size @ (before - p)))
         rows["p"] = p
-        return rows[["doc_id", "source", "size", "m", "p", "salt"]]
+        return rows[["doc_id", "source", "size", "m", "p", "salt", "waits"]]
     return run
 
 
@@ -149,26 +184,36 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         "doc_id", rows["source"], "size", ratio.alias("m"),
         F.when(F.col("size") > 0, ratio - F.floor(ratio)).otherwise(0.0).alias("p"),
         F.xxhash64(F.lit(seed), "doc_id", "size", "copy").alias("salt"))
+    open_ = F.col("p").between(1e-12, 1 - 1e-12)
     todo = save(todo, "flight")
-    done = [todo.filter("p <= 0 or p >= 1")]
-    level = 0
+    done = [todo.filter(~open_)]
+
+    def dealt(rows, level):
+        """Rows with the number of their source's blocks and their own."""
+        counts = rows.groupBy("source").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+        counts = counts.withColumnRenamed("source", "s")
+        at = F.pmod(F.xxhash64("salt", F.lit(level)), F.col("blocks")).cast("int")
+        return rows.join(counts, rows["source"].eqNullSafe(counts["s"])).drop("s").withColumn("block", at)
+    # One block of every source waits for the last round.
+    todo = save(dealt(todo.filter(open_), 0).select(*[c for c in todo.columns], (F.col("block") == 0).alias("waits")), "flight")
+    level = 1
     while True:
-        left = todo.filter("p > 0 and p < 1")
-        counts = left.groupBy("source").agg(F.count(F.lit(1)).alias("rows"))
-        most_rows = counts.agg(F.max("rows")).first()[0]
-        if not most_rows:
+        cut = dealt(todo.filter(~F.col("waits")), level)
+        if cut.filter("blocks > 1").isEmpty():
             break
-        blocks = counts.select(F.col("source").alias("s"), F.ceil(F.col("rows") / block).cast("int").alias("blocks"))
-        cut = left.join(blocks, left["source"].eqNullSafe(blocks["s"])).drop("s")
-        cut = cut.withColumn("block", F.pmod(F.xxhash64("salt", F.lit(level)), F.col("blocks")).cast("int"))
-        cut = cut.withColumn("final", F.col("blocks") == 1).drop("blocks")
-        todo = save(cut.groupBy("source", "block").applyInPandas(_round(seed + level), ROWS), "flight")
-        done.append(todo.filter("p <= 0 or p >= 1"))
+        moved = cut.filter("blocks > 1").groupBy("source", "block").applyInPandas(_round(seed + level, False), ROWS)
+        after = save(moved.unionByName(cut.filter("blocks = 1").select(*moved.columns))
+                     .unionByName(todo.filter("waits").select(*moved.columns)), "flight")
+        done.append(after.filter(~open_).drop("waits"))
+        todo = after.filter(open_)
         level += 1
+    done.append(save(todo.groupBy("source").applyInPandas(_round(seed + level, True), ROWS), "flight").drop("waits"))
     rounded = done[0]
     for more in done[1:]:
         rounded = rounded.unionByName(more)
-    copies = F.floor("m") + F.when(F.col("p") >= 1, 1).otherwise(0)
+    copies = F.floor("m") + F.when(F.col("p") > 0.5, 1).otherwise(0)
     out = rounded.select("doc_id", F.col("source").alias("s"), "size", (F.col("size") * copies).cast("long").alias("taken"))
-    return out.join(targets, out["s"].eqNullSafe(targets["source"]), "left").select(
-        F.col("doc_id").cast("long").alias("doc_id"), "source", "size", "source_size", "target", "taken")
+    mixed = save(out.join(targets, out["s"].eqNullSafe(targets["source"]), "left").select(
+        F.col("doc_id").cast("long").alias("doc_id"), "source", "size", "source_size", "target", "taken"), "mix")
+    discard(rows, targets, *done)
+    return mixed

@@ -45,6 +45,38 @@ def test_mix_meets_targets(spark, docs_of):
     assert all(0 <= r["taken"] <= 3 * r["size"] and r["taken"] % max(r["size"], 1) == 0 for r in out)
 
 
+def _off_target(out):
+    """Largest distance of a source's taken words from its target, beyond its shortest text, as a share of the target."""
+    worst = 0.0
+    for s in {r["source"] for r in out}:
+        own = [r for r in out if r["source"] == s]
+        gap = abs(sum(r["taken"] for r in own) - own[0]["target"])
+        if gap > min(r["size"] for r in own if r["size"]):
+            worst = max(worst, gap / own[0]["target"])
+    return worst
+
+
+def test_every_source_of_the_tables_meets_its_target(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    assert _off_target(mixing.mix(docs).collect()) <= 0.001
+
+
+@pytest.mark.parametrize("block", [30, 2000])
+def test_one_text_of_a_tenth_of_its_source(spark, docs_of, block):
+    rows = [(i, "w " * (1 + i * 7 % 120)) for i in range(900)]
+    rows += [(1000 + k, "w " * 1200) for k in range(5)]
+    out = mixing.mix(docs_of(rows, lambda i: "abcde"[i % 5]), block=block).collect()
+    assert len(out) == len(rows) and _off_target(out) <= 0.001
+
+
+def test_settle():
+    size, p = np.array([5.0, 3.0, 8.0, 1.0, 1000.0]), np.array([1.0, 0.0, 1.0, 0.0, 0.0])
+    assert mixing.settle(size, p, 3.0).tolist() == [1, 1, 1, 0, 0]      # one document more
+    assert mixing.settle(size, p, -2.0).tolist() == [0, 1, 1, 0, 0]     # one for another
+    assert mixing.settle(size, p, 0.2).tolist() == p.tolist()           # nothing fits better
+    assert mixing.settle(size[:0], p[:0], 4.0).tolist() == []
+
+
 def test_small_source_is_capped_and_its_excess_reshared(spark, docs_of):
     rows = [(i, "w " * 100) for i in range(60)] + [(100, "w " * 10)]
     out = mixing.mix(docs_of(rows, lambda i: "z" if i == 100 else "a")).collect()
