@@ -161,27 +161,30 @@ def _tile(key, rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"lang": lang, "source": a, "item": b, "value": value})
 
 
-def pair_values(groups: DataFrame, postings: DataFrame, block: int = BLOCK, per_tile: int = POSTINGS) -> DataFrame:
+def placed(groups: DataFrame, block: int = BLOCK, per_tile: int = POSTINGS) -> DataFrame:
+    """``groups`` (with ``terms``, their numbers of postings) with their ``block`` and their language's ``blocks`` and ``buckets``.
+
+    Both follow from counts, so a source that holds most postings is cut into more buckets of terms.
+    """
+    shape = (groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
+                                        F.max("terms").alias("most"), F.sum("terms").alias("every"))
+             .select("lang", "blocks", F.ceil(F.greatest(F.lit(1), "most", F.col("every") / F.col("blocks")) / per_tile).cast("int").alias("buckets")))
+    return groups.join(shape, "lang").withColumn("block", F.pmod(F.xxhash64("source"), "blocks").cast("int"))
+
+
+def pair_values(groups: DataFrame, postings: DataFrame) -> DataFrame:
     """``lang, source, item, value`` for every ordered pair of sources of a language.
 
     ``groups``: ``lang, source, v, base`` (V of the language and the share of
-    an absent term), ``postings``: ``lang, source, term, p`` for occurring
-    terms. Blocks and buckets of a language follow from counts, so a source
-    that holds most postings is cut into more buckets of terms.
+    an absent term) as :func:`placed`, ``postings``: ``lang, source, term, p``
+    for occurring terms, with their group's place.
     """
-    sizes = postings.groupBy("lang", "source").count().groupBy("lang").agg(F.sum("count").alias("all"), F.max("count").alias("most"))
-    shape = (groups.groupBy("lang").agg(F.count(F.lit(1)).alias("groups")).join(sizes, "lang", "left")
-             .withColumn("blocks", F.ceil(F.col("groups") / block).cast("int"))
-             .select("lang", "blocks", F.ceil(F.greatest(F.lit(1), F.coalesce("most", F.lit(0)), F.coalesce("all", F.lit(0)) / F.col("blocks"))
-                                              / per_tile).cast("int").alias("buckets")))
-    placed = F.pmod(F.xxhash64("source"), "blocks").cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    own = (groups.join(shape, "lang").withColumn("block", placed)
-           .withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
-           .select("*", other.alias("other"), F.lit(None).cast("string").alias("term"), F.lit(None).cast("long").alias("p")))
-    held = (postings.join(shape, "lang").withColumn("block", placed)
-            .withColumn("bucket", F.pmod(F.xxhash64("term"), "buckets").cast("int"))
-            .select("*", other.alias("other"), F.lit(None).cast("long").alias("v"), F.lit(None).cast("long").alias("base")))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    none = lambda kind: F.lit(None).cast(kind)
+    own = (groups.withColumn("bucket", F.explode(F.sequence(F.lit(0), F.col("buckets") - 1)))
+           .select("*", other, none("string").alias("term"), none("long").alias("p")))
+    held = (postings.withColumn("bucket", F.pmod(F.xxhash64("term"), "buckets").cast("int"))
+            .select("*", other, none("long").alias("v"), none("long").alias("base")))
     cols = ["lang", "source", "block", "bucket", "term", "p", "v", "base",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")]
     return (own.select(*cols).unionByName(held.select(*cols)).groupBy("lang", "bucket", "low", "high")
@@ -211,19 +214,19 @@ def source_divergence(docs: DataFrame, min_docs: int = 10, top: int = 10, text_c
     kept = save(by_term.select("lang", "term", "all_n"), "kept")
     langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("v"), F.sum("all_n").alias("lang_n"))
     held = save(counts.join(kept, ["lang", "term"]).select("lang", "source", "term", "n", "all_n"), "held")
-    totals = held.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    totals = held.groupBy("lang", "source").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("terms"))
     every = docs.select(F.coalesce(F.col(lang_col), F.lit("")).alias("lang"), F.coalesce(F.col(source_col), F.lit("")).alias("source")).distinct()
 
     def shared(count: str, total: str) -> F.Column:
         """The whole-number share; decimals of 38 digits hold the product."""
         return F.expr(f"if(v = 0, 1, 1 + (cast({count} + 2 as decimal(19,0)) * cast({SCALE} as decimal(10,0)))"
                       f" div cast({total} + 2 * v as decimal(19,0)))")
-    groups = save(every.join(totals, ["lang", "source"], "left").join(langs, "lang", "left").na.fill(0, ["total", "v", "lang_n"])
-                  .withColumn("base", shared("0", "total")), "groups")
+    groups = save(placed(every.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+                         .na.fill(0, ["total", "terms", "v", "lang_n"]).withColumn("base", shared("0", "total"))), "groups")
     postings = save(held.join(groups, ["lang", "source"]).withColumn("p", shared("n", "total")).withColumn("q", shared("all_n", "lang_n"))
-                    .select("lang", "source", "term", "p", "q"), "postings")
+                    .select("lang", "source", "term", "p", "q", "block", "blocks", "buckets"), "postings")
 
-    pairs = pair_values(groups.select("lang", "source", "v", "base"), postings.select("lang", "source", "term", "p"))
+    pairs = pair_values(groups, postings)
     value = F.expr("((p - q) * (p - q)) div (p + q)")
     terms = postings.filter("p > q").select("lang", "source", F.col("term").alias("item"), value.alias("value"))
     order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item")

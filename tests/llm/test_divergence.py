@@ -68,8 +68,8 @@ def test_tiles_and_small_batches_give_the_same(spark, monkeypatch):
     """Several blocks of groups, buckets of terms, scatter steps and hand-overs change nothing."""
     rows = corpus(3, sources=14)
     want = brute(rows, 4, 3)
-    real = divergence.pair_values
-    monkeypatch.setattr(divergence, "pair_values", lambda g, p: real(g, p, block=3, per_tile=20))
+    real = divergence.placed
+    monkeypatch.setattr(divergence, "placed", lambda g: real(g, block=3, per_tile=20))
     assert {tuple(r) for r in run(spark, rows).collect()} == want
     monkeypatch.setattr(divergence, "HELD", 5)
     monkeypatch.setattr(divergence, "FLAT", 7)
