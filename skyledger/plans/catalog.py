@@ -471,16 +471,21 @@ MODEL_KINDS = ("lr", "lr_tuned", "dt", "rf", "gbt", "mlp", "mlp_deep")
 LOGGED = [f"{part}_{m}" for part in ("train", "test") for m in ("AUC", "accuracy", "precision", "recall", "f1")]
 
 
-def logged_models(spark, sf_dir):
-    """All seven classifiers fitted, evaluated on both splits and logged; the wide view of the log."""
+def model_log(spark, sf_dir):
+    """Log of all seven classifiers, fitted once per session and table folder; ``model_runs`` and ``model_summary`` share it."""
     from ..session import work_dir
-    train, test = (df.persist() for df in model_data(spark, sf_dir))
+    known = spark.conf.get(f"skyledger.modelLog.{sf_dir}", None)
+    if known:
+        return known
     path = work_dir(spark, "model-log")
-    for kind in MODEL_KINDS:
-        models.logged_run(kind, train, test, "input_features", "DEP_DEL15", path)
-    train.unpersist()
-    test.unpersist()
-    return experiment_log.experiment_table(experiment_log.read_log(spark, path), ["dataset_name", "family"],
+    models.logged_runs(MODEL_KINDS, *model_vectors(spark, sf_dir), "input_features", "DEP_DEL15", path)
+    spark.conf.set(f"skyledger.modelLog.{sf_dir}", path)
+    return path
+
+
+def logged_models(spark, sf_dir):
+    """The wide view of :func:`model_log`."""
+    return experiment_log.experiment_table(experiment_log.read_log(spark, model_log(spark, sf_dir)), ["dataset_name", "family"],
                                            [*LOGGED, "Training Time (s)"])
 
 

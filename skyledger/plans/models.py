@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform_md5
 from ..operators import metrics
-from ..session import materialise
+from ..session import discard, materialise
 from ..sources.experiment_log import log_run
 
 # Model settings of the reference experiments.
@@ -87,30 +87,71 @@ def predict(model, df: DataFrame, keep: list[str] = (), prob_col: str = "probabi
     return scored.select(*cols)
 
 
-def run_metrics(model, df: DataFrame, label: str, prefix: str) -> DataFrame:
-    """E1-E4 of one fitted model on one frame: a one-row table, metric names prefixed."""
-    scored = predict(model, df, keep=[label])
-    score = "p1" if "p1" in scored.columns else "prediction"
-    scored = materialise(scored)
-    out = metrics.summary_from_confusion(metrics.confusion(scored, "prediction", label))
-    both = out.select("*", metrics.auc_rank(scored, score, label).scalar().alias("auc"))
-    names = {"auc": "AUC", "accuracy": "accuracy", "weighted_precision": "precision", "weighted_recall": "recall",
-             "weighted_f1": "f1", "balanced_accuracy": "balanced_accuracy"}
-    return both.select(*[F.col(c).cast("double").alias(f"{prefix}_{n}") for c, n in names.items()])
+METRIC_NAMES = {"auc": "AUC", "accuracy": "accuracy", "weighted_precision": "precision", "weighted_recall": "recall",
+                "weighted_f1": "f1", "balanced_accuracy": "balanced_accuracy"}
 
 
-def logged_run(kind: str, train: DataFrame, test: DataFrame, features: str, label: str, log: str,
-               dataset: str = "all", **params):
-    """M1-M7 + E1-E4 + S7: fit, score both splits, append params, metrics and duration to the log."""
+def score_all(fitted: dict, splits: dict[str, DataFrame], label: str) -> DataFrame:
+    """``model, split, label, prediction, score`` of every model on every split: one scan of each split, written.
+
+    The rows carry the label and one struct per model and are unfolded last,
+    so features are read once however many models there are.
+    """
+    parts = []
+    for split, df in splits.items():
+        scored, outs = df, []
+        for name, model in fitted.items():
+            own = model.copy()
+            cols = {c: f"__{name}_{c}" for c in ("prediction", "rawPrediction", "probability")}
+            own.setPredictionCol(cols["prediction"])
+            for c, setter in (("rawPrediction", "setRawPredictionCol"), ("probability", "setProbabilityCol")):
+                if hasattr(own, setter):
+                    getattr(own, setter)(cols[c])
+            scored = own.transform(scored)
+            p1 = vector_to_array(cols["probability"])[1] if cols["probability"] in scored.columns else F.col(cols["prediction"])
+            outs.append(F.struct(F.lit(name).alias("model"), F.col(cols["prediction"]).alias("prediction"), p1.alias("score")))
+        unfolded = scored.select(F.lit(split).alias("split"), F.col(label).cast("double").alias("label"), F.explode(F.array(*outs)).alias("m"))
+        parts.append(unfolded.select("m.model", "split", "label", "m.prediction", "m.score"))
+    out = parts[0]
+    for more in parts[1:]:
+        out = out.unionByName(more)
+    return materialise(out)
+
+
+def evaluate_all(fitted: dict, splits: dict[str, DataFrame], label: str) -> DataFrame:
+    """E1-E4 of all models on all splits: one row per model, metric names prefixed by the split.
+
+    One confusion table and one ordering of all scores serve every model and split.
+    """
+    by = ["model", "split"]
+    scored = score_all(fitted, splits, label)
+    found = (metrics.summary_from_confusion(materialise(metrics.confusion(scored, "prediction", "label", by)), by)
+             .join(metrics.auc_by(scored, by, "score"), by))
+    cells = [F.max(F.when(F.col("split") == s, F.col(c))).cast("double").alias(f"{s}_{n}") for s in splits for c, n in METRIC_NAMES.items()]
+    out = materialise(found.groupBy("model").agg(*cells))
+    discard(scored)
+    return out
+
+
+def logged_runs(kinds, train: DataFrame, test: DataFrame, features: str, label: str, log: str, dataset: str = "all") -> dict:
+    """M1-M7 + E1-E4 + S7: fit all ``kinds``, score them together on both splits, log params, metrics and durations.
+
+    Models are fitted one after the other, so each duration is its own. Returns the fitted models.
+    """
     spark = train.sparkSession
-    began = time.monotonic()
-    model = fit_classifier(kind, train, features, label, **params)
-    seconds = time.monotonic() - began
-    rid = log_run(spark, log, kind, {"dataset_name": dataset, "family": type(model).__name__, **params},
-                  {"Training Time (s)": seconds})
-    for part, df in (("train", train), ("test", test)):
-        log_run(spark, log, kind, {}, run_metrics(model, df, label, part), run_id=rid)
-    return model
+    cores = spark.sparkContext.defaultParallelism
+    if train.rdd.getNumPartitions() < cores:      # iterative fits use one core per partition
+        train = materialise(train.repartition(cores))
+    fitted, seconds = {}, {}
+    for kind in kinds:
+        began = time.monotonic()
+        fitted[kind] = fit_classifier(kind, train, features, label)
+        seconds[kind] = time.monotonic() - began
+    table = evaluate_all(fitted, {"train": train, "test": test}, label)
+    for kind, model in fitted.items():
+        rid = log_run(spark, log, kind, {"dataset_name": dataset, "family": type(model).__name__}, {"Training Time (s)": seconds[kind]})
+        log_run(spark, log, kind, {}, table.filter(F.col("model") == kind).drop("model"), run_id=rid)
+    return fitted
 
 
 def save_model(model, path: str) -> None:
@@ -124,4 +165,4 @@ def load_model(path: str) -> PipelineModel:
 
 
 __all__ = ["Pipeline", "classifier", "fit_classifier", "baseline_predict", "majority_share", "predict",
-           "save_model", "load_model", "vector_size", "run_metrics", "logged_run"]
+           "save_model", "load_model", "vector_size", "score_all", "evaluate_all", "logged_runs"]
