@@ -32,7 +32,7 @@ SCALE = 1_000_000_000
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 HELD = 150_000           # distinct counts that a task holds before it hands them on
 BLOCK = 1024             # groups of a block
-POSTINGS = 500_000       # postings of a block that a tile is meant to hold
+POSTINGS = 50_000        # postings of a block that a tile is meant to hold; as many as it has pairs, if that is more
 FLAT = 1_000_000         # index entries that a group scatters at once
 
 COUNTS = "lang string, source string, term string, n long, df long"
@@ -167,8 +167,10 @@ def placed(groups: DataFrame, block: int = BLOCK, per_tile: int = POSTINGS) -> D
     Both follow from counts, so a source that holds most postings is cut into more buckets of terms.
     """
     shape = (groups.groupBy("lang").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"),
-                                        F.max("terms").alias("most"), F.sum("terms").alias("every"))
-             .select("lang", "blocks", F.ceil(F.greatest(F.lit(1), "most", F.col("every") / F.col("blocks")) / per_tile).cast("int").alias("buckets")))
+                                        F.max("terms").alias("most"), F.sum("terms").alias("every"), F.count(F.lit(1)).alias("groups"))
+             .withColumn("in_block", F.col("groups") / F.col("blocks"))
+             .select("lang", "blocks", F.ceil(F.greatest(F.lit(1), "most", F.col("every") / F.col("blocks"))
+                                             / F.greatest(F.lit(per_tile), F.col("in_block") * F.col("in_block"))).cast("int").alias("buckets")))
     return groups.join(shape, "lang").withColumn("block", F.pmod(F.xxhash64("source"), "blocks").cast("int"))
 
 
