@@ -124,8 +124,9 @@ class Pieces:
         out = [sum(map(self.pieces.__getitem__, pieces)) for pieces in split]
         for p in new:
             if len(p) > LONGEST_PIECE:
-                self.parts.pop(self._cut(p)[0], None)
                 del self.pieces[p]
+                for x in self._cut(p):
+                    self.parts.pop(x, None)
         return out
 
 

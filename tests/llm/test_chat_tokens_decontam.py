@@ -123,14 +123,14 @@ def test_remembered_pieces_equal_the_library(tokenizer, monkeypatch):
     assert tokens.drops_white_space(tokenizer)
     r = random.Random(5)
     parts = ["the", "It's", "DON'T", "!'s", "''ll", "naïve", "e\u0301", "x\u0301", "=\u0338", "<|endoftext|>", "<|EndOfText|>", "<|", "endoftext|>", "12a3", "!!!",
-             "ÀÉ", "日本", "a" * 70, "ΑΣ", "İ", "K", "...", "«", "…", "\x1c", "\x85", "\x00", "ﬁ", "각", "\u1100\u1161", "\u11a8"]
+             "ÀÉ", "日本", "a" * 70, "1." * 40, "b" * 99 + "." + "c" * 80, "ΑΣ", "İ", "K", "...", "«", "…", "\x1c", "\x85", "\x00", "ﬁ", "각", "\u1100\u1161", "\u11a8"]
     gaps = ["", "", "", " ", "\n", "\t", "\r\n", "\v", "\f", "\u00a0", "\u2028", "\u3000", "  "]
     texts = ["".join(r.choice(parts) + r.choice(gaps) for _ in range(r.randrange(0, 300))) for _ in range(150)]
     want = [len(tokenizer.encode(t, add_special_tokens=False).ids) for t in texts]
     for limit in (10, 100_000):
         pieces = tokens.Pieces(tokenizer, limit)
         assert [n for at in range(0, 150, 7) for n in tokens.count_batch(tokenizer, texts[at:at + 7], pieces)] == want
-        assert all(len(p) <= tokens.LONGEST_PIECE for p in pieces.pieces)
+        assert all(len(p) <= tokens.LONGEST_PIECE for p in [*pieces.pieces, *pieces.parts])
     monkeypatch.setattr(tokens, "CHUNK", 40)        # parts are learnt in many small texts; long texts are spliced
     assert tokens.count_batch(tokenizer, texts, tokens.Pieces(tokenizer)) == want
 
