@@ -523,25 +523,28 @@ def predict(spark, sf_dir):
     return models.predict(models.load_model(model_path), new, keep=["FLIGHT_ID", "DEP_DEL15"])
 
 
-def _grid(kind, space):
-    def run(spark, sf_dir):
-        train, test = model_data(spark, sf_dir)
-        train = tuning.with_fold(train, ["FLIGHT_ID"], 3).persist()
-        est = models.classifier(kind, "input_features", "DEP_DEL15")
-        model, table = tuning.grid_search_cv(est, space, train, "DEP_DEL15", folds=3, parallelism=8, fold_col="fold")
-        winner = tuning.auc_evaluator("DEP_DEL15").evaluate(model.bestModel.transform(test))
-        train.unpersist()
-        return table.withColumn("winner_test_auc", F.when(F.col("mean_auc") == max(model.avgMetrics), winner))
-    run.__name__ = f"grid_search_{kind}"
-    return run
+def model_vectors(spark, sf_dir):
+    """Both splits of :func:`model_data`, written: tuning reads narrow tables of finished vectors."""
+    return [materialise(df.select("FLIGHT_ID", "FL_DATE", "DEP_DEL15", "input_features")) for df in model_data(spark, sf_dir)]
 
 
-QUERIES["grid_search"] = _grid("dt", tuning.DT_GRID)
+def _tree_grid(spark, sf_dir, kind, space):
+    train, test = model_vectors(spark, sf_dir)
+    _best, table = tuning.tree_grid_search(models.classifier(kind, "input_features", "DEP_DEL15"), space, train, test,
+                                           "input_features", "DEP_DEL15", ["FLIGHT_ID"])
+    return table
 
 
-def model_vectors(spark, sf_dir):
-    """Both splits of :func:`model_data`, written: tuning reads narrow tables of finished vectors."""
-    return [materialise(df.select("FLIGHT_ID", "FL_DATE", "DEP_DEL15", "input_features")) for df in model_data(spark, sf_dir)]
+@query
+def grid_search(spark, sf_dir):
+    """64 decision trees x 3 folds from 24 fits, each cut back to all depths."""
+    return _tree_grid(spark, sf_dir, "dt", tuning.DT_GRID)
+
+
+@query
+def grid_search_rf(spark, sf_dir):
+    """32 random forests x 3 folds from 24 fits, each cut back to all depths."""
+    return _tree_grid(spark, sf_dir, "rf", tuning.RF_GRID)
 
 
 @query

@@ -115,5 +115,10 @@ def discard(*tables) -> None:
         spark = df.sparkSession
         for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
             if "/skyledger-table-" in folder:
-                path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+                delete(spark, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    """Delete a folder that :func:`work_dir` named, or one inside."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
