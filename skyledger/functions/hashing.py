@@ -19,8 +19,13 @@ def key_string(*cols: str | Column) -> Column:
     return F.concat_ws("-", *[F.col(c).cast("string") if isinstance(c, str) else c.cast("string") for c in cols])
 
 
-def uniform_md5(seed: int | str | Column, *key_cols: str | Column) -> Column:
-    """Uniform [0, 1) from the first 32 bits of md5("seed-key1-key2...")."""
+def draw_md5(seed: int | str | Column, *key_cols: str | Column) -> Column:
+    """The first 32 bits of md5("seed-key1-key2...") as a whole number."""
     seed_col = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
     digest = F.md5(F.concat_ws("-", seed_col, key_string(*key_cols)))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") / F.lit(_TWO_POW_32)
+    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+
+
+def uniform_md5(seed: int | str | Column, *key_cols: str | Column) -> Column:
+    """Uniform [0, 1) from the first 32 bits of md5("seed-key1-key2...")."""
+    return draw_md5(seed, *key_cols) / F.lit(_TWO_POW_32)

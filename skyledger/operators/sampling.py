@@ -11,8 +11,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from ..functions.hashing import uniform_md5
+from ..functions.hashing import draw_md5, uniform_md5
 from ..session import materialise
 
 
@@ -94,13 +95,61 @@ def upsample(df: DataFrame, label: str, group: list[str] = ()) -> DataFrame:
     return joined.withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__rep")))).drop("__rep", "__copy")
 
 
+#: Leading bits of the draw that a round of :func:`sample_exact` knows, and rows that one task may rank.
+DRAW_BITS, RANKED_ROWS = (12, 24, 32), 100_000
+
+
+def sample_exact(df: DataFrame, sizes: DataFrame, by: list[str], seed: int, key: list[str], size: str = "__k",
+                 ranked_rows: int = RANKED_ROWS) -> DataFrame:
+    """R4 of exact size, without replacement: per group ``by`` the ``size`` rows of the smallest md5 draws.
+
+    A round counts rows by leading bits of the draw and finds the bin in which
+    the last row to take lies; it is refined until no group has more than
+    ``ranked_rows`` rows there. Rows below that bin are taken as they are read,
+    only its own rows are ranked (by draw, then ``key``). ``sizes`` has one row per
+    group (of few groups); groups that it lacks, null groups and sizes below 1
+    give no rows, sizes above a group's all of it. ``key`` names a row; rows that
+    share it are taken in any order.
+    """
+    names = df.columns
+    drawn = df.withColumn("__draw", draw_md5(seed, *key))
+    last = sizes.filter(F.col(size) > 0).select(*by, F.col(size).cast("long").alias("__need"), F.lit(0).cast("long").alias("__bin"))
+    known = 0
+    for bits in DRAW_BITS:
+        rows = drawn.select(*by, "__draw").join(last, by).filter(F.shiftright("__draw", 32 - known) == F.col("__bin"))
+        bins = rows.groupBy(*by, "__need", F.shiftright("__draw", 32 - bits).alias("__next")).agg(F.count(F.lit(1)).alias("__n"))
+        upto = F.sum("__n").over(Window.partitionBy(*by).orderBy("__next"))   # at most 4096 bins of a group
+        total = F.sum("__n").over(Window.partitionBy(*by))
+        found = bins.select(*by, "__n", "__next", (upto - F.col("__n")).alias("__before"), upto.alias("__upto"),
+                            F.least("__need", total).alias("__need"))
+        last = materialise(found.filter((F.col("__before") < F.col("__need")) & (F.col("__need") <= F.col("__upto")))
+                           .select(*by, (F.col("__need") - F.col("__before")).alias("__need"), F.col("__next").alias("__bin"), "__n"))
+        known = bits
+        if (last.agg(F.max("__n")).head()[0] or 0) <= ranked_rows:
+            break
+        last = last.drop("__n")
+    placed = drawn.join(last.select(*by, "__need", "__bin"), by)
+    own = F.shiftright("__draw", 32 - known)
+    sure = placed.filter(own < F.col("__bin"))
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy("__draw", *key))
+    edge = placed.filter(own == F.col("__bin")).withColumn("__rank", rank).filter("__rank <= __need")
+    return sure.select(*names).unionByName(edge.select(*names))
+
+
 def downsample(df: DataFrame, label: str, seed: int, key: list[str], group: list[str] = (),
-               fraction: float | None = None) -> DataFrame:
+               fraction: float | None = None, exact: bool = False) -> DataFrame:
     """Keep the minority class whole; keep each other row with probability
     ``min / class_count`` (or ``fraction``), drawn from an md5 of seed and key.
+
+    ``exact``: keep exactly ``min`` rows of each other class (or its count
+    times ``fraction``, halves rounded up) instead, see :func:`sample_exact`.
     """
     group = list(group)
     plan = _class_plan(df, label, group)
+    if exact:
+        kept = F.col("__min") if fraction is None else F.floor(F.col("__n") * F.lit(float(fraction)) + 0.5)
+        sizes = plan.select(*group, label, F.when(F.col("__n") == F.col("__min"), F.col("__n")).otherwise(kept).alias("__k"))
+        return sample_exact(df, sizes, [*group, label], seed, key)
     keep = (F.lit(float(fraction)) if fraction is not None else F.col("__min") / F.col("__n"))
     probs = plan.select(*group, label, F.when(F.col("__n") == F.col("__min"), F.lit(1.0)).otherwise(keep).alias("__p"))
     joined = df.join(probs, on=group + [label], how="inner")
@@ -117,8 +166,8 @@ def rebalance_by(df: DataFrame, group: list[str], label: str, method: str = "ups
     """
     if method == "upsample":
         return upsample(df, label, group)
-    if method == "downsample":
-        return downsample(df, label, seed, key or [], group)
+    if method in ("downsample", "downsample_exact"):
+        return downsample(df, label, seed, key or [], group, exact=method == "downsample_exact")
     if method == "smote":
         from .neighbours import smote
         return smote(df, key[0], label=label, seed=seed, group=group, **smote_options)

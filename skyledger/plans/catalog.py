@@ -218,6 +218,20 @@ def downsample_md5(spark, sf_dir):
                                seed=541, key=["FLIGHT_ID"])
 
 
+@query
+def downsample_exact(spark, sf_dir):
+    """As many rows of the larger class as the smaller one has."""
+    return sampling.downsample(flights(spark, sf_dir).select("FLIGHT_ID", "DEP_DEL15"), "DEP_DEL15",
+                               seed=541, key=["FLIGHT_ID"], exact=True)
+
+
+@query
+def downsample_by_year(spark, sf_dir):
+    """Within each year as many rows of the larger class as the smaller one has."""
+    df = flights(spark, sf_dir).select("FLIGHT_ID", "YEAR", "DEP_DEL15")
+    return sampling.rebalance_by(df, ["YEAR"], "DEP_DEL15", "downsample_exact", key=["FLIGHT_ID"])
+
+
 @query
 def rebalance_by_year(spark, sf_dir):
     df = flights(spark, sf_dir).select("FLIGHT_ID", "YEAR", "DEP_DEL15")

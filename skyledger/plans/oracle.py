@@ -225,6 +225,18 @@ SELECT f.FLIGHT_ID, f.DEP_DEL15 FROM flights_fx f JOIN rep USING (DEP_DEL15), ra
 sql("downsample_md5", F + CLASS_COUNTS + f"""SELECT f.FLIGHT_ID, f.DEP_DEL15 FROM flights_fx f JOIN cc USING (DEP_DEL15), ext
 WHERE cc.n = ext.mn OR {md5_uniform(541, 'f.FLIGHT_ID')} < ext.mn / cc.n""")
 
+sql("downsample_exact", F + CLASS_COUNTS + f""", ranked AS (
+  SELECT FLIGHT_ID, DEP_DEL15, row_number() OVER (PARTITION BY DEP_DEL15
+         ORDER BY {md5_uniform(541, 'FLIGHT_ID')}, FLIGHT_ID) AS r FROM flights_fx WHERE DEP_DEL15 IS NOT NULL)
+SELECT FLIGHT_ID, DEP_DEL15 FROM ranked, ext WHERE r <= ext.mn""")
+
+sql("downsample_by_year", F + f""", ranked AS (
+  SELECT FLIGHT_ID, YEAR, DEP_DEL15, row_number() OVER (PARTITION BY YEAR, DEP_DEL15
+         ORDER BY {md5_uniform(541, 'FLIGHT_ID')}, FLIGHT_ID) AS r,
+         count(*) OVER (PARTITION BY YEAR, DEP_DEL15) AS n FROM flights_fx WHERE DEP_DEL15 IS NOT NULL),
+ext AS (SELECT YEAR, min(n) AS mn FROM ranked GROUP BY 1)
+SELECT FLIGHT_ID, ranked.YEAR, DEP_DEL15 FROM ranked JOIN ext ON ranked.YEAR = ext.YEAR WHERE r <= ext.mn""")
+
 sql("rebalance_by_year", F + """, cc AS (SELECT YEAR, DEP_DEL15, count(*) AS n FROM flights_fx GROUP BY 1, 2),
 ext AS (SELECT YEAR, max(n) AS mx, min(n) AS mn FROM cc GROUP BY 1),
 rep AS (SELECT cc.YEAR, DEP_DEL15, CASE WHEN n = mx THEN 1 ELSE CAST(floor(mx / mn) AS INTEGER) END AS r

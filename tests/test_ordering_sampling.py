@@ -65,3 +65,26 @@ def test_absent_class_and_groups(spark):
     c = {(r["yr"], r["y"]): r["count"] for r in out.groupBy("yr", "y").count().collect()}
     # 2020: 10 positives (i%4==0 are even) and 10 negatives -> balanced already; 2021: only negatives
     assert c[(2020, 1)] == 10 and c[(2020, 0)] == 10 and c[(2021, 0)] == 20 and (2021, 1) not in c
+
+
+def test_sample_of_exact_size(spark):
+    """Sizes hold exactly whatever the rounds; the rows are those of the smallest draws."""
+    from skyledger.functions.hashing import draw_md5
+    df = spark.createDataFrame([(i, ("a", "b", "c", None)[0 if i % 3 else i % 4]) for i in range(2000)], "id long, g string").persist()
+    counts = dict(df.groupBy("g").count().collect())
+    sizes = spark.createDataFrame([("a", 700), ("b", counts["b"] + 5), ("c", 0)], "g string, __k long")
+    first = None
+    for ranked in (100_000, 10, 0):     # one, two and three rounds
+        out = sampling.sample_exact(df, sizes, ["g"], 9, ["id"], ranked_rows=ranked)
+        assert out.columns == df.columns
+        got = sorted(tuple(r) for r in out.collect())
+        assert first is None or got == first
+        first = got
+    kept = [i for i, g in first if g == "a"]
+    draws = [tuple(r) for r in df.filter("g = 'a'").select(draw_md5(9, "id"), "id").collect()]
+    assert sorted(kept) == sorted(i for _, i in sorted(draws)[:700])
+    assert len(first) == 700 + counts["b"]
+    half = sampling.downsample(df, "g", 9, ["id"], fraction=0.25, exact=True).groupBy("g").count().collect()
+    least = min(v for k, v in counts.items())
+    assert {r["g"]: r["count"] for r in half} == {k: v if v == least else int(v * 0.25 + 0.5) for k, v in counts.items() if k}
+    assert sampling.sample_exact(df.limit(0), sizes, ["g"], 9, ["id"]).count() == 0
