@@ -61,6 +61,40 @@ def test_rules_are_hundreds_and_containment_suppresses():
     assert [x[2] for x in scanner.scan("GNU Lesser General Public License v2.1")["found"]] == ["lgpl"]
 
 
+def test_base_phrases_of_the_caller_are_found():
+    scanner = licenses.Scanner(base={"Foo-bar": "foo"})
+    assert scanner.scan("some foo bar here")["places"] == [(1, "foo")]
+    assert licenses.Scanner(rules=[], base={}).scan("mit license") == {"n_words": 2, "places": [], "found": []}
+    own = [licenses.make_rule(0, "any", r"x+", (), 0.5)]
+    assert licenses.Scanner(own, {}).scan("a xx b")["found"] == [(1, 2, "any", 0.5)]
+
+
+def test_containment_equals_comparing_with_all():
+    import random
+    r = random.Random(4)
+    for _ in range(300):
+        kept, accepted = [], licenses.Accepted()
+        for _ in range(40):
+            a = r.randrange(30)
+            b = a + r.randrange(1, 12)
+            free = not any(x <= a and b <= y for x, y in kept)
+            assert accepted.add(a, b) == free
+            if free:
+                kept.append((a, b))
+
+
+def test_long_list_of_licenses_takes_linear_time():
+    import time
+    scanner = licenses.Scanner()
+    scanner.scan("see gpl word")
+
+    def seconds(n):
+        began = time.process_time()
+        assert len(scanner.scan("see gpl word " * n)["found"]) == n
+        return time.process_time() - began
+    assert seconds(16_000) < 16 * max(seconds(2_000), 0.05)
+
+
 def test_gate_lets_every_rule_through():
     scanner = licenses.Scanner()
     for name in ("zlib license", "sil open font license", "eclipse public license v 2 0", "public domain",
@@ -220,7 +254,9 @@ def _match(tree, r):
             out += _match(r.choice(arg[1]), r)
         elif op == "SUBPATTERN":
             out += _match(arg[-1], r)
-        elif op == "MAX_REPEAT":
+        elif op == "ANY":
+            out += "x"
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
             out += "".join(_match(arg[2], r) for _ in range(r.randint(arg[0], min(arg[1], 3))))
         elif op != "ASSERT_NOT":
             raise ValueError(op)
