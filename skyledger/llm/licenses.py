@@ -1,8 +1,8 @@
 """License scans: ordered signature rules over the words of whole texts.
 
 Rules are regular expressions over a text's words joined by single spaces. A
-rule runs only where its keywords occur, and a text is searched at all only
-if it has a keyword of some rule or phrase given. Detections are intervals of words;
+rule runs only where its keywords occur as words, and a text is searched at
+all only if it has those of some rule or phrase given. Detections are intervals of words;
 in order of priority, then length, an interval inside an already accepted one
 is suppressed. Base phrases are counted at every place, suppressed or not.
 """
@@ -72,66 +72,66 @@ FORMS = [
     (r"{n} v? ?{v}", 0.85, ()),
     (r"{n}", 0.7, ()),
 ]
-#: Sentences of license bodies, headers and notices: label, words, a keyword, weight. They come before all wordings.
+#: Sentences of license bodies, headers and notices: label, words, weight. They come before all wordings.
 SIGNATURES = [
-    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", "hereby", 0.95),
-    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", "substantial", 0.9),
-    ("mit", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute", "sublicense|restriction", 0.9),
-    ("x11", r"except as contained in this notice the names? of .{1,80}? shall not be used in advertising", "advertising", 0.8),
-    ("mit", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", "liability", 0.7),
-    ("bsd", r"redistributions of source code must retain the above copyright notice", "redistributions", 0.9),
-    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", "redistributions", 0.9),
-    ("bsd", r"neither the names? of .{1,120}? nor the names of (?:its|their) contributors may be used to endorse or promote products", "endorse", 0.95),
-    ("bsd", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", "advertising", 0.95),
-    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted", "redistribution", 0.9),
-    ("bsd", r"this software is provided by the (?:copyright holders and contributors|regents and contributors|author) as is", "provided", 0.7),
-    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", "hereby", 0.95),
-    ("isc", r"the software is provided as is and the author disclaims all warranties with regard to this software", "disclaims", 0.8),
-    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", "implied", 0.9),
-    ("zlib", r"the origin of this software must not be misrepresented", "misrepresented", 0.95),
-    ("zlib", r"altered source versions must be plainly marked as such", "altered", 0.95),
-    ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software", "organization", 0.95),
-    ("unlicense", r"this is free and unencumbered software released into the public domain", "unencumbered", 0.95),
-    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", "compile", 0.9),
-    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document", "verbatim", 0.9),
-    ("gpl", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", "verbatim", 0.8),
-    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", "redistribute", 0.95),
-    ("gpl", r"you should have received a copy of the gnu general public license along with this (?:program|software|library)", "received", 0.95),
-    ("gpl", r"the gnu general public license is a free copyleft license for software", "copyleft", 0.95),
-    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", "redistribute", 0.95),
-    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license", "received", 0.95),
-    ("agpl", r"you should have received a copy of the gnu affero general public license", "affero", 0.95),
-    ("agpl", r"under the terms of the gnu affero general public license", "affero", 0.95),
-    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", "documentation", 0.95),
-    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts", "invariant", 0.95),
-    ("apache", r"licensed under the apache license version 2 0", "apache", 0.95),
-    ("apache", r"you may not use this (?:file|work) except in compliance with the license", "compliance", 0.9),
-    ("apache", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", "applicable", 0.95),
-    ("apache", r"licensed to the apache software foundation asf under one or more contributor license agreements", "apache", 0.95),
-    ("mpl", r"this source code form is subject to the terms of the mozilla public license", "mozilla", 0.95),
-    ("mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at", "mpl", 0.95),
-    ("mpl", r"the contents of this file are subject to the mozilla public license", "mozilla", 0.95),
-    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license", "eclipse", 0.95),
-    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution license", "development", 0.95),
-    ("cpl", r"this program and the accompanying materials are made available under the terms of the common public license", "accompanying", 0.95),
-    ("eupl", r"licensed under the eupl", "eupl", 0.9),
-    ("artistic", r"you may make and give away verbatim copies of the source form of the standard version", "verbatim", 0.95),
-    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", "agreement", 0.95),
-    ("python", r"psf hereby grants licensee a nonexclusive royalty free world wide license", "psf", 0.95),
-    ("openssl", r"this product includes software developed by the openssl project", "openssl", 0.95),
-    ("ms-pl", r"if you use the software you accept this license if you do not accept the license do not use the software", "accept", 0.8),
-    ("ofl", r"this font software is licensed under the sil open font license", "font", 0.95),
-    ("ofl", r"the font software may be sold as part of a larger software package", "font", 0.8),
-    ("cc0", r"to the extent possible under law .{1,120}? has waived all copyright and related or neighboring rights", "waived", 0.95),
-    ("cc-by-nc-sa", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial share ?alike", "creative", 0.95),
-    ("cc-by-nc-nd", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial no ?deriv(?:ative)?s", "creative", 0.95),
-    ("cc-by-sa", r"this work is licensed under (?:a|the) creative commons attribution share ?alike", "creative", 0.95),
-    ("creative-commons", r"this work is licensed under (?:a|the) creative commons attribution", "creative", 0.9),
-    ("odbl", r"this .{1,40}? is made available under the open database license", "database", 0.95),
-    ("proprietary", r"this (?:document|software|file) contains (?:confidential|proprietary) (?:and (?:confidential|proprietary) )?information", "contains", 0.8),
-    ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? .{1,60}? is (?:strictly )?prohibited", "prohibited", 0.8),
-    ("no-copying", r"no part of this (?:publication|book|document|work) may be reproduced", "reproduced", 0.8),
-    ("no-copying", r"(?:stored in a retrieval system|reproduced) or transmitted in any form or by any means", "transmitted", 0.8),
+    ("mit", r"permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", 0.95),
+    ("mit", r"the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software", 0.9),
+    ("mit", r"to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute", 0.9),
+    ("x11", r"except as contained in this notice the names? of .{1,80}? shall not be used in advertising", 0.8),
+    ("mit", r"in no event shall the authors or copyright holders be liable for any claim damages or other liability", 0.7),
+    ("bsd", r"redistributions of source code must retain the above copyright notice", 0.9),
+    ("bsd", r"redistributions in binary form must reproduce the above copyright notice", 0.9),
+    ("bsd", r"neither the names? of .{1,120}? nor the names of (?:its|their) contributors may be used to endorse or promote products", 0.95),
+    ("bsd", r"all advertising materials mentioning features or use of this software must display the following acknowledge?ment", 0.95),
+    ("bsd", r"redistribution and use in source and binary forms with or without modification are permitted", 0.9),
+    ("bsd", r"this software is provided by the (?:copyright holders and contributors|regents and contributors|author) as is", 0.7),
+    ("isc", r"permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted", 0.95),
+    ("isc", r"the software is provided as is and the author disclaims all warranties with regard to this software", 0.8),
+    ("zlib", r"this software is provided as is without any express or implied warranty in no event will the authors be held liable", 0.9),
+    ("zlib", r"the origin of this software must not be misrepresented", 0.95),
+    ("zlib", r"altered source versions must be plainly marked as such", 0.95),
+    ("boost", r"permission is hereby granted free of charge to any person or organization obtaining a copy of the software", 0.95),
+    ("unlicense", r"this is free and unencumbered software released into the public domain", 0.95),
+    ("unlicense", r"anyone is free to copy modify publish use compile sell or distribute this software", 0.9),
+    ("wtfpl", r"everyone is permitted to copy and distribute verbatim or modified copies of this license document", 0.9),
+    ("gpl", r"everyone is permitted to copy and distribute verbatim copies of this license document but changing it is not allowed", 0.8),
+    ("gpl", r"this program is free software you can redistribute it and or modify it under the terms of the gnu general public license", 0.95),
+    ("gpl", r"you should have received a copy of the gnu general public license along with this (?:program|software|library)", 0.95),
+    ("gpl", r"the gnu general public license is a free copyleft license for software", 0.95),
+    ("lgpl", r"this library is free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 0.95),
+    ("lgpl", r"you should have received a copy of the gnu (?:lesser|library) general public license", 0.95),
+    ("agpl", r"you should have received a copy of the gnu affero general public license", 0.95),
+    ("agpl", r"under the terms of the gnu affero general public license", 0.95),
+    ("gfdl", r"permission is granted to copy distribute and or modify this document under the terms of the gnu free documentation license", 0.95),
+    ("gfdl", r"with no invariant sections no front cover texts and no back cover texts", 0.95),
+    ("apache", r"licensed under the apache license version 2 0", 0.95),
+    ("apache", r"you may not use this (?:file|work) except in compliance with the license", 0.9),
+    ("apache", r"unless required by applicable law or agreed to in writing software distributed under the license is distributed on an as is basis", 0.95),
+    ("apache", r"licensed to the apache software foundation asf under one or more contributor license agreements", 0.95),
+    ("mpl", r"this source code form is subject to the terms of the mozilla public license", 0.95),
+    ("mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at", 0.95),
+    ("mpl", r"the contents of this file are subject to the mozilla public license", 0.95),
+    ("epl", r"this program and the accompanying materials are made available under the terms of the eclipse public license", 0.95),
+    ("cddl", r"the contents of this file are subject to the terms of the common development and distribution license", 0.95),
+    ("cpl", r"this program and the accompanying materials are made available under the terms of the common public license", 0.95),
+    ("eupl", r"licensed under the eupl", 0.9),
+    ("artistic", r"you may make and give away verbatim copies of the source form of the standard version", 0.95),
+    ("postgresql", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement is hereby granted", 0.95),
+    ("python", r"psf hereby grants licensee a nonexclusive royalty free world wide license", 0.95),
+    ("openssl", r"this product includes software developed by the openssl project", 0.95),
+    ("ms-pl", r"if you use the software you accept this license if you do not accept the license do not use the software", 0.8),
+    ("ofl", r"this font software is licensed under the sil open font license", 0.95),
+    ("ofl", r"the font software may be sold as part of a larger software package", 0.8),
+    ("cc0", r"to the extent possible under law .{1,120}? has waived all copyright and related or neighboring rights", 0.95),
+    ("cc-by-nc-sa", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial share ?alike", 0.95),
+    ("cc-by-nc-nd", r"this work is licensed under (?:a|the) creative commons attribution non ?commercial no ?deriv(?:ative)?s", 0.95),
+    ("cc-by-sa", r"this work is licensed under (?:a|the) creative commons attribution share ?alike", 0.95),
+    ("creative-commons", r"this work is licensed under (?:a|the) creative commons attribution", 0.9),
+    ("odbl", r"this .{1,40}? is made available under the open database license", 0.95),
+    ("proprietary", r"this (?:document|software|file) contains (?:confidential|proprietary) (?:and (?:confidential|proprietary) )?information", 0.8),
+    ("proprietary", r"unauthori[sz]ed (?:copying|reproduction|use|distribution)(?: or (?:copying|reproduction|use|distribution))? .{1,60}? is (?:strictly )?prohibited", 0.8),
+    ("no-copying", r"no part of this (?:publication|book|document|work) may be reproduced", 0.8),
+    ("no-copying", r"(?:stored in a retrieval system|reproduced) or transmitted in any form or by any means", 0.8),
 ]
 #: Wordings without a family.
 LOOSE = [
@@ -152,7 +152,7 @@ class Rule:
     priority: int
     label: str
     pattern: re.Pattern
-    keywords: tuple[tuple[bytes, ...], ...]   # every match has one word of each group
+    keywords: tuple[frozenset[bytes], ...]   # every match has one whole word of each set
     weight: float
 
 
@@ -161,15 +161,29 @@ def _versions(raw: str) -> str:
     return "(?:" + "|".join(sorted(raw.split(","), key=len, reverse=True)) + ")"
 
 
+def required_words(pattern: str) -> list[str]:
+    """Words that every match of a pattern over words has: those that stand outside groups and options."""
+    before = None
+    while before != pattern:
+        before, pattern = pattern, re.sub(r"\((?:\?:)?[^()]*\)", "\0", pattern)
+    if "|" in pattern:
+        return []
+    tokens = pattern.split(" ")
+    return [w for w, after in zip(tokens, [*tokens[1:], ""], strict=True)
+            if re.fullmatch("[a-z0-9]+", w) and not after.startswith(("?", "*", "{"))]
+
+
 def make_rule(priority: int, label: str, pattern: str, keywords: tuple[str, ...], weight: float) -> Rule:
-    """A rule over words joined by single spaces. A keyword is one word, or several with a bar between of which one suffices."""
+    """A rule over words joined by single spaces. A keyword is a whole word of every match, or several with a bar
+    between of which one suffices; the words that the pattern requires are added."""
+    groups = [*keywords, *required_words(pattern)]
     return Rule(priority, label, re.compile(rb"(?<![^ ])(?:" + pattern.encode() + rb")(?![^ ])"),
-                tuple(tuple(k.encode().split(b"|")) for k in keywords), weight)
+                tuple(dict.fromkeys(frozenset(k.encode().split(b"|")) for k in groups)), weight)
 
 
 def signature_rules() -> list[Rule]:
     """Sentences of licenses, then families times wordings, then loose wordings: hundreds of rules; a wording's place is their priority."""
-    rules = [(0, label, pattern, (keyword,), weight) for label, pattern, keyword, weight in SIGNATURES]
+    rules = [(0, label, pattern, (), weight) for label, pattern, weight in SIGNATURES]
     for level, (wording, factor, more) in enumerate(FORMS, 1):
         for label, name, versions, keys, weight in FAMILIES:
             if "{v}" in wording and not versions:
@@ -207,34 +221,43 @@ class Scanner:
     def __init__(self, rules: list[Rule] | None = None, base: dict[str, str] = BASE):
         self.rules = signature_rules() if rules is None else rules
         self.base = [(b" ".join(words), label) for p, label in base.items() if (words := tx.label_words(p))]
-        # One pass decides whether any rule or phrase can match at all: each has one of these words.
-        words = {max(p.split(), key=len) for p, _ in self.base}
-        for r in self.rules:
-            words.update(max(r.keywords, key=lambda group: min(map(len, group)), default=(b"",)))
-        # A word that contains another needn't be asked for.
-        least = [w for w in words if not any(o != w and o in w for o in words)]
-        self.gate = re.compile(b"|".join(map(re.escape, sorted(least)))) if words else re.compile(rb"(?!)")
+        # A text's words, met with all keywords, say which rules can match; a rule waits at its longest keyword.
+        self.waiting: dict[bytes, list[int]] = {}
+        self.always = []
+        for n, r in enumerate(self.rules):
+            for word in max(r.keywords, key=lambda group: min(map(len, group)), default=()):
+                self.waiting.setdefault(word, []).append(n)
+            if not r.keywords:
+                self.always.append(n)
+        self.known = {w for r in self.rules for group in r.keywords for w in group}
+        self.known.update(w for p, _ in self.base for w in p.split())
+
+    def _candidates(self, have: set[bytes]) -> list[int]:
+        met = {n for w in have for n in self.waiting.get(w, ())}
+        return [*self.always, *(n for n in met if not any(have.isdisjoint(g) for g in self.rules[n].keywords))]
 
     def scan(self, text) -> dict:
         """Words, base places and accepted detections (first word, end word, label, weight) of one text."""
-        low = tx.lower_bytes(text)
-        words = tx.WORD.findall(low)
+        words = tx.label_words(text)
         places, found = [], []
-        if self.gate.search(low):
+        have = self.known.intersection(words)
+        candidates = self._candidates(have)
+        phrases = [x for x in self.base if have.issuperset(x[0].split())]
+        if candidates or phrases:
             line = b" ".join(words)
             starts = np.cumsum([0, *(len(w) + 1 for w in words)]) if words else np.zeros(1, np.int64)
             at = lambda c: int(np.searchsorted(starts, c))  # noqa: E731  a word's number from its first byte
             padded = b" " + line + b" "
-            for phrase, label in self.base:
+            for phrase, label in phrases:
                 needle, k = b" " + phrase + b" ", -1
                 while (k := padded.find(needle, k + 1)) >= 0:
                     places.append((at(k), label))
             hits = []
-            for n, r in enumerate(self.rules):
-                if all(any(k in line for k in group) for group in r.keywords):
-                    for m in r.pattern.finditer(line):
-                        first = at(m.start())
-                        hits.append((r.priority, m.start() - m.end(), first, first + m.group().count(b" ") + 1, r.label, n))
+            for n in candidates:
+                r = self.rules[n]
+                for m in r.pattern.finditer(line):
+                    first = at(m.start())
+                    hits.append((r.priority, m.start() - m.end(), first, first + m.group().count(b" ") + 1, r.label, n))
             accepted = Accepted()
             for _, _, first, end, label, n in sorted(hits):
                 if accepted.add(first, end):
