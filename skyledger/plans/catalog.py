@@ -356,7 +356,7 @@ def subgraph(spark, sf_dir):
 
 from pyspark.ml.functions import vector_to_array  # noqa: E402
 
-from ..operators import features  # noqa: E402
+from ..operators import components, features  # noqa: E402
 from . import pipeline, tuning  # noqa: E402
 
 NUMERIC = pipeline.NUMERIC_FEATURES
@@ -453,6 +453,14 @@ def explained_variance(spark, sf_dir):
     return features.explained_variance(feature_table(spark, sf_dir), pipeline.CORRELATION_FEATURES)
 
 
+@query
+def covariance_matrix(spark, sf_dir):
+    """The covariances from which ``components.Components`` derives loadings and explained variance."""
+    table = components.covariance(components.covariance_sums(feature_table(spark, sf_dir), pipeline.CORRELATION_FEATURES))
+    c = F.col("covariance")
+    return table.withColumn("covariance", F.when(F.abs(c) < 100, F.round(c, 6)).otherwise(F.round(c, 2)))
+
+
 @query
 def prepare_features(spark, sf_dir):
     both = [df.withColumn("split", F.lit(s)) for s, df in zip(("train", "test"), model_data(spark, sf_dir))]

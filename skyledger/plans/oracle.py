@@ -471,6 +471,12 @@ sql("correlation_matrix", ALL + "\nUNION ALL\n".join(
     f"CASE WHEN stddev_pop({a}) > 1e-10 * (1 + abs(avg({a}))) AND stddev_pop({b}) > 1e-10 * (1 + abs(avg({b}))) THEN round(corr({a}, {b}), 6) END AS corr FROM feats"
     for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:]))
 
+sql("covariance_matrix", ALL + ", complete AS (SELECT * FROM feats WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _CORR_COLS)
+    + "), long AS (" + "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS feature_a, '{b}' AS feature_b, count(*) AS n, covar_samp({a}, {b}) AS c FROM complete"
+        for i, a in enumerate(_CORR_COLS) for b in _CORR_COLS[i:])
+    + ") SELECT feature_a, feature_b, n, CASE WHEN abs(c) < 100 THEN round(c, 6) ELSE round(c, 2) END AS covariance FROM long")
+
 sql("rfm_quartiles_rank", ORACLE["rfm_quartiles"])
 
 # ---------------------------------------------------------------- neighbours and SMOTE (brute force on the fixture)
