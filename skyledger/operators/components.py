@@ -58,16 +58,20 @@ class Components:
 
     @classmethod
     def fit(cls, sums: DataFrame, cols: list[str], k: int | None = None, scaled: bool = True) -> Components:
-        """Eigenvectors of the covariance of ``cols`` (divided by their deviation if ``scaled``; constant columns are 0).
+        """Eigenvectors of the covariance of ``cols`` (divided by their deviation if ``scaled``; columns that are
+        constant but for rounding noise are 0).
 
         The driver solves a matrix of columns x columns. A component's largest loading (the first of equals) is positive.
         """
         at, m = {c: i for i, c in enumerate(cols)}, np.zeros((len(cols), len(cols)))
-        for r in covariance(sums).collect():  # columns x columns
+        size = np.zeros(len(cols))
+        for r in sums.collect():  # columns x columns
             a, b = at[r["feature_a"]], at[r["feature_b"]]
-            m[a, b] = m[b, a] = r["covariance"] or 0.0
-        dev = np.sqrt(np.diag(m)) if scaled else np.ones(len(cols))
-        factor = np.divide(1.0, dev, out=np.zeros(len(cols)), where=dev > 0)
+            m[a, b] = m[b, a] = r["s"] / (r["n"] - 1) if r["n"] > 1 else 0.0
+            size[a] = 1 + abs(r["mean_a"] or 0.0)
+        dev = np.sqrt(np.diag(m))
+        varies = dev > 1e-10 * size
+        factor = np.divide(1.0, dev if scaled else 1.0, out=np.zeros(len(cols)), where=varies)
         values, vectors = np.linalg.eigh(m * np.outer(factor, factor))
         values, vectors = np.maximum(values[::-1], 0.0), vectors[:, ::-1]
         lead = np.argmax(np.abs(np.round(vectors, 12)), axis=0)

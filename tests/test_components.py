@@ -54,6 +54,6 @@ def test_components_equal_mllib_up_to_sign(rows):
 
 
 def test_constant_column_weighs_nothing(spark):
-    df = spark.createDataFrame([(float(i), 7.0) for i in range(10)], "a double, b double")
+    df = spark.createDataFrame([(float(i), 0.1) for i in range(10)], "a double, b double")
     own = components.Components.fit(components.covariance_sums(df, ["a", "b"]), ["a", "b"], k=1)
     assert own.loadings[:, 0].tolist() == [1.0, 0.0] and own.ratios.tolist() == [1.0]
