@@ -569,6 +569,14 @@ def grid_search_rf(spark, sf_dir):
     return _tree_grid(spark, sf_dir, "rf", tuning.RF_GRID)
 
 
+@query
+def grid_search_gbt(spark, sf_dir):
+    """32 boosted ensembles of 50 trees x 3 folds, one job per tree level for all of them."""
+    train, test = model_vectors(spark, sf_dir)
+    _best, table = tuning.boosting_grid_search(train, test, "input_features", "DEP_DEL15", tuning.GBT_GRID, ["FLIGHT_ID"])
+    return table
+
+
 @query
 def grid_search_lr(spark, sf_dir):
     """150 logistic combinations x 3 folds, one job per iteration for all of them."""
