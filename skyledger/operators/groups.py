@@ -14,7 +14,7 @@ def count_by(df: DataFrame, *cols: str, out: str = "count") -> DataFrame:
 
 
 def volume_groups(df: DataFrame, key: str, out: str, scheme=AIRPORT_GROUPS, materialise: bool = False,
-                  method: str = "disc") -> DataFrame:
+                  method: str = "bracket") -> DataFrame:
     """Rows per ``key`` and a letter from exact quantiles of those counts.
 
     ``materialise`` writes the count table (one row per key) once, so the

@@ -34,7 +34,7 @@ def rfm_table(df: DataFrame, keys: list[str], label: str = "DEP_DEL15", delay: s
     return agg.filter(F.col("__positives") > 0).drop("__positives")
 
 
-def rfm_quartiles(rfm: DataFrame, materialise: bool = False, method: str = "disc") -> DataFrame:
+def rfm_quartiles(rfm: DataFrame, materialise: bool = False, method: str = "bracket") -> DataFrame:
     """R/F/M letters from exact quartiles of the RFM table itself.
 
     ``materialise`` writes the RFM table (one row per group) once, so the

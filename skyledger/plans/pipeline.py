@@ -57,7 +57,7 @@ class Summaries:
     large_only: bool = True
 
     @classmethod
-    def fit(cls, flights: DataFrame, large_only: bool = True, method: str = "disc") -> Summaries:
+    def fit(cls, flights: DataFrame, large_only: bool = True, method: str = "bracket") -> Summaries:
         """Learn from the rows of ``flights``; each summary scans only the columns it needs."""
         latest = materialise(flights.agg(F.max(F.col("FL_DATE").cast("date")).alias("latest")))
         dated = timefeat.with_recency_days(flights, "FL_DATE", latest=latest.select("latest").scalar())

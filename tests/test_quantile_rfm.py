@@ -66,7 +66,20 @@ def test_ranked_cuts_equal_percentile_disc(spark):
     for n in [1, 2, 5, 6, 10, 11, 97]:
         vals = [float(rnd.randint(0, 30)) for _ in range(n)] + [None]
         df = spark.createDataFrame([(v,) for v in vals], "x double")
-        disc = quantile.quantile_cuts(df, "x", probs).head().asDict()
+        disc = quantile.quantile_cuts(df, "x", probs, method="disc").head().asDict()
+        assert quantile.quantile_cuts(df, "x", probs).head().asDict() == disc
         ranked = quantile.quantile_cuts(df, "x", probs, method="rank").head().asDict()
         want = {quantile._p_name(p): _disc([v for v in vals if v is not None], p) for p in probs}
         assert ranked == disc == want, (n, ranked, disc, want)
+
+
+def test_bracketed_cuts_are_exact_on_many_rows(spark):
+    """200,000 rows, far more than the sketch keeps: distinct values, ties at the cuts, one value on a third of the rows, nothing."""
+    probs = [0.0, 0.25, 0.5, 0.75, 0.999, 1.0]
+    rows = spark.range(0, 200_000, 1, 8)
+    for x in (F.xxhash64("id").cast("double"), F.floor(F.rand(3) * 50).cast("double"), F.when(F.col("id") % 3 == 0, 7.5).otherwise(F.rand(4) * 20),
+              F.lit(None).cast("double")):
+        df = rows.select(x.alias("x")).persist()
+        want = quantile.quantile_cuts(df, "x", probs, method="disc").head()
+        assert quantile.quantile_cuts(df, "x", probs).head() == want
+        df.unpersist()
