@@ -3,8 +3,8 @@
 Overlapping passages of all benchmark items and documents are TF-IDF vectors
 over the benchmark's vocabulary (other words only lengthen a passage's vector).
 The latent space is the items' own span, which loses nothing of an item, beside
-the leading directions of a distributed randomised SVD: tasks multiply their
-passages into partial products, the driver holds matrices of vocabulary x rank.
+the leading directions of a distributed randomised SVD: tasks multiply all
+passages of all documents into partial products, the driver holds matrices of vocabulary x rank.
 In the items' span the latent product is the plain one, so it is summed from
 postings (word -> items); in the SVD's space both vectors are scaled to length 1.
 Passages whose share of benchmark words can't reach the cosine asked for (by
@@ -26,11 +26,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyledger.llm import text as tx
-from skyledger.llm.store import save
+from skyledger.llm.store import discard, save
 
 WINDOW, STEP = 32, 16        # words of a passage, and between passages
 RANK, OVERSAMPLE = 256, 16   # of the randomised SVD
-SAMPLE_DOCS = 400            # documents whose passages, with all items, fit the space
+PASSAGES = 4_096             # passages whose products a task takes at once
+SQUARE = 4_096               # words of a vocabulary up to which a task sums a square of it
 STRETCH = 512                # words of the vocabulary that one group sums
 ITEMS_PER_PASS = 2_000       # items that tasks hold at once; more items take more passes
 BYTES_PER_PASS = 1_000_000   # of item text, and so of vocabulary; a longer item has a pass of its own
@@ -41,9 +42,9 @@ LCS_ALONE, LCS_WITH_ANSWER, ANSWER_WORDS = 0.7, 0.5, 5
 HITS = "doc_id string, item_id long, cosine double, lcs int, lcs_ratio double, answer boolean, at_word long"
 
 
-def lcs_length(item: list[bytes], passage: list[bytes]) -> int:
+def lcs_length(item: list, passage: list) -> int:
     """Longest common subsequence, one bit per item word."""
-    where: dict[bytes, int] = {}
+    where: dict = {}
     for i, w in enumerate(item):
         where[w] = where.get(w, 0) | 1 << i
     full = (1 << len(item)) - 1
@@ -125,12 +126,20 @@ def _windows(n: int) -> np.ndarray:
     return np.arange(0, max(1, n - WINDOW + STEP), STEP)
 
 
+def _numbered(space: Space):
+    """Every text as its words' numbers in the vocabulary (-1: outside); later passes read these instead of texts."""
+    def run(batches):
+        for b in batches:
+            yield pd.DataFrame({"doc_id": b["doc_id"], "ids": [space.ids(tx.label_words(t)).tobytes() for t in b["text"]]})
+    return run
+
+
 def _document_frequency(space: Space):
     def run(batches):
         n, df = 0, np.zeros(len(space.vocab), np.int64)
         for b in batches:
-            for t in b["text"]:
-                ids = np.unique(space.ids(tx.label_words(t)))
+            for x in b["ids"]:
+                ids = np.unique(np.frombuffer(x, np.int32))
                 df[ids[ids >= 0]] += 1
                 n += 1
         at = np.flatnonzero(df)
@@ -138,16 +147,82 @@ def _document_frequency(space: Space):
     return run
 
 
+def _passages(texts: list[np.ndarray]):
+    """At most ``PASSAGES`` passages at a time of these texts' numbers: a row of sorted words each, -2 past a text's end."""
+    for ids in texts:
+        starts = _windows(len(ids))
+        for k in range(0, len(starts), PASSAGES):
+            place = starts[k:k + PASSAGES, None] + np.arange(WINDOW)
+            words = np.where(place < len(ids), ids[np.minimum(place, len(ids) - 1)], -2) if len(ids) else np.full(place.shape, -2, np.int32)
+            yield np.sort(words, axis=1)
+
+
+def _joined(parts):
+    """Rows of several texts put together until there are ``PASSAGES`` of them."""
+    held, n = [], 0
+    for p in parts:
+        held.append(p)
+        n += len(p)
+        if n >= PASSAGES:
+            yield np.concatenate(held)
+            held, n = [], 0
+    if held:
+        yield np.concatenate(held)
+
+
+class _Products:
+    """A'(A right) summed over passages A. Up to ``SQUARE`` words A'A is summed and multiplied last; else each part is multiplied."""
+
+    def __init__(self, space: Space, right: np.ndarray):
+        self.space, self.right, self.out = space, right.astype(np.float32), np.zeros(right.shape)
+        size = len(space.vocab)
+        self.square = np.zeros(size * size) if size <= SQUARE else None
+        self.own = np.zeros(size)
+
+    def add(self, words: np.ndarray) -> None:
+        """``words``: rows of :func:`_passages`."""
+        space = self.space
+        there = words >= 0
+        there[:, 1:] &= words[:, 1:] != words[:, :-1]
+        row, _ = np.nonzero(there)
+        if not len(row):
+            return
+        word = words[there]
+        idf = space.idf[word]
+        norm = np.sqrt(np.bincount(row, idf ** 2, minlength=len(words)) + np.count_nonzero(words == -1, axis=1) * space.rare ** 2)
+        val = idf / norm[row]
+        if self.square is None:
+            for k in range(0, len(words), 64):      # few passages, few words: a small full matrix
+                lo, hi = np.searchsorted(row, (k, k + 64))
+                at, col = np.unique(word[lo:hi], return_inverse=True)
+                m = np.zeros((64, len(at)), np.float32)
+                m[row[lo:hi] - k, col] = val[lo:hi]
+                self.out[at] += m.T @ (m @ self.right[at])
+            return
+        count = np.bincount(row, minlength=len(words))
+        self.own += np.bincount(word, val ** 2, minlength=len(space.vocab))
+        # Pairs of a passage's words in order: each word with those after it.
+        after = np.cumsum(count)[row] - 1 - np.arange(len(row))
+        a = np.repeat(np.arange(len(row)), after)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
+        np.add.at(self.square, word[a].astype(np.int64) * len(space.vocab) + word[b], val[a] * val[b])
+
+    def total(self) -> np.ndarray:
+        if self.square is not None:
+            at = np.flatnonzero(self.own)
+            m = self.square.reshape(len(self.own), -1)[np.ix_(at, at)].astype(np.float32)
+            right = self.right[at]
+            self.out[at] += m @ right + m.T @ right + self.own[at, None] * right
+        return self.out
+
+
 def _product(space: Space, right: np.ndarray):
     """Partial products A'(A right) of a partition's passages, in stretches of the vocabulary."""
     def run(batches):
-        out = np.zeros(right.shape)
-        for b in batches:
-            for t in b["text"]:
-                ids = space.ids(tx.label_words(t))
-                for s in _windows(len(ids)):
-                    at, v = space.rows(ids[s:s + WINDOW])
-                    out[at] += np.outer(v, v @ right[at])
+        sums = _Products(space, right)
+        for words in _joined(_passages(np.frombuffer(x, np.int32) for b in batches for x in b["ids"])):
+            sums.add(words)
+        out = sums.total()
         task = TaskContext.get().partitionId()
         for k in range(0, len(out), STRETCH):
             yield pd.DataFrame({"at": [k], "task": [task], "part": [out[k:k + STRETCH].astype(np.float32).tobytes()]})
@@ -165,9 +240,9 @@ def _sum_stretch(width: int):
     return run
 
 
-def fit_space(space: Space, docs: DataFrame, rank: int = RANK, seed: int = 11) -> Space:
-    """Weights from all documents; latent basis from the items and a bounded sample's passages."""
-    counts = (docs.select("text").mapInPandas(_document_frequency(space), "i int, n long")
+def fit_space(space: Space, numbered: DataFrame, rank: int = RANK, seed: int = 11) -> Space:
+    """Weights and latent basis from all items and the passages of all documents, given as (doc_id, ids) of :func:`_numbered`."""
+    counts = (numbered.select("ids").mapInPandas(_document_frequency(space), "i int, n long")
               .groupBy("i").agg(F.sum("n").alias("n")).collect())  # one row per word of the benchmark block
     df, n = np.zeros(len(space.vocab)), 0
     for i, c in counts:
@@ -179,11 +254,9 @@ def fit_space(space: Space, docs: DataFrame, rank: int = RANK, seed: int = 11) -
     own = [space.rows(space.ids(ws)) for _, ws in space.parts]
     space.index(own)
     width = min(len(space.vocab), rank + OVERSAMPLE)
-    sample = save(docs.select("doc_id", "text").filter("text is not null")
-              .orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(SAMPLE_DOCS).select("text").repartition(8), "passages")
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(space.vocab), width)))[0]
     for _ in range(2):  # power iterations
-        parts = sample.mapInPandas(_product(space, basis), "at int, task int, part binary")
+        parts = numbered.select("ids").mapInPandas(_product(space, basis), "at int, task int, part binary")
         total = parts.groupBy("at").applyInPandas(_sum_stretch(width), "at int, part binary").collect()  # vocabulary x rank
         y = np.zeros(basis.shape)
         for at, v in own:
@@ -200,12 +273,14 @@ def fit_space(space: Space, docs: DataFrame, rank: int = RANK, seed: int = 11) -
 
 
 def _search(space: Space, least: float):
-    answers = [ws[-ANSWER_WORDS:] for _, ws in space.items]
+    # All words of items are in the vocabulary, so words and their numbers match alike.
+    wanted = [space.ids(ws).tolist() for _, ws in space.items]
+    answers = [ws[-ANSWER_WORDS:] for ws in wanted]
 
-    def check(words, first, last, item):
+    def check(ids, first, last, item):
         """The whole item against the words around the passages from ``first`` to ``last``."""
-        _, ws = space.items[item]
-        near = words[max(0, first - len(ws)):last + WINDOW + len(ws)]
+        ws = wanted[item]
+        near = ids[max(0, first - len(ws)):last + WINDOW + len(ws)].tolist()
         lcs = lcs_length(ws, near)
         ratio = lcs / len(ws)
         tail = answers[item]
@@ -216,9 +291,8 @@ def _search(space: Space, least: float):
         energy = np.r_[space.idf ** 2, space.rare ** 2]  # index -1: words outside the benchmark
         for b in batches:
             found: dict[tuple, tuple] = {}
-            for row, (doc_id, t) in enumerate(zip(b["doc_id"], b["text"], strict=True)):
-                words = tx.label_words(t)
-                ids = space.ids(words)
+            for row, x in enumerate(b["ids"]):
+                ids = np.frombuffer(x, np.int32)
                 inside = ids >= 0
                 if not inside.any():
                     continue
@@ -252,7 +326,7 @@ def _search(space: Space, least: float):
                         else:
                             groups.append([start])
                     for g in groups:
-                        lcs, ratio, there = check(words, g[0], g[-1], item)
+                        lcs, ratio, there = check(ids, g[0], g[-1], item)
                         if ratio >= LCS_ALONE or (there and ratio >= LCS_WITH_ANSWER):
                             start = max(g, key=places.get)
                             new = (places[start], lcs, ratio, there, start)
@@ -304,8 +378,10 @@ def _found(base: DataFrame, bench: DataFrame, item_col: str = "item_id", item_te
         words = [(r["i"], tx.label_words(r["t"])) for r in rows]
         words = [x for x in words if x[1]]
         if words:
-            space = fit_space(Space(words), base)
-            hits = base.mapInPandas(_search(space, least_cosine), HITS)
+            space = Space(words)
+            numbered = save(base.mapInPandas(_numbered(space), "doc_id string, ids binary"), "numbered", "zstd")
+            hits = save(numbered.mapInPandas(_search(fit_space(space, numbered), least_cosine), HITS), "hits")
+            discard(numbered)
             found = hits if found is None else found.unionByName(hits)
     return base.sparkSession.createDataFrame([], HITS) if found is None else found
 

@@ -296,3 +296,35 @@ def test_items_without_id_are_searched(spark, docs_of, monkeypatch):
         found = sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(d, bench).collect())
         assert found == [(0, None), (1, None), (2, 2 ** 60 + 1)]
     assert [r["doc_id"] for r in decontam.keep_clean(d, bench).collect()] == [3]
+
+
+def test_space_is_fitted_on_all_documents(spark, docs_of, monkeypatch):
+    """Weights and products of every text's passages, summed in a square or part by part; the last of 900 texts counts."""
+    import numpy as np
+    texts = [" ".join(f"w{(k * 7 + j * (1 + k % 3)) % 90}" for j in range(k % 61)) for k in range(899)] + ["only here a pair " * 9]
+    items = [(k, tx.label_words(f"w{3 * k} w{3 * k + 1} w{k} only here w{k + 5} a pair")) for k in range(20)]
+    space = decontam.Space(items)
+    numbered = docs_of([*enumerate(texts), (-1, None)]).selectExpr("cast(doc_id as string) doc_id", "text").mapInPandas(
+        decontam._numbered(space), "doc_id string, ids binary")
+    decontam.fit_space(space, numbered)
+    right = np.random.default_rng(0).standard_normal((len(space.vocab), 5))
+    want = np.zeros(right.shape)
+    for t in texts:
+        ids = space.ids(tx.label_words(t))
+        for s in decontam._windows(len(ids)):
+            at, v = space.rows(ids[s:s + decontam.WINDOW])
+            want[at] += np.outer(v, v @ right[at])
+    for square in (decontam.SQUARE, 1):
+        monkeypatch.setattr(decontam, "SQUARE", square)
+        sums = decontam._Products(space, right)
+        for words in decontam._joined(decontam._passages([space.ids(tx.label_words(t)) for t in texts])):
+            sums.add(words)
+        assert np.allclose(sums.total(), want, atol=1e-3)
+    # Eigenvectors of all passages' product, not of a part of them: the square of all spans the basis.
+    whole = np.zeros((len(space.vocab),) * 2)
+    for ids in [space.ids(ws) for _, ws in space.parts] + [space.ids(tx.label_words(t))[s:s + decontam.WINDOW]
+                                                           for t in texts for s in decontam._windows(len(tx.label_words(t)))]:
+        at, v = space.rows(ids)
+        whole[np.ix_(at, at)] += np.outer(v, v)
+    inside = space.basis.T.astype(float) @ whole @ space.basis
+    assert np.allclose(np.linalg.eigvalsh(inside)[-10:], np.linalg.eigvalsh(whole)[-10:], rtol=1e-3)
