@@ -3,8 +3,8 @@
 Overlapping passages of all benchmark items and documents are TF-IDF vectors
 over the benchmark's vocabulary (other words only lengthen a passage's vector).
 The latent space is the items' own span, which loses nothing of an item, beside
-the leading directions of a distributed randomised SVD: tasks multiply all
-passages of all documents into partial products, the driver holds matrices of vocabulary x rank.
+the leading directions of a distributed randomised SVD: tasks sum the products of all words
+of all documents' passages (of a large vocabulary: their products with the basis), the driver holds matrices of vocabulary x rank.
 In the items' span the latent product is the plain one, so it is summed from
 postings (word -> items); in the SVD's space both vectors are scaled to length 1.
 Passages whose share of benchmark words can't reach the cosine asked for (by
@@ -31,13 +31,16 @@ from skyledger.llm.store import discard, save
 WINDOW, STEP = 32, 16        # words of a passage, and between passages
 RANK, OVERSAMPLE = 256, 16   # of the randomised SVD
 PASSAGES = 4_096             # passages whose products a task takes at once
-SQUARE = 4_096               # words of a vocabulary up to which a task sums a square of it
+PAIRED = 256                 # passages whose word pairs a task lists at once
+SQUARE = 4_096               # words of a vocabulary up to which a task sums a square of it (67 MB)
+ROWS = 64                    # rows of the square that are summed together
 STRETCH = 512                # words of the vocabulary that one group sums
 ITEMS_PER_PASS = 2_000       # items that tasks hold at once; more items take more passes
 BYTES_PER_PASS = 1_000_000   # of item text, and so of vocabulary; a longer item has a pass of its own
 LEAST_COSINE = 0.4
 LEAST_SHARE = 0.5            # of an item's words in one passage; a copy cut by passages leaves more in one of them
-CELLS = 1_000_000            # passages x items' passages that a task scores at once
+TOGETHER = 50_000            # words of several texts whose passages a task searches at once
+CELLS = 100_000              # passages x items' passages that a task scores at once
 LCS_ALONE, LCS_WITH_ANSWER, ANSWER_WORDS = 0.7, 0.5, 5
 HITS = "doc_id string, item_id long, cosine double, lcs int, lcs_ratio double, answer boolean, at_word long"
 
@@ -170,62 +173,145 @@ def _joined(parts):
         yield np.concatenate(held)
 
 
+def _weighed(space: Space, words: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows of :func:`_passages` as TF-IDF vectors: passage, word and weight of what isn't 0."""
+    there = words >= 0
+    there[:, 1:] &= words[:, 1:] != words[:, :-1]
+    row, _ = np.nonzero(there)
+    word = words[there]
+    idf = space.idf[word]
+    norm = np.sqrt(np.bincount(row, idf ** 2, minlength=len(words)) + np.count_nonzero(words == -1, axis=1) * space.rare ** 2)
+    return row, word, idf / norm[row]
+
+
+class _Square:
+    """A'A summed over passages A: the upper triangle, row after row. Both power iterations read it."""
+
+    def __init__(self, space: Space):
+        self.space, self.size = space, len(space.vocab)
+        #: Word pair (a, b), a <= b, stands at ``row[a] + b``.
+        self.row = _row_starts(self.size)[:-1] - np.arange(self.size)
+        self.sums = np.zeros(self.size * (self.size + 1) // 2)
+
+    def add(self, words: np.ndarray) -> None:
+        for k in range(0, len(words), PAIRED):
+            row, word, val = _weighed(self.space, words[k:k + PAIRED])
+            # Pairs of a passage's words in order: each word with itself and those after it.
+            n = np.cumsum(np.bincount(row))[row] - np.arange(len(row))
+            a = np.repeat(np.arange(len(row)), n)
+            b = np.arange(len(a)) - np.repeat(np.cumsum(n) - n - np.arange(len(row)), n)
+            # The view has numpy's own float64; arrays pickled into a task carry a copy of it, with which add.at is ten times slower.
+            np.add.at(self.sums, self.row[word[a]] + word[b], (val[a] * val[b]).view(np.float64))
+
+    def parts(self):
+        """First word of ``ROWS`` rows, and their sums."""
+        for k in range(0, self.size, ROWS):
+            lo, hi = _row_starts(self.size)[[k, min(k + ROWS, self.size)]]
+            yield k, self.sums[lo:hi]
+
+
+def _row_starts(size: int) -> np.ndarray:
+    """Where each row of an upper triangle starts, and its end."""
+    at = np.arange(size + 1)
+    return at * size - at * (at - 1) // 2
+
+
+def _times(k: int, sums: np.ndarray, right: np.ndarray, out: np.ndarray) -> None:
+    """Adds to ``out`` what the triangle's rows from ``k`` on (:meth:`_Square.parts`), and their mirror image, give times ``right``."""
+    size = len(right)
+    m = np.zeros((min(ROWS, size - k), size - k), np.float32)
+    done = 0
+    for i in range(len(m)):
+        m[i, i:] = sums[done:done + size - k - i]
+        done += size - k - i
+    out[k:k + len(m)] += m @ right[k:]
+    np.fill_diagonal(m, 0)
+    out[k:] += m.T @ right[k:k + len(m)]
+
+
 class _Products:
     """A'(A right) summed over passages A. Up to ``SQUARE`` words A'A is summed and multiplied last; else each part is multiplied."""
 
     def __init__(self, space: Space, right: np.ndarray):
         self.space, self.right, self.out = space, right.astype(np.float32), np.zeros(right.shape)
-        size = len(space.vocab)
-        self.square = np.zeros(size * size) if size <= SQUARE else None
-        self.own = np.zeros(size)
+        self.square = _Square(space) if len(space.vocab) <= SQUARE else None
 
     def add(self, words: np.ndarray) -> None:
         """``words``: rows of :func:`_passages`."""
-        space = self.space
-        there = words >= 0
-        there[:, 1:] &= words[:, 1:] != words[:, :-1]
-        row, _ = np.nonzero(there)
-        if not len(row):
-            return
-        word = words[there]
-        idf = space.idf[word]
-        norm = np.sqrt(np.bincount(row, idf ** 2, minlength=len(words)) + np.count_nonzero(words == -1, axis=1) * space.rare ** 2)
-        val = idf / norm[row]
-        if self.square is None:
-            for k in range(0, len(words), 64):      # few passages, few words: a small full matrix
-                lo, hi = np.searchsorted(row, (k, k + 64))
-                at, col = np.unique(word[lo:hi], return_inverse=True)
-                m = np.zeros((64, len(at)), np.float32)
-                m[row[lo:hi] - k, col] = val[lo:hi]
-                self.out[at] += m.T @ (m @ self.right[at])
+        if self.square is not None:
+            self.square.add(words)
             return
-        count = np.bincount(row, minlength=len(words))
-        self.own += np.bincount(word, val ** 2, minlength=len(space.vocab))
-        # Pairs of a passage's words in order: each word with those after it.
-        after = np.cumsum(count)[row] - 1 - np.arange(len(row))
-        a = np.repeat(np.arange(len(row)), after)
-        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(after) - after, after)
-        np.add.at(self.square, word[a].astype(np.int64) * len(space.vocab) + word[b], val[a] * val[b])
+        row, word, val = _weighed(self.space, words)
+        for k in range(0, len(words), 64):      # few passages, few words: a small full matrix
+            lo, hi = np.searchsorted(row, (k, k + 64))
+            at, col = np.unique(word[lo:hi], return_inverse=True)
+            m = np.zeros((64, len(at)), np.float32)
+            m[row[lo:hi] - k, col] = val[lo:hi]
+            self.out[at] += m.T @ (m @ self.right[at])
 
     def total(self) -> np.ndarray:
         if self.square is not None:
-            at = np.flatnonzero(self.own)
-            m = self.square.reshape(len(self.own), -1)[np.ix_(at, at)].astype(np.float32)
-            right = self.right[at]
-            self.out[at] += m @ right + m.T @ right + self.own[at, None] * right
+            for k, sums in self.square.parts():
+                _times(k, sums, self.right, self.out)
         return self.out
 
 
+def _squares(space: Space):
+    """A partition's A'A in parts of ``ROWS`` rows: places in the part and sums."""
+    def run(batches):
+        square = _Square(space)
+        for words in _joined(_passages(np.frombuffer(x, np.int32) for b in batches for x in b["ids"])):
+            square.add(words)
+        task = TaskContext.get().partitionId()
+        for k, sums in square.parts():
+            place = np.flatnonzero(sums).astype(np.int32)
+            if len(place):
+                yield pd.DataFrame({"at": [k], "task": [task], "place": [place.tobytes()], "part": [sums[place].astype(np.float32).tobytes()]})
+    return run
+
+
+def _sum_squares(size: int):
+    """All tasks' sums of each part, added in the tasks' order; rows come sorted by part and task."""
+    starts = _row_starts(size)
+
+    def run(batches):
+        at, total = None, None
+        for b in batches:
+            for k, place, part in zip(b["at"], b["place"], b["part"], strict=True):
+                if k != at:
+                    if at is not None:
+                        yield pd.DataFrame({"at": [at], "part": [total.astype(np.float32).tobytes()]})
+                    at, total = k, np.zeros(starts[min(k + ROWS, size)] - starts[k])
+                total[np.frombuffer(place, np.int32)] += np.frombuffer(part, np.float32)
+        if at is not None:
+            yield pd.DataFrame({"at": [at], "part": [total.astype(np.float32).tobytes()]})
+    return run
+
+
+def _in_stretches(out: np.ndarray):
+    task = TaskContext.get().partitionId()
+    for k in range(0, len(out), STRETCH):
+        yield pd.DataFrame({"at": [k], "task": [task], "part": [out[k:k + STRETCH].astype(np.float32).tobytes()]})
+
+
+def _square_product(right: np.ndarray):
+    """Partial products (A'A) right from parts of the summed square."""
+    def run(batches):
+        out, narrow = np.zeros(right.shape), right.astype(np.float32)
+        for b in batches:
+            for k, x in zip(b["at"], b["part"], strict=True):
+                _times(k, np.frombuffer(x, np.float32), narrow, out)
+        yield from _in_stretches(out)
+    return run
+
+
 def _product(space: Space, right: np.ndarray):
     """Partial products A'(A right) of a partition's passages, in stretches of the vocabulary."""
     def run(batches):
         sums = _Products(space, right)
         for words in _joined(_passages(np.frombuffer(x, np.int32) for b in batches for x in b["ids"])):
             sums.add(words)
-        out = sums.total()
-        task = TaskContext.get().partitionId()
-        for k in range(0, len(out), STRETCH):
-            yield pd.DataFrame({"at": [k], "task": [task], "part": [out[k:k + STRETCH].astype(np.float32).tobytes()]})
+        yield from _in_stretches(sums.total())
     return run
 
 
@@ -255,8 +341,16 @@ def fit_space(space: Space, numbered: DataFrame, rank: int = RANK, seed: int = 1
     space.index(own)
     width = min(len(space.vocab), rank + OVERSAMPLE)
     basis = np.linalg.qr(np.random.default_rng(seed).standard_normal((len(space.vocab), width)))[0]
+    square = None
+    if len(space.vocab) <= SQUARE:  # one pass over the passages serves both iterations
+        parts = numbered.select("ids").mapInPandas(_squares(space), "at int, task int, place binary, part binary")
+        square = save(parts.repartition("at").sortWithinPartitions("at", "task")
+                      .mapInPandas(_sum_squares(len(space.vocab)), "at int, part binary"), "square", "zstd")
     for _ in range(2):  # power iterations
-        parts = numbered.select("ids").mapInPandas(_product(space, basis), "at int, task int, part binary")
+        if square is not None:
+            parts = square.mapInPandas(_square_product(basis), "at int, task int, part binary")
+        else:
+            parts = numbered.select("ids").mapInPandas(_product(space, basis), "at int, task int, part binary")
         total = parts.groupBy("at").applyInPandas(_sum_stretch(width), "at int, part binary").collect()  # vocabulary x rank
         y = np.zeros(basis.shape)
         for at, v in own:
@@ -266,17 +360,28 @@ def fit_space(space: Space, numbered: DataFrame, rank: int = RANK, seed: int = 1
             y[k:k + len(rows)] += rows
         left, _, _ = np.linalg.svd(y, full_matrices=False)
         basis = left
+    if square is not None:
+        discard(square)
     space.basis = np.ascontiguousarray(basis[:, :min(rank, width)], dtype=np.float32)
     vectors = np.stack([v.astype(np.float32) @ space.basis[at] for at, v in own])
     space.vectors = vectors / np.maximum(np.linalg.norm(vectors, axis=1, keepdims=True), 1e-9)
     return space
 
 
+def _before(x: np.ndarray) -> np.ndarray:
+    """Sums of all values before each place, and of all."""
+    out = np.zeros(len(x) + 1, np.int64 if x.dtype == bool else np.float64)
+    np.cumsum(x, out=out[1:])
+    return out
+
+
 def _search(space: Space, least: float):
     # All words of items are in the vocabulary, so words and their numbers match alike.
     wanted = [space.ids(ws).tolist() for _, ws in space.items]
     answers = [ws[-ANSWER_WORDS:] for ws in wanted]
 
+    energy = space.idf ** 2
+
     def check(ids, first, last, item):
         """The whole item against the words around the passages from ``first`` to ``last``."""
         ws = wanted[item]
@@ -287,37 +392,42 @@ def _search(space: Space, least: float):
         there = any(near[k:k + len(tail)] == tail for k in range(len(near) - len(tail) + 1))
         return lcs, ratio, there
 
+    def candidates(ids, starts, ends):
+        """(passage, item) -> cosine for the passages of these texts, whose words stand one text after the other."""
+        inside = ids >= 0
+        own, other = _before(np.where(inside, energy[ids], 0.0)), _before(~inside)
+        outside = (other[ends] - other[starts]) * space.rare ** 2
+        inner = own[ends] - own[starts]
+        score = inner * (1 - least ** 2) >= least ** 2 * outside
+        if space.run:
+            upto = np.zeros(len(ids) + 1, np.int64)  # runs of benchmark words that end before a place
+            upto[space.run:] = np.cumsum(other[space.run:] == other[:-space.run])
+            score |= upto[ends] > upto[np.minimum(starts + space.run - 1, ends)]
+        score = np.flatnonzero(score & (ends > starts))
+        step = max(1, CELLS // len(space.parts))
+        out: dict[tuple[int, int], float] = {}
+        for s in range(0, len(score), step):
+            sel = score[s:s + step]
+            for k, part, cos in zip(*space.score(ids, starts[sel], ends[sel], least), strict=True):
+                at = int(sel[k]), space.parts[part][0]
+                out[at] = max(out.get(at, -1.0), float(cos))
+        return out
+
     def run(batches):
-        energy = np.r_[space.idf ** 2, space.rare ** 2]  # index -1: words outside the benchmark
         for b in batches:
             found: dict[tuple, tuple] = {}
-            for row, x in enumerate(b["ids"]):
-                ids = np.frombuffer(x, np.int32)
-                inside = ids >= 0
-                if not inside.any():
-                    continue
-                starts = _windows(len(ids))
-                ends = np.minimum(starts + WINDOW, len(ids))
-                e = energy[ids]
-                all_, own = np.cumsum(np.r_[0.0, e]), np.cumsum(np.r_[0.0, np.where(inside, e, 0.0)])
-                outside = (all_[ends] - all_[starts]) - (own[ends] - own[starts])
-                inner = own[ends] - own[starts]
-                score = inner * (1 - least ** 2) >= least ** 2 * outside
-                if space.run:
-                    runs = np.cumsum(np.r_[0, inside])
-                    full = np.r_[np.zeros(space.run, bool), runs[space.run:] - runs[:-space.run] == space.run] \
-                        if len(ids) >= space.run else np.zeros(len(ids) + 1, bool)
-                    upto = np.cumsum(full)  # runs that end before a place
-                    score |= upto[ends] > upto[np.minimum(starts + space.run - 1, ends)]
-                score = np.flatnonzero(score)
-                step = max(1, CELLS // len(space.parts))
-                near: dict[int, dict[int, float]] = {}  # item -> place of a passage -> cosine
-                for s in range(0, len(score), step):
-                    sel = starts[score[s:s + step]]
-                    for k, part, cos in zip(*space.score(ids, sel, ends[score[s:s + step]], least), strict=True):
-                        places = near.setdefault(space.parts[part][0], {})
-                        places[int(sel[k])] = max(places.get(int(sel[k]), -1.0), float(cos))
-                for item, places in near.items():
+            for rows, texts in _several(b["ids"]):
+                size = np.array([len(x) for x in texts])
+                base = np.cumsum(size) - size
+                own = [_windows(n) for n in size.tolist()]
+                of = np.repeat(np.arange(len(texts)), [len(w) for w in own])
+                place = np.concatenate(own)
+                starts = place + base[of]
+                ends = np.minimum(starts + WINDOW, (base + size)[of])
+                near: dict[tuple[int, int], dict[int, float]] = {}  # text, item -> place of a passage -> cosine
+                for (k, item), cos in candidates(np.concatenate(texts), starts, ends).items():
+                    near.setdefault((int(of[k]), item), {})[int(place[k])] = cos
+                for (text, item), places in near.items():
                     # One check for passages that lie closer together than a quarter of the item.
                     reach, groups = len(space.items[item][1]) // 4, []
                     for start in sorted(places):
@@ -326,18 +436,31 @@ def _search(space: Space, least: float):
                         else:
                             groups.append([start])
                     for g in groups:
-                        lcs, ratio, there = check(ids, g[0], g[-1], item)
+                        lcs, ratio, there = check(texts[text], g[0], g[-1], item)
                         if ratio >= LCS_ALONE or (there and ratio >= LCS_WITH_ANSWER):
                             start = max(g, key=places.get)
                             new = (places[start], lcs, ratio, there, start)
-                            old = found.get((row, item))
+                            old = found.get((rows + text, item))
                             if old is None or (new[1], new[0]) > (old[1], old[0]):
-                                found[row, item] = new
+                                found[rows + text, item] = new
             yield pd.DataFrame([(b["doc_id"].iloc[r], space.items[i][0], *v) for (r, i), v in found.items()],
                                columns=["doc_id", "item_id", "cosine", "lcs", "lcs_ratio", "answer", "at_word"]).astype({"item_id": "Int64"})
     return run
 
 
+def _several(column):
+    """Successive texts' numbers, of at least ``TOGETHER`` words: the first one's row, and all of them."""
+    held, row, n = [], 0, 0
+    for x in column:
+        held.append(np.frombuffer(x, np.int32))
+        n += len(held[-1])
+        if n >= TOGETHER:
+            yield row, held
+            held, row, n = [], row + len(held), 0
+    if held:
+        yield row, held
+
+
 def contaminated(docs: DataFrame, bench: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_col: str = "item_id", item_text: str = "text", least_cosine: float = LEAST_COSINE) -> DataFrame:
     """One row per document and benchmark item found in it:

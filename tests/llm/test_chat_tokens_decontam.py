@@ -328,3 +328,43 @@ def test_space_is_fitted_on_all_documents(spark, docs_of, monkeypatch):
         whole[np.ix_(at, at)] += np.outer(v, v)
     inside = space.basis.T.astype(float) @ whole @ space.basis
     assert np.allclose(np.linalg.eigvalsh(inside)[-10:], np.linalg.eigvalsh(whole)[-10:], rtol=1e-3)
+
+
+def test_one_pass_serves_both_iterations(spark, docs_of, monkeypatch):
+    """The square of all passages is summed once, over all partitions, and spans the basis; passages aren't multiplied again."""
+    import numpy as np
+    texts = [" ".join(f"w{(k * 7 + j * (1 + k % 3)) % 90}" for j in range(k % 61)) for k in range(400)]
+    items = [(k, tx.label_words(" ".join(f"w{(5 * k + j) % 97}" for j in range(9)))) for k in range(30)]
+    space = decontam.Space(items)
+    monkeypatch.setattr(decontam, "_product", None)
+    numbered = docs_of([*enumerate(texts)]).selectExpr("cast(doc_id as string) doc_id", "text").repartition(3).mapInPandas(
+        decontam._numbered(space), "doc_id string, ids binary")
+    decontam.fit_space(space, numbered, rank=20)
+    whole = np.zeros((len(space.vocab),) * 2)
+    for ids in [space.ids(ws) for _, ws in space.parts] + [space.ids(tx.label_words(t))[s:s + decontam.WINDOW]
+                                                           for t in texts for s in decontam._windows(len(tx.label_words(t)))]:
+        at, v = space.rows(ids)
+        whole[np.ix_(at, at)] += np.outer(v, v)
+    assert len(space.vocab) > decontam.ROWS
+    inside = space.basis.T.astype(float) @ whole @ space.basis
+    assert np.allclose(np.linalg.eigvalsh(inside)[-3:], np.linalg.eigvalsh(whole)[-3:], rtol=1e-2)
+
+
+def test_texts_searched_together_stay_apart():
+    """A copy cut by a text's end isn't completed by the next text's words; places are those of the own text."""
+    import numpy as np
+    import pandas as pd
+    words = [f"b{k}" for k in range(20)]
+    space = decontam.Space([(7, tx.label_words(" ".join(words)))])
+    space.weigh(np.ones(len(space.vocab)), 9)
+    own = [space.rows(space.ids(ws)) for _, ws in space.parts]
+    space.index(own)
+    space.basis = np.eye(len(space.vocab), dtype=np.float32)
+    space.vectors = np.stack([np.bincount(at, v, len(space.vocab)).astype(np.float32) for at, v in own])
+    texts = ["", " ".join(["other"] * 40 + words[:8]), " ".join(words[12:]), "", " ".join(["x"] * 50 + words), " ".join(words), ""]
+    together = pd.DataFrame({"doc_id": list("abcdefg"), "ids": [space.ids(tx.label_words(t)).tobytes() for t in texts]})
+    search = decontam._search(space, decontam.LEAST_COSINE)
+    got = next(search([together]))
+    apart = pd.concat(search([together[k:k + 1] for k in range(len(together))]))
+    assert got.to_dict("records") == apart.to_dict("records") and list(got["doc_id"]) == ["e", "f"]
+    assert list(got["at_word"]) == [48, 0] and list(got["lcs"]) == [20, 20]
