@@ -72,3 +72,33 @@ def test_metrics_agree_with_mllib(spark):
     hard = metrics.auc_rank(df, "prediction", "label").head()["auc"]
     bal = metrics.balanced_accuracy(df, "prediction", "label").head()["balanced_accuracy"]
     assert hard == pytest.approx(bal)
+
+
+def test_blocks_meet_as_matrices_and_keep_odd_rows(spark):
+    """Ties, copies, null and shorter vectors and large ids; the k best of blocks are those of all pairs; no array functions per pair."""
+    rng = __import__("random").Random(4)
+    rows = [(2 ** 60 + i, [float(rng.randint(0, 3)) for _ in range(3)], i % 2) for i in range(90)]
+    odd = [(5, [1.0, None, 2.0], 0), (6, None, 0), (7, [1.0, 2.0], 1), (None, [9.0, 9.0, 9.0], 0), (8, [1.0, 1.0, 1.0], None)]
+    plain = spark.createDataFrame(rows, "id long, v array<double>, g int")
+    seen = {}
+    for chunk in (7, 8192):
+        near = neighbours.knn(plain, "id", "v", 3, chunk=chunk, group=["g"])
+        plan = near._jdf.queryExecution().toString()
+        assert "FlatMapCoGroupsInPandas" in plan and "zip_with" not in plan
+        seen[chunk] = sorted((r["id"], r["rank"], r["nbr_id"], round(r["distance"], 9)) for r in near.collect())
+    assert seen[7] == seen[8192]
+    for g in (0, 1):
+        points = {i: v for i, v, x in rows if x == g}
+        first = {}
+        for i in sorted(points):
+            first.setdefault(tuple(points[i]), i)
+        for i, v in points.items():       # by distance, then by the smallest id of the neighbour's vector, then by id
+            want = sorted((math.dist(v, w), first[tuple(w)], j) for j, w in points.items() if w != v)[:3]
+            got = [x[1:] for x in seen[7] if x[0] == i]
+            assert got == [(n + 1, j, round(d, 9)) for n, (d, _, j) in enumerate(want)]
+    near = neighbours.lsh_knn(plain, "id", "v", 3, bucket_length=100.0, group=["g"], chunk=16).collect()
+    assert {(r["id"], r["rank"], round(r["distance"], 9)) for r in near} == {(i, n, d) for i, n, _, d in seen[7]}
+    # As before: a null distance comes first, a vector of nulls has no rows of its own, null ids and groups meet nothing.
+    out = neighbours.knn(spark.createDataFrame(rows + odd, "id long, v array<double>, g int"), "id", "v", 3, group=["g"]).collect()
+    assert None not in {r["id"] for r in out} and {r["g"] for r in out} == {0, 1}
+    assert {r["nbr_id"] for r in out if r["g"] == 1 and r["rank"] == 1 and r["id"] != 7} == {7}
